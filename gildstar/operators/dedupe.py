@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gildstar.functions.ordering import Order, sort_columns
+from gildstar.operators.filters import require
 
 
 def top_k_per_group(
@@ -31,4 +32,4 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Order) -> DataFram
     Rows with a NULL key are dropped beforehand: no caller keeps them, and they
     would all meet in one task.
     """
-    return top_k_per_group(df.dropna(how="any", subset=list(keys)), keys, order, 1)
+    return top_k_per_group(require(df, *keys), keys, order, 1)

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gildstar.operators.filters import require
 from gildstar.operators.skew import (
     MAX_SLICES_PER_KEY,
     ROWS_PER_TASK,
@@ -43,7 +44,7 @@ def lookup(
     if how not in ("left", "inner"):
         raise ValueError("lookup joins are left or inner")
     on = list(on)
-    source = left.dropna(how="any", subset=on) if how == "inner" else left
+    source = require(left, *on) if how == "inner" else left
     if estimated_bytes(right) <= _broadcast_limit(right):
         return source.join(right, on, how)
     hot = hot_keys(source, on, rows_per_task)

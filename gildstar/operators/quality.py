@@ -14,6 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gildstar.operators.filters import require
+
 
 @dataclass(frozen=True)
 class Check:
@@ -61,7 +63,7 @@ def not_null(df: DataFrame, column: str) -> DataFrame:
 def unique(df: DataFrame, *columns: str) -> DataFrame:
     """Non-NULL values that occur more than once, with their count."""
     return (
-        df.dropna(how="any", subset=list(columns))
+        require(df, *columns)
         .groupBy(*columns)
         .agg(F.count(F.lit(1)).alias("n_records"))
         .filter(F.col("n_records") > 1)

@@ -53,10 +53,10 @@ def land_bronze(
     column ``<day_of>_day``, which lets incremental reads prune old days.
     """
     out = as_variant(df, payload)
+    day = f"{day_of}_day"
     if day_of is None:
         out.write.mode(mode).parquet(path)
     else:
-        day = f"{day_of}_day"
         (
             out.withColumn(day, date_key(day_of))
             .hint("rebalance", F.col(day))
@@ -64,4 +64,5 @@ def land_bronze(
             .partitionBy(day)
             .parquet(path)
         )
-    return df.sparkSession.read.parquet(path)
+    schema = T.StructType(out.schema.fields + ([T.StructField(day, T.IntegerType())] if day_of else []))
+    return df.sparkSession.read.schema(schema).parquet(path)

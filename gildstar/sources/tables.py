@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from gildstar.functions.ordering import Order, sort_columns
 
@@ -32,9 +33,10 @@ def write_table(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return read_table(df.sparkSession, path)
+    return read_table(df.sparkSession, path, df.schema)
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """A2: a stored model as a DataFrame."""
-    return spark.read.parquet(path)
+def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """A2: a stored model as a DataFrame; a known schema spares its inference."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(path)
