@@ -39,13 +39,19 @@ def lookup(
     on: Sequence[str],
     how: str = "left",
     rows_per_task: int = ROWS_PER_TASK,
+    broadcast_bytes: int | None = None,
 ) -> DataFrame:
-    """Equi-join to a table that has at most one row per key."""
+    """Equi-join to a table that has at most one row per key.
+
+    ``broadcast_bytes`` is the right-hand size up to which hot keys need no
+    salt, by default the session's broadcast threshold.
+    """
     if how not in ("left", "inner"):
         raise ValueError("lookup joins are left or inner")
     on = list(on)
     source = require(left, *on) if how == "inner" else left
-    if estimated_bytes(right) <= _broadcast_limit(right):
+    limit = _broadcast_limit(right) if broadcast_bytes is None else broadcast_bytes
+    if estimated_bytes(right) <= limit:
         return source.join(right, on, how)
     hot = hot_keys(source, on, rows_per_task)
     if not hot:
@@ -62,7 +68,7 @@ def lookup(
     )
     repeated = right.join(F.broadcast(spread), same_keys(right, spread, hot_pairs(on)), "left").select(
         *[right[c] for c in right.columns],
-        F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)).cast("bigint").alias("_salt"),
+        F.explode(F.expr("sequence(0L, coalesce(_salts, 1) - 1L)")).alias("_salt"),
     )
     return marked.join(repeated, [*on, "_salt"], how).drop("_salt")
 
