@@ -38,8 +38,11 @@ def order_struct(df: DataFrame, order: Order) -> Column:
     for i, (name, direction) in enumerate(order):
         dtype = df.schema[name].dataType
         value = F.col(name)
-        if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-            value = F.unix_micros(value.cast("timestamp"))
+        if isinstance(dtype, T.TimestampType):
+            value = F.unix_micros(value)
+        elif isinstance(dtype, T.TimestampNTZType):
+            # An interval since the epoch needs no time zone, and can be negated.
+            value = value - F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
         elif isinstance(dtype, T.DateType):
             value = F.unix_date(value)
         elif isinstance(dtype, T.BooleanType):

@@ -73,7 +73,7 @@ def merge_upsert(
 ) -> DataFrame:
     """L3: target rows whose key the batch lacks, plus the whole batch.
 
-    Keys compare NULL-safe only if they are never NULL, as surrogate keys are.
+    Key columns must not be NULL; surrogate keys never are.
     """
     if check:
         assert_unique(batch, keys)

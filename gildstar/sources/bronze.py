@@ -46,23 +46,24 @@ def land_bronze(
     payload: str = "raw_data",
     day_of: str | None = None,
     mode: str = "append",
+    compact: bool = False,
 ) -> DataFrame:
     """Store a raw table with its payload parsed to VARIANT, and read it back.
 
     ``day_of`` names a timestamp column; its day becomes the integer partition
     column ``<day_of>_day``, which lets incremental reads prune old days.
+
+    Landing is a narrow job: an ingestion covers few days, so each task writes
+    few files.  ``compact`` shuffles by day first, for backfills of many days.
     """
     out = as_variant(df, payload)
     day = f"{day_of}_day"
     if day_of is None:
         out.write.mode(mode).parquet(path)
     else:
-        (
-            out.withColumn(day, date_key(day_of))
-            .hint("rebalance", F.col(day))
-            .write.mode(mode)
-            .partitionBy(day)
-            .parquet(path)
-        )
+        dated = out.withColumn(day, date_key(day_of))
+        if compact:
+            dated = dated.hint("rebalance", F.col(day))
+        dated.write.mode(mode).partitionBy(day).parquet(path)
     schema = T.StructType(out.schema.fields + ([T.StructField(day, T.IntegerType())] if day_of else []))
     return df.sparkSession.read.schema(schema).parquet(path)
