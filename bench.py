@@ -89,7 +89,7 @@ def main() -> None:
         folder = run_folder(spark, "bench-bronze")
         return {
             name: land_bronze(
-                raw(spark, SF_DIR), f"{folder}/{name}", day_of="snapshot_at" if name == "raw_players" else None
+                raw(spark, SF_DIR, int(CPUS)), f"{folder}/{name}", day_of="snapshot_at" if name == "raw_players" else None
             )
             for name, raw in derived.RAW_TABLES.items()
         }

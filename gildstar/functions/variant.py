@@ -20,8 +20,11 @@ def field(payload: ColumnOrName, path: str, dtype: str, on_error: str = "fail")
     """
     if on_error not in ("fail", "null"):
         raise ValueError("on_error must be 'fail' or 'null'")
-    get = F.variant_get if on_error == "fail" else F.try_variant_get
-    return get(_col(payload), path, dtype)
+    get = "variant_get" if on_error == "fail" else "try_variant_get"
+    if isinstance(payload, str):
+        quoted = path.replace("\\", "\\\\").replace("'", "\\'")
+        return F.expr(f"{get}(`{payload}`, '{quoted}', '{dtype}')")
+    return getattr(F, get)(payload, path, dtype)
 
 
 def elements(payload: ColumnOrName, path: str) -> Column:
@@ -59,7 +62,7 @@ def top_keys(payload: ColumnOrName, path: str, k: int, separator: str = ", ") ->
     """W4+G5 inside one object: the k keys with the largest values, joined.
 
     Order is value descending with NULLs first, then key.  The object sits in
-    one row, so no shuffle is needed.  NULL when there is no entry.
+    one row, so no shuffle is needed.  '' for an empty object, NULL for no object.
     """
     ranked = F.array_sort(
         F.transform(
@@ -71,5 +74,4 @@ def top_keys(payload: ColumnOrName, path: str, k: int, separator: str = ", ") ->
             ),
         )
     )
-    joined = F.array_join(F.transform(F.slice(ranked, 1, k), lambda e: e["key"]), separator)
-    return F.when(F.size(ranked) > 0, joined)
+    return F.array_join(F.transform(F.slice(ranked, 1, k), lambda e: e["key"]), separator)

@@ -18,12 +18,12 @@ from pyspark.sql import types as T
 
 from gildstar.operators.filters import require
 from gildstar.operators.skew import (
-    MAX_SLICES_PER_KEY,
     ROWS_PER_TASK,
     estimated_bytes,
     hot_key_frame,
     hot_keys,
     hot_pairs,
+    piece_counts,
     same_keys,
 )
 
@@ -57,7 +57,8 @@ def lookup(
     if not hot:
         return source.join(right, on, how)
 
-    salts = [(*[r[k] for k in on], min(MAX_SLICES_PER_KEY, -(-r["_n"] // rows_per_task))) for r in hot]
+    counts = piece_counts(source, hot, rows_per_task)
+    salts = [(*[r[k] for k in on], n) for r, n in zip(hot, counts)]
     spread = hot_key_frame(source, on, salts, [T.StructField("_salts", T.IntegerType())])
     hashable = [
         f.name for f in source.schema.fields if not isinstance(f.dataType, (T.VariantType, T.MapType))

@@ -26,6 +26,7 @@ SMALL_INPUT_BYTES = 128 * 1024 * 1024
 SLICES_PER_PARTITION = 4
 MAX_SLICES_PER_KEY = 1024
 SAMPLES_PER_SLICE = 32
+PIECES_PER_TASK = 4
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -63,6 +64,18 @@ def hot_keys(df: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_T
     )
 
 
+def piece_counts(df: DataFrame, hot: list[T.Row], rows_per_task: int) -> list[int]:
+    """Into how many pieces to cut each hot key.
+
+    Pieces are a fraction of a task's rows, so that several of them landing in
+    one task by hash still make a normal task.
+    """
+    n_hot = sum(r["_n"] for r in hot)
+    most = SLICES_PER_PARTITION * shuffle_partitions(df)
+    piece = max(1, rows_per_task // PIECES_PER_TASK, -(-n_hot // most))
+    return [min(MAX_SLICES_PER_KEY, -(-r["_n"] // piece)) for r in hot]
+
+
 def hot_key_frame(
     df: DataFrame, keys: Sequence[str], rows: list[tuple], extra: list[T.StructField]
 ) -> DataFrame:
@@ -88,10 +101,7 @@ def slice_hot_keys(
     if not hot:
         return None
     n_hot = sum(r["_n"] for r in hot)
-    per_slice = max(rows_per_task, -(-n_hot // (SLICES_PER_PARTITION * shuffle_partitions(df))))
-    wanted = [
-        (*[r[k] for k in keys], min(MAX_SLICES_PER_KEY, -(-r["_n"] // per_slice))) for r in hot
-    ]
+    wanted = [(*[r[k] for k in keys], n) for r, n in zip(hot, piece_counts(df, hot, rows_per_task))]
     n_slices = sum(w[-1] for w in wanted)
 
     position = order_struct(df, order)
@@ -118,17 +128,24 @@ def slice_hot_keys(
     marked = df.join(F.broadcast(bounds), same_keys(df, bounds, hot_pairs(keys)), "left")
     sliced = marked.select(
         *[df[c] for c in df.columns],
-        _count_below(position, F.col("_bounds")).alias("_slice"),
+        F.when(F.col("_bounds").isNull(), 0)
+        .otherwise(_count_below(position, F.col("_bounds"), max(w[-1] for w in wanted)))
+        .alias("_slice"),
         F.col("_bounds").isNotNull().alias("_hot"),
     )
     return sliced.drop("_hot"), sliced.filter("_hot").drop("_hot")
 
 
-def _count_below(value: Column, bounds: Column) -> Column:
-    """Binary search: how many of the sorted bounds lie below the value."""
-    steps = F.array(*[F.lit(1 << b) for b in range(MAX_SLICES_PER_KEY.bit_length() - 1, -1, -1)])
-    return F.aggregate(
-        steps,
-        F.lit(0),
-        lambda i, step: F.when(F.get(bounds, i + step - 1) < value, i + step).otherwise(i),
-    )
+def _count_below(value: Column, bounds: Column, n_bounds: int) -> Column:
+    """Binary search: how many of the at most ``n_bounds`` sorted bounds lie below the value."""
+    steps = F.array(*[F.lit(1 << b) for b in range(n_bounds.bit_length() - 1, -1, -1)])
+
+    def search(v: Column) -> Column:
+        return F.aggregate(
+            steps,
+            F.lit(0),
+            lambda i, step: F.when(F.get(bounds, i + step - 1) < v, i + step).otherwise(i),
+        )
+
+    # The one-element transform binds the value, so it is built once and not per step.
+    return F.get(F.transform(F.array(value), search), F.lit(0))

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
+from functools import partial
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from gildstar.operators.incremental import Target, load_incremental, newer_than
@@ -71,8 +74,11 @@ def build(
         "dim_developer": (dimensions.dim_developer(games), [("total_current_players", "desc")]),
         "dim_games": (dimensions.dim_games(games), []),
     }
-    for name, (df, layout) in rebuilt.items():
-        models[name] = write_table(df, f"{out_dir}/{name}", layout)
+    models.update(
+        _side_by_side(
+            {n: partial(write_table, df, f"{out_dir}/{n}", layout) for n, (df, layout) in rebuilt.items()}
+        )
+    )
 
     raw = bronze["raw_players"]
     day = SNAPSHOT_DAY if SNAPSHOT_DAY in raw.columns else None
@@ -86,10 +92,17 @@ def build(
         return facts.fct_achievement_stats(recent, games, models, load_ts, rows_per_task)
 
     targets = fact_targets(out_dir)
-    models["fct_game_snapshots"] = load_incremental(
-        spark, snapshots, targets["fct_game_snapshots"], full_refresh
-    )
-    models["fct_achievement_stats"] = load_incremental(
-        spark, achievements, targets["fct_achievement_stats"], full_refresh
+    loads = {"fct_game_snapshots": snapshots, "fct_achievement_stats": achievements}
+    models.update(
+        _side_by_side(
+            {n: partial(load_incremental, spark, fn, targets[n], full_refresh) for n, fn in loads.items()}
+        )
     )
     return models
+
+
+def _side_by_side(writes: dict[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
+    """Submit independent writes together, so that one's last tasks overlap the next's."""
+    with ThreadPoolExecutor(max_workers=len(writes)) as pool:
+        running = {name: pool.submit(inheritable_thread_target(fn)) for name, fn in writes.items()}
+        return {name: future.result() for name, future in running.items()}

@@ -42,7 +42,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-_landed: dict[tuple, DataFrame] = {}
+_landed: dict[tuple, tuple[str, T.StructType]] = {}
+
+# A file below this size per core is read by fewer tasks than there are cores.
+_SPLIT_BYTES = 128 * 1024 * 1024
 
 # Input table and, for tables that grow with every ingestion, the time their day comes from.
 _BRONZE_INPUT = {
@@ -70,9 +73,12 @@ def bronze(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     )
     if key not in _landed:
         path = f"{run_folder(spark, 'bronze')}/{name}"
-        raw = derived.RAW_TABLES[name](spark, sf_dir)
-        _landed[key] = land_bronze(raw, path, day_of=day_of)
-    return _landed[key]
+        cores = spark.sparkContext.defaultParallelism
+        few_splits = status.getLen() < cores * _SPLIT_BYTES
+        raw = derived.RAW_TABLES[name](spark, sf_dir, spread=cores if few_splits else None)
+        _landed[key] = (path, land_bronze(raw, path, day_of=day_of).schema)
+    path, schema = _landed[key]
+    return spark.read.schema(schema).parquet(path)
 
 
 def publish(df: DataFrame, *drop: str) -> DataFrame:

@@ -101,7 +101,7 @@ def top_tags_in_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     tags = bronze(spark, sf_dir, "raw_details").select(
         "load_id", top_keys("raw_data", "$.tags", 5).alias("top_tags")
     )
-    return tags.filter(F.col("top_tags").isNotNull())
+    return tags.filter(F.col("top_tags") != "")
 
 
 @register(

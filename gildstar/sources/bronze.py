@@ -8,8 +8,11 @@ from pyspark.sql import types as T
 
 from gildstar.functions.keys import date_key
 
-# Envelope columns of the three raw tables, payload last.
+# Envelope columns of the raw tables, payload last.  No model reads
+# the ranking table.
 ENVELOPES = {
+    "raw_top100": "load_id string, ingested_at timestamp_ntz, source string, endpoint string, "
+    "appid bigint, raw_data variant",
     "raw_details": "load_id string, ingested_at timestamp_ntz, source string, endpoint string, "
     "appid bigint, raw_data variant",
     "raw_store": "load_id string, ingested_at timestamp_ntz, source string, endpoint string, "

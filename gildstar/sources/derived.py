@@ -2,7 +2,9 @@
 
 Narrow projections only, so they scale with their input.  Integer arithmetic
 and text, chosen so that the edge cases of the payloads occur: repeated loads,
-ties, missing keys, quoted numbers, empty and absent sub-documents.
+ties, missing keys, quoted numbers, empty and absent sub-documents.  ``spread``
+cuts an input of too few splits into ranges before the JSON is generated; ranges
+of time keep each day in few tasks.
 """
 
 from __future__ import annotations
@@ -14,13 +16,14 @@ from pyspark.sql import functions as F
 UNKNOWN_APP_OFFSET = 1_000_000_000_000
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def _table(spark: SparkSession, sf_dir: str, name: str, spread: int | None, by: str) -> DataFrame:
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return df.repartitionByRange(spread, by) if spread else df
 
 
-def raw_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_details(spark: SparkSession, sf_dir: str, spread: int | None = None) -> DataFrame:
     """One to three loads per part, with a text payload."""
-    loads = _table(spark, sf_dir, "part").select(
+    loads = _table(spark, sf_dir, "part", spread, "p_partkey").select(
         F.col("p_partkey").alias("k"),
         F.col("p_size").alias("z"),
         "p_name",
@@ -75,10 +78,10 @@ def raw_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_store(spark: SparkSession, sf_dir: str, spread: int | None = None) -> DataFrame:
     """One or two loads for every part that is not of type STANDARD."""
     loads = (
-        _table(spark, sf_dir, "part")
+        _table(spark, sf_dir, "part", spread, "p_partkey")
         .filter("p_type <> 'STANDARD'")
         .select(
             F.col("p_partkey").alias("k"),
@@ -122,9 +125,9 @@ def raw_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_players(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_players(spark: SparkSession, sf_dir: str, spread: int | None = None) -> DataFrame:
     """One snapshot per event; error events belong to apps nobody knows."""
-    return _table(spark, sf_dir, "events").selectExpr(
+    return _table(spark, sf_dir, "events", spread, "ts").selectExpr(
         "concat('players-', event_id) AS load_id",
         "ts + interval 1 minute AS ingested_at",
         "'web_api' AS source",

@@ -45,9 +45,8 @@ def _rows(columns, rows):
     return sorted(tuple(_cell(row[i]) for i in order) for row in rows)
 
 
-def difference(spark, con, run, sql: str, sf_dir: str) -> str | None:
+def difference(con, df, sql: str) -> str | None:
     """None if both sides agree, else a short description."""
-    df = run(spark, sf_dir)
     got_types = {f.name: _SPARK_TYPES.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema}
     got = [tuple(r) for r in df.collect()]
     cursor = con.execute(sql)
