@@ -1,10 +1,10 @@
 """Lookups against tables with one row per key.
 
-Broadcasting is left to Spark, which checks the right side's size against
-``spark.sql.autoBroadcastJoinThreshold`` (and again at run time under AQE).
-When the right side is too large for that, ``lookup`` salts the hot keys of the
-left side: their rows spread over several tasks, and the single matching right
-row is repeated once per salt.
+The right side is broadcast if its size is within the session's
+``spark.sql.autoBroadcastJoinThreshold``; the left side, which may grow through
+explodes that size estimates ignore, never is.  A larger right side is joined by
+sort-merge, and hot keys of the left side are salted: their rows spread over
+several tasks, and the single matching right row is repeated once per salt.
 """
 
 from __future__ import annotations
@@ -52,10 +52,10 @@ def lookup(
     source = require(left, *on) if how == "inner" else left
     limit = _broadcast_limit(right) if broadcast_bytes is None else broadcast_bytes
     if estimated_bytes(right) <= limit:
-        return source.join(right, on, how)
+        return source.join(F.broadcast(right), on, how)
     hot = hot_keys(source, on, rows_per_task)
     if not hot:
-        return source.join(right, on, how)
+        return source.join(right.hint("merge"), on, how)
 
     counts = piece_counts(source, hot, rows_per_task)
     salts = [(*[r[k] for k in on], n) for r, n in zip(hot, counts)]
@@ -71,7 +71,7 @@ def lookup(
         *[right[c] for c in right.columns],
         F.explode(F.expr("sequence(0L, coalesce(_salts, 1) - 1L)")).alias("_salt"),
     )
-    return marked.join(repeated, [*on, "_salt"], how).drop("_salt")
+    return marked.join(repeated.hint("merge"), [*on, "_salt"], how).drop("_salt")
 
 
 @dataclass(frozen=True)

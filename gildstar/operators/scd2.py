@@ -81,7 +81,11 @@ def scd2_apply(
     effective: str,
     version_key: str = "version_key",
 ) -> DataFrame:
-    """The whole history after a snapshot; closed versions pass through untouched."""
+    """The whole history after a snapshot; closed versions pass through untouched.
+
+    ``history`` should be a stored table, best partitioned by ``is_current``: it
+    is read twice, once for the open and once for the closed versions.
+    """
     changed = scd2_changes(
         history.filter("is_current"), snapshot, keys, tracked, effective, version_key
     )

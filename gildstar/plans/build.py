@@ -76,33 +76,38 @@ def build(
     }
     models.update(
         _side_by_side(
-            {n: partial(write_table, df, f"{out_dir}/{n}", layout) for n, (df, layout) in rebuilt.items()}
+            spark,
+            {n: partial(write_table, df, f"{out_dir}/{n}", layout) for n, (df, layout) in rebuilt.items()},
         )
     )
 
+    star = write_table(facts.game_star(games, models, rows_per_task), f"{out_dir}/game_star")
     raw = bronze["raw_players"]
     day = SNAPSHOT_DAY if SNAPSHOT_DAY in raw.columns else None
 
     def snapshots(high: datetime | None) -> DataFrame:
         recent = staging.stg_player_snapshots(newer_than(raw, high, "snapshot_at", day), load_ts)
-        return facts.fct_game_snapshots(recent, games, models, load_ts, rows_per_task)
+        return facts.fct_game_snapshots(recent, star, models["dim_date"], load_ts, rows_per_task)
 
     def achievements(high: datetime | None) -> DataFrame:
         recent = staging.stg_player_achievements(newer_than(raw, high, "snapshot_at", day), load_ts)
-        return facts.fct_achievement_stats(recent, games, models, load_ts, rows_per_task)
+        return facts.fct_achievement_stats(recent, star, models["dim_date"], load_ts, rows_per_task)
 
     targets = fact_targets(out_dir)
     loads = {"fct_game_snapshots": snapshots, "fct_achievement_stats": achievements}
     models.update(
         _side_by_side(
-            {n: partial(load_incremental, spark, fn, targets[n], full_refresh) for n, fn in loads.items()}
+            spark,
+            {n: partial(load_incremental, spark, fn, targets[n], full_refresh) for n, fn in loads.items()},
         )
     )
     return models
 
 
-def _side_by_side(writes: dict[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
+def _side_by_side(
+    spark: SparkSession, writes: dict[str, Callable[[], DataFrame]]
+) -> dict[str, DataFrame]:
     """Submit independent writes together, so that one's last tasks overlap the next's."""
     with ThreadPoolExecutor(max_workers=len(writes)) as pool:
-        running = {name: pool.submit(inheritable_thread_target(fn)) for name, fn in writes.items()}
+        running = {name: pool.submit(inheritable_thread_target(spark)(fn)) for name, fn in writes.items()}
         return {name: future.result() for name, future in running.items()}

@@ -22,17 +22,15 @@ def _date_dim(dim_date: DataFrame) -> Dim:
     return Dim(dim_date, "date_key", "date_key", match=date_key("snapshot_at"))
 
 
-def fct_game_snapshots(
-    snapshots: DataFrame,
-    games: DataFrame,
-    dims: dict[str, DataFrame],
-    load_ts: datetime | str,
-    rows_per_task: int = ROWS_PER_TASK,
+def game_star(
+    games: DataFrame, dims: dict[str, DataFrame], rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
-    """Snapshot metrics per game.
+    """Per game: the keys of its dimensions and the attributes facts copy.
 
-    All dimensions but the calendar hang off the game, so their keys are
-    resolved once per game and the large snapshot table joins once.
+    All dimensions but the calendar hang off the game, so they are looked up
+    once per game and not once per snapshot.  Store the result before joining
+    facts to it: Spark then knows its size, which it cannot estimate through a
+    chain of joins, and broadcasts it only if it is small.
     """
     game = latest_per_key(games, ["app_id"], _LATEST_GAME).select(
         "app_id",
@@ -64,9 +62,23 @@ def fct_game_snapshots(
         ],
         rows_per_task,
     )
+    return keyed.drop("developer", "price_tier", "genres_details")
+
+
+def fct_game_snapshots(
+    snapshots: DataFrame,
+    star: DataFrame,
+    dim_date: DataFrame,
+    load_ts: datetime | str,
+    rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
+    """Snapshot metrics per game; ``star`` is the stored ``game_star``.
+
+    The large snapshot table joins once per game attribute set and once per day.
+    """
     series = snapshots.select("app_id", "current_players", "snapshot_at")
-    joined = lookup(series, keyed, ["app_id"], "inner", rows_per_task)
-    return star_join(joined, [_date_dim(dims["dim_date"])]).select(
+    joined = lookup(series, star, ["app_id"], "inner", rows_per_task)
+    return star_join(joined, [_date_dim(dim_date)]).select(
         surrogate_key("app_id", "snapshot_at").alias("snapshot_key"),
         "game_key",
         "date_key",
@@ -94,12 +106,12 @@ def fct_game_snapshots(
 
 def fct_achievement_stats(
     achievements: DataFrame,
-    games: DataFrame,
-    dims: dict[str, DataFrame],
+    star: DataFrame,
+    dim_date: DataFrame,
     load_ts: datetime | str,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Achievement difficulty per game and snapshot.
+    """Achievement difficulty per game and snapshot; ``star`` is the stored ``game_star``.
 
     The rank is taken before the join: its groups are finer than the join key,
     so the join drops whole groups only, and ranking on (game, snapshot)
@@ -115,15 +127,8 @@ def fct_achievement_stats(
         "difficulty_rank",
         rows_per_task,
     )
-    known = latest_per_key(
-        games.select("app_id", "_loaded_at", "_ingested_at"), ["app_id"], _LATEST_GAME
-    ).select("app_id")
-    current = Dim(
-        dims["dim_games"], "app_id", "game_key", F.col("app_id"), where=F.col("is_current")
-    )
-    keyed = star_join(known, [current], rows_per_task)
-    joined = lookup(ranked, keyed, ["app_id"], "inner", rows_per_task)
-    return star_join(joined, [_date_dim(dims["dim_date"])]).select(
+    joined = lookup(ranked, star.select("app_id", "game_key"), ["app_id"], "inner", rows_per_task)
+    return star_join(joined, [_date_dim(dim_date)]).select(
         surrogate_key("app_id", "achievement_name", "snapshot_at").alias("stat_key"),
         "game_key",
         "date_key",

@@ -43,14 +43,17 @@ def stored_games(spark: SparkSession, sf_dir: str) -> DataFrame:
     return write_table(games(spark, sf_dir), f"{run_folder(spark, 'games')}/int_games_enriched")
 
 
-def dims(spark: SparkSession, enriched: DataFrame) -> dict[str, DataFrame]:
-    return {
+def stored_star(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Enriched games and the keys of their dimensions, each written once."""
+    folder = run_folder(spark, "star")
+    enriched = write_table(games(spark, sf_dir), f"{folder}/int_games_enriched")
+    dims = {
         "dim_games": dimensions.dim_games(enriched),
         "dim_genre": dimensions.dim_genre(enriched),
         "dim_developer": dimensions.dim_developer(enriched),
         "dim_price_tier": dimensions.dim_price_tier(spark),
-        "dim_date": dimensions.dim_date(spark),
     }
+    return write_table(facts.game_star(enriched, dims), f"{folder}/game_star")
 
 
 @register(
@@ -176,10 +179,8 @@ def dim_games(spark: SparkSession, sf_dir: str) -> DataFrame:
     + "SELECT * REPLACE (round(review_score, 6) AS review_score) FROM fct_snapshots",
 )
 def fct_game_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    enriched = stored_games(spark, sf_dir)
-    return publish(
-        facts.fct_game_snapshots(snapshots(spark, sf_dir), enriched, dims(spark, enriched), LOAD_TS)
-    )
+    star, dim_date = stored_star(spark, sf_dir), dimensions.dim_date(spark)
+    return publish(facts.fct_game_snapshots(snapshots(spark, sf_dir), star, dim_date, LOAD_TS))
 
 
 @register(
@@ -188,11 +189,9 @@ def fct_game_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     + "SELECT * REPLACE (round(unlock_pct, 6) AS unlock_pct) FROM fct_achievements",
 )
 def fct_achievement_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    enriched = stored_games(spark, sf_dir)
+    star, dim_date = stored_star(spark, sf_dir), dimensions.dim_date(spark)
     return publish(
-        facts.fct_achievement_stats(
-            achievements(spark, sf_dir), enriched, dims(spark, enriched), LOAD_TS
-        )
+        facts.fct_achievement_stats(achievements(spark, sf_dir), star, dim_date, LOAD_TS)
     )
 
 

@@ -17,9 +17,9 @@ from gildstar.operators.incremental import (
     sync_schema,
 )
 from gildstar.operators.scd2 import scd2_apply, scd2_start
-from gildstar.plans import facts, staging
+from gildstar.plans import dimensions, facts, staging
 from gildstar.plans.build import SNAPSHOT_DAY
-from gildstar.queries.dataflows import dims, stored_games
+from gildstar.queries.dataflows import stored_star
 from gildstar.queries.registry import LOAD_TS, bronze, publish, register, table
 from gildstar.queries.sqltext import with_ctes
 from gildstar.session import run_folder
@@ -41,8 +41,7 @@ def _first_ingestion(raw: DataFrame) -> DataFrame:
 )
 def load_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two ingestions, three loads: full, incremental, and one that finds nothing new."""
-    games = stored_games(spark, sf_dir)
-    stored_dims = dims(spark, games)
+    star, dim_date = stored_star(spark, sf_dir), dimensions.dim_date(spark)
     everything = bronze(spark, sf_dir, "raw_players")
     target = Target(f"{run_folder(spark, 'load')}/fct_game_snapshots", ["snapshot_key"], "snapshot_at")
 
@@ -50,7 +49,7 @@ def load_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
         def build(high: datetime | None) -> DataFrame:
             recent = newer_than(raw, high, "snapshot_at", SNAPSHOT_DAY)
             rows = staging.stg_player_snapshots(recent, LOAD_TS)
-            return facts.fct_game_snapshots(rows, games, stored_dims, LOAD_TS)
+            return facts.fct_game_snapshots(rows, star, dim_date, LOAD_TS)
 
         return load_incremental(spark, build, target)
 
@@ -65,8 +64,7 @@ def load_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     + "SELECT * REPLACE (round(unlock_pct, 6) AS unlock_pct) FROM fct_achievements",
 )
 def load_achievements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    games = stored_games(spark, sf_dir)
-    stored_dims = dims(spark, games)
+    star, dim_date = stored_star(spark, sf_dir), dimensions.dim_date(spark)
     everything = bronze(spark, sf_dir, "raw_players")
     target = Target(f"{run_folder(spark, 'load')}/fct_achievement_stats", ["stat_key"], "snapshot_at")
 
@@ -74,7 +72,7 @@ def load_achievements(spark: SparkSession, sf_dir: str) -> DataFrame:
         def build(high: datetime | None) -> DataFrame:
             recent = newer_than(raw, high, "snapshot_at", SNAPSHOT_DAY)
             rows = staging.stg_player_achievements(recent, LOAD_TS)
-            return facts.fct_achievement_stats(rows, games, stored_dims, LOAD_TS)
+            return facts.fct_achievement_stats(rows, star, dim_date, LOAD_TS)
 
         return load_incremental(spark, build, target)
 
@@ -166,7 +164,10 @@ def history(spark: SparkSession, sf_dir: str) -> DataFrame:
     def snapshot(day: int) -> DataFrame:
         return loads.withColumn("seen_at", seen).filter(F.col("day") == day).drop("day")
 
-    out = scd2_start(snapshot(0), ["app_id"], "seen_at")
+    folder = run_folder(spark, "history")
+    first = scd2_start(snapshot(0), ["app_id"], "seen_at")
+    out = write_table(first, f"{folder}/day0", partition_by=["is_current"])
     for day in (1, 2):
-        out = scd2_apply(out, snapshot(day), ["app_id"], ["cents", "discount_pct"], "seen_at")
+        changed = scd2_apply(out, snapshot(day), ["app_id"], ["cents", "discount_pct"], "seen_at")
+        out = write_table(changed, f"{folder}/day{day}", partition_by=["is_current"])
     return out
