@@ -185,8 +185,7 @@ def _write(df: DataFrame, path: str, partition: str, dynamic: bool = False) -> N
 
 
 def _mark_loaded(spark: SparkSession, target: Target, schema: T.StructType) -> None:
-    nullable = T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
-    _write_text(spark, f"{target.path}/{_MARKER}", nullable.json())
+    _write_text(spark, f"{target.path}/{_MARKER}", schema.json())
 
 
 def _publish(spark: SparkSession, target: Target) -> None:
@@ -220,27 +219,45 @@ def load_incremental(
     """
     recover(spark, target)
     if full_refresh or not target_exists(spark, target):
-        return _load_full(spark, build(None), target)
+        return load_full(spark, build(None), target)
+    return load_batch(spark, build(high_water(spark, target)), target)
 
-    batch = build(high_water(spark, target))
+
+def load_full(spark: SparkSession, df: DataFrame, target: Target) -> DataFrame:
+    """Replace the whole target; it counts as loaded once its keys proved unique."""
+    _delete(spark, f"{target.path}/{_MARKER}")
+    _write(df, target.path, target.partition)
+    schema = _stored_schema(df, target.partition)
+    assert_unique(spark.read.schema(schema).parquet(target.path), target.keys)
+    _mark_loaded(spark, target, schema)
+    return read_target(spark, target)
+
+
+def load_batch(
+    spark: SparkSession, batch: DataFrame, target: Target, replaced: frozenset[int] = frozenset()
+) -> DataFrame:
+    """Upsert a batch into the partitions it touches, stage first, then publish.
+
+    Rows already in a touched partition stay unless the batch has their key.
+    Partitions in ``replaced`` are instead given by the batch alone.
+    """
     _write(batch, f"{target.stage}/batch", target.partition)
-    columns = [c for c in batch.columns if c != target.partition] + [target.partition]
-    schema = T.StructType([T.StructField(c, batch.schema[c].dataType, True) for c in columns])
+    schema = _stored_schema(batch, target.partition)
     staged = spark.read.schema(schema).parquet(f"{target.stage}/batch")
     assert_unique(staged, target.keys)
 
     touched = _partitions(spark, f"{target.stage}/batch", target.partition)
-    shared = touched & _partitions(spark, target.path, target.partition)
+    merging = (touched & _partitions(spark, target.path, target.partition)) - replaced
     folder = "batch"
-    if shared:
-        before = read_target(spark, target).filter(_in_partitions(target.partition, shared))
+    if merging:
+        before = read_target(spark, target).filter(_in_partitions(target.partition, merging))
         _write(
             merge_upsert(before, staged, target.keys, check=False),
             f"{target.stage}/merged",
             target.partition,
         )
         folder = "merged"
-    if touched or set(columns) != set(read_target(spark, target).columns):
+    if touched or set(schema.names) != set(read_target(spark, target).columns):
         ready = {"schema": json.loads(schema.json()), "folder": folder}
         _write_text(spark, f"{target.stage}/{_READY}", json.dumps(ready))
         _publish(spark, target)
@@ -249,11 +266,7 @@ def load_incremental(
     return read_target(spark, target)
 
 
-def _load_full(spark: SparkSession, df: DataFrame, target: Target) -> DataFrame:
-    _delete(spark, f"{target.path}/{_MARKER}")
-    _write(df, target.path, target.partition)
-    columns = [c for c in df.columns if c != target.partition] + [target.partition]
-    schema = T.StructType([T.StructField(c, df.schema[c].dataType, True) for c in columns])
-    assert_unique(spark.read.schema(schema).parquet(target.path), target.keys)
-    _mark_loaded(spark, target, schema)
-    return read_target(spark, target)
+def _stored_schema(df: DataFrame, partition: str) -> T.StructType:
+    """Columns as Parquet returns them: nullable, the partition column last."""
+    columns = [c for c in df.columns if c != partition] + [partition]
+    return T.StructType([T.StructField(c, df.schema[c].dataType, True) for c in columns])

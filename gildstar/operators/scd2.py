@@ -4,14 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gildstar.functions.keys import surrogate_key
+from gildstar.functions.keys import date_key, surrogate_key
 from gildstar.operators.filters import null_of
+from gildstar.operators.incremental import (
+    Target,
+    load_batch,
+    load_full,
+    read_target,
+    recover,
+    target_exists,
+)
 
 VALIDITY = ("valid_from", "valid_to", "is_current")
 
+# Partition column of a stored history: the day a version closed, 0 while it is open.
+CLOSED_DAY = "closed_day"
+OPEN = 0
+
 
 def scd2_start(
     snapshot: DataFrame, keys: Sequence[str], effective: str, version_key: str = "version_key"
@@ -90,3 +102,36 @@ def scd2_apply(
         history.filter("is_current"), snapshot, keys, tracked, effective, version_key
     )
     return history.filter("NOT is_current").unionByName(changed)
+
+
+def history_target(path: str, version_key: str = "version_key") -> Target:
+    """A stored history, one partition for open versions and one per closing day."""
+    return Target(path, [version_key], "valid_from", CLOSED_DAY)
+
+
+def load_scd2(
+    spark: SparkSession,
+    snapshot: DataFrame,
+    target: Target,
+    keys: Sequence[str],
+    tracked: Sequence[str],
+    effective: str,
+) -> DataFrame:
+    """Bring a stored history up to date and return it.
+
+    Rewrites the open versions and the days on which versions close now; older
+    closed versions are neither read nor written.  Loading the same snapshot
+    again changes nothing.
+    """
+    version_key = target.keys[0]
+    recover(spark, target)
+
+    def dated(versions: DataFrame) -> DataFrame:
+        day = F.when(F.col("is_current"), F.lit(OPEN)).otherwise(date_key("valid_to"))
+        return versions.withColumn(CLOSED_DAY, day)
+
+    if not target_exists(spark, target):
+        return load_full(spark, dated(scd2_start(snapshot, keys, effective, version_key)), target)
+    current = read_target(spark, target).filter(F.col(CLOSED_DAY) == OPEN).drop(CLOSED_DAY)
+    changes = scd2_changes(current, snapshot, keys, tracked, effective, version_key)
+    return load_batch(spark, dated(changes), target, replaced=frozenset({OPEN}))

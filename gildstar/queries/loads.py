@@ -14,9 +14,10 @@ from gildstar.operators.incremental import (
     load_incremental,
     merge_upsert,
     newer_than,
+    read_target,
     sync_schema,
 )
-from gildstar.operators.scd2 import scd2_apply, scd2_start
+from gildstar.operators.scd2 import CLOSED_DAY, history_target, load_scd2, scd2_apply, scd2_start
 from gildstar.plans import dimensions, facts, staging
 from gildstar.plans.build import SNAPSHOT_DAY
 from gildstar.queries.dataflows import stored_star
@@ -140,19 +141,19 @@ def current(spark: SparkSession, sf_dir: str) -> DataFrame:
     return current_dim(keyed, "seen_at")
 
 
-@register(
-    "L6_scd2",
-    with_ctes("d_rows")
-    + """SELECT md5(app_id || '-' || CAST(valid_from AS VARCHAR)) AS version_key, app_id, cents, discount_pct, valid_from,
+_HISTORY_SQL = with_ctes("d_rows") + (
+    """SELECT md5(app_id || '-' || CAST(valid_from AS VARCHAR)) AS version_key, app_id, cents, discount_pct, valid_from,
                 lead(valid_from) OVER w AS valid_to, lead(valid_from) OVER w IS NULL AS is_current
          FROM (SELECT k AS app_id, cents, discount_pct,
                       TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST(v AS INTEGER)) AS valid_from
                FROM (SELECT *, lag(cents) OVER (PARTITION BY k ORDER BY v) AS before FROM d_rows)
                WHERE v = 0 OR cents IS DISTINCT FROM before)
-         WINDOW w AS (PARTITION BY app_id ORDER BY valid_from)""",
+         WINDOW w AS (PARTITION BY app_id ORDER BY valid_from)"""
 )
-def history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Price history over three daily snapshots; games missing from one stay open."""
+
+
+def _daily_snapshots(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Three daily snapshots of game prices; later ones lack some games."""
     loads = bronze(spark, sf_dir, "raw_details").select(
         F.col("appid").alias("app_id"),
         F.expr("raw_data:price::bigint").alias("cents"),
@@ -161,13 +162,26 @@ def history(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     seen = F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(day)")
 
-    def snapshot(day: int) -> DataFrame:
-        return loads.withColumn("seen_at", seen).filter(F.col("day") == day).drop("day")
+    return [loads.withColumn("seen_at", seen).filter(F.col("day") == d).drop("day") for d in range(3)]
 
+
+@register("L6_scd2", _HISTORY_SQL)
+def history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Price history, rebuilt with each snapshot; games missing from one stay open."""
     folder = run_folder(spark, "history")
-    first = scd2_start(snapshot(0), ["app_id"], "seen_at")
-    out = write_table(first, f"{folder}/day0", partition_by=["is_current"])
-    for day in (1, 2):
-        changed = scd2_apply(out, snapshot(day), ["app_id"], ["cents", "discount_pct"], "seen_at")
+    first, *later = _daily_snapshots(spark, sf_dir)
+    opened = scd2_start(first, ["app_id"], "seen_at")
+    out = write_table(opened, f"{folder}/day0", partition_by=["is_current"])
+    for day, snapshot in enumerate(later, 1):
+        changed = scd2_apply(out, snapshot, ["app_id"], ["cents", "discount_pct"], "seen_at")
         out = write_table(changed, f"{folder}/day{day}", partition_by=["is_current"])
     return out
+
+
+@register("L6_scd2_stored", _HISTORY_SQL)
+def stored_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same in a stored history that rewrites only what a snapshot changes."""
+    target = history_target(f"{run_folder(spark, 'history')}/prices")
+    for snapshot in _daily_snapshots(spark, sf_dir):
+        load_scd2(spark, snapshot, target, ["app_id"], ["cents", "discount_pct"], "seen_at")
+    return read_target(spark, target).drop(CLOSED_DAY)

@@ -4,9 +4,16 @@ from __future__ import annotations
 
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
-from gildstar.operators.scd2 import scd2_apply, scd2_changes, scd2_start
+from gildstar.operators import incremental as inc
+from gildstar.operators.incremental import read_target
+from gildstar.operators.scd2 import history_target, load_scd2, scd2_apply, scd2_changes, scd2_start
+
+
+def lost(*args, **kwargs):
+    raise RuntimeError("driver lost")
 
 
 def snap(spark, day, *rows):
@@ -63,3 +70,29 @@ def test_changes_leave_closed_history_out(spark):
     changed = scd2_changes(h.filter("is_current"), snap(spark, 3, (1, 12, "a")), ["id"], ["price"], "seen")
     assert versions(changed) == [(1, 11, 2, 3, False), (1, 12, 3, None, True)]
     assert changed.filter("valid_to IS NULL").collect()[0].valid_from == datetime(2024, 1, 3)
+
+
+def test_stored_history_equals_the_operator_and_keeps_old_days(spark, tmp_path, monkeypatch):
+    target = history_target(str(tmp_path / "h"))
+    snaps = [
+        snap(spark, 1, (1, 10, "a"), (2, 5, "b"), (4, 1, "d")),
+        snap(spark, 2, (1, 12, "a"), (2, 5, "b")),
+        snap(spark, 3, (1, 10, "a"), (3, 7, "c"), (4, 2, "d")),
+        snap(spark, 3, (2, 6, "b")),
+        snap(spark, 4, (2, 9, "b"), (9, None, "z")),
+    ]
+    want = scd2_start(snaps[0], ["id"], "seen")
+    load_scd2(spark, snaps[0], target, ["id"], ["price"], "seen")
+    for i, s in enumerate(snaps[1:], 1):
+        want = apply(want, s).cache()
+        if i == 4:
+            closed = sorted(p.name for p in (tmp_path / "h" / "closed_day=20240103").iterdir())
+            with monkeypatch.context() as patch:
+                patch.setattr(inc, "_mark_loaded", lost)
+                with pytest.raises(RuntimeError):
+                    load_scd2(spark, s, target, ["id"], ["price"], "seen")
+        load_scd2(spark, s, target, ["id"], ["price"], "seen")
+        assert versions(read_target(spark, target)) == versions(want)
+    assert sorted(p.name for p in (tmp_path / "h" / "closed_day=20240103").iterdir()) == closed
+    load_scd2(spark, snaps[-1], target, ["id"], ["price"], "seen")
+    assert versions(read_target(spark, target)) == versions(want)
