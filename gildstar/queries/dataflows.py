@@ -9,7 +9,7 @@ from gildstar.functions.scalars import pct_change
 from gildstar.operators.series import lag_by
 from gildstar.plans import dimensions, facts, intermediate, staging
 from gildstar.queries.registry import LOAD_TS, bronze, publish, register, table
-from gildstar.queries.sqltext import calendar_sql, with_ctes
+from gildstar.queries.sqltext import TREND, calendar_sql, with_ctes
 from gildstar.session import run_folder
 from gildstar.sources.tables import write_table
 
@@ -197,9 +197,7 @@ def fct_achievement_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "daily_trend",
-    """SELECT user_id, day, n, prev_n, round(pct, 6) AS pct,
-              CASE WHEN prev_n IS NULL THEN 'first_snapshot' WHEN pct >= 10 THEN 'growing'
-                   WHEN pct <= -10 THEN 'declining' ELSE 'stable' END AS trend_label
+    f"""SELECT user_id, day, n, prev_n, round(pct, 6) AS pct, {TREND.format(prev='prev_n', pct='pct')} AS trend_label
        FROM (SELECT *, (n - prev_n) / CAST(prev_n AS DOUBLE) * 100.0 AS pct
              FROM (SELECT *, lag(n) OVER (PARTITION BY user_id ORDER BY day) AS prev_n
                    FROM (SELECT user_id, CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY ALL)))""",

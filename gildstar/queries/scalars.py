@@ -22,7 +22,7 @@ from gildstar.functions.scalars import (
 from gildstar.plans.dimensions import GENRE_CATEGORIES, OTHER_CATEGORY, calendar_columns
 from gildstar.plans.intermediate import LOWEST_REVIEW_BAND, PRICE_BANDS, REVIEW_BANDS, TOP_PRICE_BAND
 from gildstar.queries.registry import bronze, publish, register, table
-from gildstar.queries.sqltext import calendar_sql, with_ctes
+from gildstar.queries.sqltext import REVIEWS, banded, calendar_sql, with_ctes
 
 
 def _raw_details(spark: SparkSession, sf_dir: str, **paths: str) -> DataFrame:
@@ -229,10 +229,8 @@ def priority_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "M10_bands",
-    """SELECT o_orderkey, CASE WHEN score >= 0.95 THEN 'Overwhelmingly Positive' WHEN score >= 0.85 THEN 'Very Positive'
-              WHEN score >= 0.70 THEN 'Mostly Positive' WHEN score >= 0.40 THEN 'Mixed'
-              WHEN score >= 0.20 THEN 'Mostly Negative' ELSE 'Overwhelmingly Negative' END AS label
-       FROM (SELECT o_orderkey, o_totalprice / 500000 AS score FROM orders)""",
+    f"""SELECT o_orderkey, {banded('score', *REVIEWS)} AS label
+        FROM (SELECT o_orderkey, o_totalprice / 500000 AS score FROM orders)""",
 )
 def bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     score = F.col("o_totalprice") / F.lit(500000)
@@ -243,9 +241,9 @@ def bands(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "M11_bands_below",
-    """SELECT p_partkey, p_retailprice, CASE WHEN p_size = 1 THEN 'free' WHEN price < 5 THEN 'budget'
-              WHEN price < 20 THEN 'mid' WHEN price < 40 THEN 'premium' ELSE 'aaa' END AS tier
-       FROM (SELECT *, p_retailprice / 20 * p_size / 50 AS price FROM part)""",
+    f"""SELECT p_partkey, p_retailprice,
+               CASE p_size WHEN 1 THEN 'free' ELSE {banded('price', 'budget', [(5, 'mid'), (20, 'premium'), (40, 'aaa')])} END AS tier
+        FROM (SELECT *, p_retailprice / 20 * p_size / 50 AS price FROM part)""",
 )
 def bands_below(spark: SparkSession, sf_dir: str) -> DataFrame:
     price = F.col("p_retailprice") / 20 * F.col("p_size") / 50
@@ -255,11 +253,10 @@ def bands_below(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "M12_category",
-    with_ctes("d_rows")
-    + """SELECT load_id, CASE WHEN g = 'Free To Play' THEN 'monetization_model' WHEN g = 'Early Access' THEN 'release_state'
-                WHEN g IN ('Action', 'Adventure', 'Casual', 'Indie', 'Massively Multiplayer', 'RPG', 'Racing',
-                           'Simulation', 'Sports', 'Strategy') THEN 'core_genre' ELSE 'other' END AS kind
-         FROM (SELECT load_id, trim(split_part(genres, ',', 2)) AS g FROM d_rows)""",
+    with_ctes("d_rows", "dim_genre")
+    + """SELECT load_id, ifnull(genre_category, 'other') AS kind
+         FROM (SELECT load_id, trim(split_part(genres, ',', 2)) AS genre_name FROM d_rows)
+         LEFT JOIN dim_genre USING (genre_name)""",
 )
 def membership_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _raw_details(spark, sf_dir, genres="genre::string")

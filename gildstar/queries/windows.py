@@ -78,9 +78,8 @@ def top_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _TOP_TAGS_SQL = with_ctes("d_tags") + (
-    """SELECT load_id, string_agg(tag, ', ' ORDER BY votes DESC, tag) AS top_tags
-       FROM (SELECT *, row_number() OVER (PARTITION BY load_id ORDER BY votes DESC, tag) AS rn FROM d_tags)
-       WHERE rn <= 5 GROUP BY load_id"""
+    """SELECT load_id, array_to_string(list_slice(list(tag ORDER BY votes DESC, tag), 1, 5), ', ') AS top_tags
+       FROM d_tags GROUP BY load_id"""
 )
 
 
