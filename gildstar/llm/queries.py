@@ -7,7 +7,15 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from gildstar.llm.jaccard_join import jaccard_components
+from gildstar.llm.main_text import extract
+from gildstar.llm.mixing import Mix
+from gildstar.llm.quality_classifier import classify
+from gildstar.llm.quality_rules import apply_rules
+from gildstar.llm.sanitise import Sanitiser
 from gildstar.llm.token_counts import count_tokens
+from gildstar.llm.token_file import read_token_file, write_token_file
+from gildstar.session import run_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -32,3 +40,41 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(
         read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=1024
     )
+
+
+@query("op1_token_file")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = f"{run_folder(spark, 'token-file')}/ids"
+    path = public_tokenizers.path("word_bpe_49k.json")
+    write_token_file(read(spark, sf_dir, "documents"), target, path, end_id=2)
+    return read_token_file(spark, target)
+
+
+@query("op2_main_text")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(read(spark, sf_dir, "pages"))
+
+
+@query("op6_jaccard_join")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(read(spark, sf_dir, "documents"), n=3, percent=90)
+
+
+@query("op7_quality_rules")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return apply_rules(read(spark, sf_dir, "documents"))
+
+
+@query("op8_sanitise")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Sanitiser(read(spark, sf_dir, "documents")).digest()
+
+
+@query("op9_mixing")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Mix(read(spark, sf_dir, "documents")).taken()
+
+
+@query("op10_quality_classifier")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
