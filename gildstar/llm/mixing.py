@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from gildstar.llm.common import SPACES
 from gildstar.session import run_folder
 
-BLOCK_WORDS = 1 << 16
-BLOCKS_PER_SHARD = 64
+BLOCK_WORDS = 1 << 14
+BLOCKS_PER_SHARD = 256
 MOST_COPIES = 3
 _UNIT = float(1 << 53)
 
