@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
 # Text bytes that a task holds in working arrays at one time.
 SLICE_BYTES = 8 << 20
@@ -14,12 +17,14 @@ SLICE_BYTES = 8 << 20
 # The white space of the contracts: space, tab, line feed, vertical tab, form feed, carriage return.
 SPACES = r"\x20\x09-\x0D"
 
-_LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 
-
-def lower_ascii(text: str) -> str:
-    """A-Z in lower case, everything else as it is."""
-    return text.translate(_LOWER)
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver did, besides their own paths."""
+    root = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
 
 
 def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from gildstar.llm.common import importable
+from gildstar.llm.decontaminate import find_leaks
 from gildstar.llm.jaccard_join import jaccard_components
 from gildstar.llm.main_text import extract
 from gildstar.llm.mixing import Mix
@@ -23,10 +26,15 @@ SQL: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None):
     def add(fn):
-        QUERIES[name] = fn
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            importable(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql:
             SQL[name] = sql
-        return fn
+        return run
 
     return add
 
@@ -78,3 +86,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_quality_classifier")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query("op5_decontaminate")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
