@@ -10,10 +10,12 @@ safe against lost executors, and no step needs all ids at one place.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -28,6 +30,8 @@ BLOCK_TOKENS = 1 << 16
 # Fixed value: the splitting pattern of the lower-casing tokenizer.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _PLAIN = regex.compile(r"[\x21-\x7e¡-ÿ]*")
+# Latin letters followed by ASCII marks other than the apostrophe: always two pre-tokens, or one.
+_LETTERS_MARKS = r"^(?P<letters>[A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{FF}]+)(?P<marks>[!-&(-/:-@\[-`{-~]*)$"
 _CACHED_PIECES = 400_000
 
 _FILE = pa.schema(
@@ -83,30 +87,62 @@ class WordTokens:
             return self.tokenizer.encode(word, add_special_tokens=False).ids
         ids: list[int] = []
         for piece in self._pattern.findall(word.lower()):
-            known = self._pieces.get(piece)
-            if known is None:
-                if len(self._pieces) >= _CACHED_PIECES:
-                    self._pieces.clear()
-                known = self._pieces[piece] = [t.id for t in self.tokenizer.model.tokenize(byte_level(piece))]
-            ids += known
+            ids += self.of_piece(piece)
         return ids
 
+    def of_piece(self, piece: str) -> list[int]:
+        known = self._pieces.get(piece)
+        if known is None:
+            if len(self._pieces) >= _CACHED_PIECES:
+                self._pieces.clear()
+            known = self._pieces[piece] = [t.id for t in self.tokenizer.model.tokenize(byte_level(piece))]
+        return known
+
+    def of_words(self, distinct: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Packed ids of distinct words: (ids, start and number of ids per word)."""
+        parts = pc.extract_regex(distinct, _LETTERS_MARKS)
+        usual = np.asarray(parts.is_valid(), bool)
+        odd = [self.of_word(w) for w in distinct.filter(pa.array(~usual)).to_pylist()]
+        fields = parts.filter(pa.array(usual)).flatten()
+        front, letters = encode_words(pc.utf8_lower(fields[0]))
+        back, marks = encode_words(fields[1])
+        lists = [self.of_piece(w) for w in letters.to_pylist()]
+        lists += [self.of_piece(w) if w else [] for w in marks.to_pylist()]
+        lists += odd
+        lengths = np.array([len(x) for x in lists], np.int64)
+        starts = np.cumsum(lengths) - lengths
+        flat = np.array([i for x in lists for i in x], np.uint32)
+        # A usual word is its letters and its marks, an odd one a list of its own.
+        pieces = np.empty(2 * int(usual.sum()) + len(odd), np.int64)
+        count = np.where(usual, 2, 1)
+        first = np.cumsum(count) - count
+        pieces[first[usual]] = front
+        pieces[first[usual] + 1] = back + len(letters)
+        pieces[first[~usual]] = len(letters) + len(marks) + np.arange(len(odd))
+        ids = flat[expand(pieces, starts, lengths)]
+        n = np.bincount(np.repeat(np.arange(len(usual)), count), lengths[pieces], len(usual)).astype(np.int64)
+        return ids, np.cumsum(n) - n, n
+
     def of_texts(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids with ``end_id`` after each text, and the number of ids per text."""
         words, per_text = split_words(texts)
         codes, distinct = encode_words(words)
-        encoded = [self.of_word(w) for w in distinct.to_pylist()]
-        lengths = np.array([len(e) for e in encoded], np.int64)
-        flat = np.array([i for e in encoded for i in e], np.uint32)
+        flat, starts, lengths = self.of_words(distinct)
         owner = np.repeat(np.arange(len(texts)), per_text)
         n = np.bincount(owner, lengths[codes] if len(codes) else None, len(texts)).astype(np.int64) + 1
         ids = np.full(int(n.sum()), end_id, np.uint32)
         body = np.ones(len(ids), bool)
         body[np.cumsum(n) - 1] = False
-        ids[body] = flat[expand(codes, np.cumsum(lengths) - lengths, lengths)]
+        ids[body] = flat[expand(codes, starts, lengths)]
         return ids, n
 
 
+@functools.lru_cache(maxsize=2)
+def word_tokens(path: str) -> WordTokens:
+    """One encoder per worker process, so that later tasks find known pieces."""
+    return WordTokens(path)
+
+
 def write_token_file(
     docs: DataFrame, target: str, path: str, end_id: int, doc_id: str = "doc_id", text: str = "text"
 ) -> None:
@@ -119,7 +155,7 @@ def write_token_file(
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, shard, frame_number = WordTokens(path), TaskContext.get().partitionId(), 0
+        tokens, shard, frame_number = word_tokens(path), TaskContext.get().partitionId(), 0
         for part in slices(batches, "text"):
             ids, n = tokens.of_texts(large_texts(part.column("text")), end_id)
             blocks = (np.cumsum(n) - n) // BLOCK_TOKENS
