@@ -13,6 +13,7 @@ from gildstar.llm.decontaminate import find_leaks
 from gildstar.llm.jaccard_join import jaccard_components
 from gildstar.llm.main_text import extract
 from gildstar.llm.mixing import Mix
+from gildstar.llm.ppm import score
 from gildstar.llm.quality_classifier import classify
 from gildstar.llm.quality_rules import apply_rules
 from gildstar.llm.sanitise import Sanitiser
@@ -91,3 +92,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_decontaminate")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query("op4_ppm")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score(read(spark, sf_dir, "documents"))
