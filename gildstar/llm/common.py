@@ -40,10 +40,14 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = SLICE_BYTE
 
 
 def large_texts(column: pa.Array) -> pa.Array:
-    """The texts as large strings, NULL as the empty text."""
+    """The texts as large strings of their own, NULL as the empty text.
+
+    Some kernels go wrong on strings whose first byte is not the buffer's first,
+    as in slices; taking all rows copies them.
+    """
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    return pc.fill_null(column.cast(pa.large_string()), "")
+    return pc.fill_null(column.take(pa.array(np.arange(len(column)))).cast(pa.large_string()), "")
 
 
 def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
