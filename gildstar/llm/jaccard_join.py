@@ -3,12 +3,14 @@
 Sets are put into size bands so narrow that two sets with the wanted similarity
 lie in the same or in neighbouring bands; each set is signed for its own band
 and the next.  Within a band the similarity bounds the Hamming distance by k.
-The shingle domain is cut by hash into n1 parts, each into three cells.  Two
-sets within k differ by one shingle at most in at least two of the n1 parts,
-and there agree on two of the three cells: a signature is the hash of a pair of
-cells.  So no link is missed.  Signatures of empty cell pairs, which unlike sets
-share, are left out unless a set has more than one such part (then another
-shared part is not sure to be filled).
+The shingle domain is cut by hash into n1 parts, each into three cells.  n1 is
+so large that two sets within k differ by at most k2 shingles in at least
+1 + ``slack`` of the parts; there they agree on some 3 - k2 cells.  Signatures
+are the hashes of all sets of 3 - k2 cells of a part, so no link is missed.
+Signatures of empty cells, which unlike sets share, are left out unless a set
+has more than ``slack`` parts with one (then another shared part is not sure to
+be filled).  k2 is 1 for high similarities, where cells hold many shingles, and
+2 for lower ones, which would otherwise need many more signatures.
 
 Equal sets form a class first.  Links are then searched between classes only,
 and only as far as components need them: each class is verified against the
@@ -21,6 +23,7 @@ of one per pair, and no link between components is lost.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -55,8 +58,8 @@ def shingle_sets(texts: pa.Array, n: int) -> list[np.ndarray]:
             sets.append(np.unique(rolled[end - count : end - n + 1]))
         elif count:
             whole = np.array([count], np.uint64)
-            for x in w[end - count : end]:
-                whole = mix64(whole * _ODD[2] + x * _ODD[3])
+            for i in range(end - count, end):
+                whole = mix64(whole * _ODD[2] + w[i : i + 1] * _ODD[3])
             sets.append(whole)
         else:
             sets.append(np.zeros(0, np.uint64))
@@ -72,6 +75,11 @@ def set_keys(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return keys[0], keys[1]
 
 
+def differing_cells(percent: int) -> int:
+    """k2: by how many shingles two similar sets may differ in a part that they share."""
+    return 1 if percent >= 85 else 2
+
+
 def size_bands(percent: int, limit: int = 1 << 31) -> np.ndarray:
     """Lower ends of the size bands: a band reaches from l to floor(100 l / percent)."""
     lower = [1]
@@ -80,14 +88,9 @@ def size_bands(percent: int, limit: int = 1 << 31) -> np.ndarray:
     return np.array(lower, np.int64)
 
 
-def hamming_bound(upper: int, percent: int) -> int:
-    """The most by which two sets of at most ``upper`` members can differ at ``percent`` similarity."""
-    return 2 * upper * (100 - percent) // (100 + percent)
-
-
 def signatures(sets: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
     """(position of the set, signature) for all signatures of all sets."""
-    bands = size_bands(percent)
+    bands, k2 = size_bands(percent), differing_cells(percent)
     owners, signs = [], []
     sizes = np.array([len(s) for s in sets], np.int64)
     mine = np.searchsorted(bands, sizes, side="right") - 1
@@ -99,7 +102,8 @@ def signatures(sets: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.nda
         band = mine + step
         upper = bands[np.clip(band + 1, 0, len(bands) - 1)] - 1
         k = 2 * upper * (100 - percent) // (100 + percent)
-        n1 = np.where((k > 0) & (sizes > 0), (k + 2) // 2 + 1, 0)  # one part more than needed
+        slack = 1 + k // (8 * (k2 + 1))
+        n1 = np.where((k > 0) & (sizes > 0), k // (k2 + 1) + 1 + slack, 0)
         first = np.cumsum(n1) - n1
         of = np.repeat(np.arange(len(sets)), sizes)
         use = n1[of] > 0
@@ -116,14 +120,14 @@ def signatures(sets: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.nda
         counts = np.bincount(cell[use], minlength=total).reshape(-1, CELLS)
         owner = np.repeat(np.arange(len(sets)), n1)
         part = np.arange(len(owner)) - first[owner]
-        pairs = [(0, 1), (0, 2), (1, 2)]
-        empty = np.stack([counts[:, a] + counts[:, b] == 0 for a, b in pairs], 1)
-        many_empty = np.bincount(owner, empty.any(1), len(sets)) > 1
+        subsets = [list(c) for c in combinations(range(CELLS), CELLS - k2)]
+        empty = np.stack([counts[:, c].sum(1) == 0 for c in subsets], 1)
+        many_empty = np.bincount(owner, empty.any(1), len(sets)) > slack
         tag = mix64(band[owner].astype(np.uint64) * _ODD[2] + part.astype(np.uint64))
-        for number, (a, b) in enumerate(pairs):
+        for number, cells in enumerate(subsets):
             sign = mix64(
-                (lows[:, a] + lows[:, b]) * _ODD[0]
-                + mix64((highs[:, a] + highs[:, b]) * _ODD[1] + tag)
+                lows[:, cells].sum(1, dtype=np.uint64) * _ODD[0]
+                + mix64(highs[:, cells].sum(1, dtype=np.uint64) * _ODD[1] + tag)
                 + np.uint64(number)
             )
             kept = ~empty[:, number] | many_empty[owner]
