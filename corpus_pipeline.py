@@ -1,22 +1,88 @@
-"""The training-data pipeline over ``documents``: stages written as Parquet one after the other."""
+"""The training-data pipeline over ``documents``: five stages, each written as Parquet and reread by the next."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from gildstar.llm.common import importable
+from gildstar.llm.decontaminate import mark_leaks
+from gildstar.llm.jaccard_join import jaccard_components
+from gildstar.llm.mixing import Mix
+from gildstar.llm.quality_classifier import classify
+from gildstar.llm.token_file import read_token_file, write_token_file
 from gildstar.session import run_folder
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+# Near duplicates: five-word shingles, Jaccard similarity of 80 percent or more.
+SHINGLE_WORDS, SIMILAR_PERCENT = 5, 80
+END_ID = 2
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents the quality classifier accepts; rows of a rejected text under one id go together."""
+    importable(spark)
+    scored = classify(docs, _table(spark, sf_dir, "labels"))
+    rejected = scored.filter("predicted = 0").select(F.col("doc_id").alias("_id")).distinct()
+    return docs.join(rejected, docs["doc_id"].eqNullSafe(rejected["_id"]), "left_anti")
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: the one with the smallest id.
+
+    Rows with a NULL id are in no group and stay; rows that repeat an id stay or
+    go together.
+    """
+    importable(spark)
+    grouped = jaccard_components(docs, SHINGLE_WORDS, SIMILAR_PERCENT)
+    doubles = grouped.filter("doc_id <> component_id").select(F.col("doc_id").alias("_id")).distinct()
+    return docs.join(doubles, docs["doc_id"] == doubles["_id"], "left_anti")
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain no benchmark item."""
+    importable(spark)
+    marked = mark_leaks(docs, _table(spark, sf_dir, "benchmark"), column="_leaks")
+    return marked.filter(F.size("_leaks") == 0).select(*docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix of all sources at weights 1, 2, 3; documents of scarce sources repeat."""
+    importable(spark)
+    return Mix(docs).mixed(docs)
+
+
+def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, start, n_tokens, ids_crc32) per row, from the token file written for all rows."""
+    importable(spark)
+    target = f"{run_folder(spark, 'pipeline-tokens')}/ids"
+    write_token_file(docs, target, public_tokenizers.path("word_bpe_49k.json"), END_ID)
+    return read_token_file(spark, target)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality", drop_low_quality),
+    ("near_duplicates", drop_near_duplicates),
+    ("decontaminate", drop_contaminated),
+    ("mix", mix_sources),
+    ("tokens", encode_tokens),
+]
 
 # The stages learn, join by similarity and encode; SQL cannot express them.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every stage over what its predecessor kept, written and read again in between."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """Every stage over what its predecessor kept."""
+    docs = _table(spark, sf_dir, "documents")
     folder = run_folder(spark, "pipeline")
     for number, (name, stage) in enumerate(STAGES):
         path = f"{folder}/{number}-{name}"
