@@ -28,9 +28,9 @@ from pyspark.sql import types as T
 
 from gildstar.llm.common import large_texts, mix64, slices
 
-STEPS = 48
-SAMPLES = 16
-REPETITIONS = 2
+STEPS = 40
+SAMPLES = 14
+REPETITIONS = 4
 STRIDE = 1
 MOST_EDITS = 0.25  # of the item's characters
 BLOCK_CHARS = 4 << 20  # characters of items held at a time
