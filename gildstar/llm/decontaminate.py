@@ -19,6 +19,7 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Iterator
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -85,15 +86,22 @@ class Items:
         self.ids, self.texts = ids, texts
         self.grams = [{t[i : i + _GRAM] for i in range(len(t) - _GRAM + 1)} for t in texts]
         keys, item, offset = [], [], []
+        self.short: ahocorasick.Automaton | None = None
         for number, t in enumerate(texts):
+            if len(t) < STEPS:
+                self.short = self.short or ahocorasick.Automaton()
+                self.short.get(f" {t} ", None) or self.short.add_word(f" {t} ", [])
+                self.short.get(f" {t} ").append(number)
+                continue
             coded = letters(t)
             starts = word_starts(coded)
-            # A window must reach as far as its walk; the first one always counts.
-            starts = starts[(starts <= max(0, len(t) - STEPS)) | (starts == 0)]
+            starts = starts[starts <= len(t) - STEPS]  # a window must reach as far as its walk
             for z in range(REPETITIONS):
                 keys.append(walk_keys(coded, starts, z))
                 item.append(np.full(len(starts), number))
                 offset.append(starts)
+        if self.short:
+            self.short.make_automaton()
         self.keys = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
         order = np.argsort(self.keys, kind="stable")
         self.keys = self.keys[order]
@@ -159,8 +167,11 @@ def leaks_of(texts: pa.Array, items: Items) -> list[list[tuple[int, int]]]:
     used = in_text % STRIDE == 0
     places, owner = starts[used], owner[used]
     found: list[dict[int, int]] = [{} for _ in plain]
+    if items.short:
+        for text, here in zip(plain, found):
+            here |= {number: 0 for _, numbers in items.short.iter(f" {text} ") for number in numbers}
     if not len(places) or not len(items.keys):
-        return [[] for _ in plain]
+        return [sorted(f.items()) for f in found]
     numbers, at = items.candidates(coded, places)
     # The hit lies in the text that holds the matched window, not where the item would start.
     checked: set[tuple[int, int, int]] = set()
@@ -216,7 +227,8 @@ def mark_leaks(
     """``docs`` with an array of (item_id, distance, chars): the items each row contains.
 
     An item is contained if some stretch of the row's text is within
-    ``MOST_EDITS`` of the item's length, both normalised.  NULL and empty texts
+    ``MOST_EDITS`` of the item's length, both normalised.  Items shorter than a
+    walk of ``STEPS`` count only where their words stand unchanged.  NULL and empty texts
     and items contain nothing; repeated items are all reported; all rows and
     columns are kept, and ``column`` must not be among them.
     """
