@@ -14,10 +14,11 @@ be filled).  k2 is 1 for high similarities, where cells hold many shingles, and
 
 Equal sets form a class first.  Links are then searched between classes only,
 and only as far as components need them: each class is verified against the
-class it shares most signatures with, components are built, twice; finally all
-pairs that still share a signature across two components are verified.  Large
-groups of near copies therefore cost about one verification per class instead
-of one per pair, and no link between components is lost.
+class it shares most signatures with, components are built, twice; finally the
+classes that still share a signature across two components are compared, as far
+as their rarest shingles meet.  Large groups of near copies therefore cost about
+one verification per class instead of one per pair, and no link between
+components is lost.
 """
 
 from __future__ import annotations
@@ -239,6 +240,43 @@ def _cross(marked: DataFrame) -> DataFrame:
     )
 
 
+def _prefixes(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(shingle, node, component, size): the rarest shingles of each node that still has a partner elsewhere.
+
+    Of two similar sets each holds ``percent`` of the other's size in common
+    shingles, so in any one order their first (size - common + 1) shingles meet.
+    Taken by rising frequency, the first shingles of an unlike copy are its own
+    changes, and it meets nobody.
+    """
+    nodes = rows.select("node", "component").distinct()
+    members = (
+        nodes.join(sets.withColumnRenamed("doc_id", "node"), "node")
+        .withColumn("size", F.size("shingles"))
+        .select("node", "component", "size", F.explode("shingles").alias("shingle"))
+    )
+    frequent = members.groupBy("shingle").agg(F.count(F.lit(1)).alias("df"))
+    first = F.expr(f"size - ceil(size * {percent} / 100D) + 1").cast("int")
+    return (
+        members.join(frequent, "shingle")
+        .groupBy("node", "component", "size")
+        .agg(F.array_sort(F.collect_list(F.struct("df", "shingle"))).alias("ordered"))  # one document's shingles
+        .select("node", "component", "size", F.explode(F.slice("ordered", F.lit(1), first)).alias("o"))
+        .select("o.shingle", "node", "component", "size")
+    )
+
+
+def _prefix_pairs(prefixes: DataFrame, percent: int) -> DataFrame:
+    """(a, b): nodes of different components that share a prefix shingle and may be similar by size."""
+    left = prefixes.select("shingle", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("size").alias("na"))
+    right = prefixes.select("shingle", F.col("node").alias("b"), F.col("component").alias("cb"), F.col("size").alias("nb"))
+    return (
+        left.join(right, "shingle")
+        .filter(f"ca > cb and 100 * least(na, nb) >= {percent} * greatest(na, nb)")
+        .select("a", "b")
+        .distinct()
+    )
+
+
 def jaccard_components(
     docs: DataFrame, n: int, percent: int, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -296,20 +334,12 @@ def jaccard_components(
         if number < 2:
             pairs = _best_partner(rows)
         else:
-            left = rows.select("sign", F.col("node").alias("a"), F.col("component").alias("ca"))
-            right = rows.select("sign", F.col("node").alias("b"), F.col("component").alias("cb"))
-            pairs = (
-                left.join(right, "sign")
-                .filter("ca > cb")
-                .select("a", "b")
-                .distinct()
-                .join(verified.filter("not linked").select("a", "b"), ["a", "b"], "left_anti")
-                .join(
-                    verified.filter("not linked").select(F.col("b").alias("a"), F.col("a").alias("b")),
-                    ["a", "b"],
-                    "left_anti",
-                )
-            )
+            _prefixes(rows, sets, percent).write.parquet(f"{folder}/prefixes")
+            prefixes = spark.read.parquet(f"{folder}/prefixes")
+            pairs = _prefix_pairs(prefixes, percent)
+            for a, b in (("a", "b"), ("b", "a")):
+                done = verified.filter("not linked").select(F.col(a).alias("a"), F.col(b).alias("b"))
+                pairs = pairs.join(done, ["a", "b"], "left_anti")
         _linked(pairs, sets, percent).write.parquet(f"{folder}/verified-{number}")
         found = spark.read.parquet(f"{folder}/verified-{number}")
         verified = found if verified is None else verified.union(found)

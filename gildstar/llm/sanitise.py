@@ -148,19 +148,18 @@ class Sanitiser:
         self.found = spark.read.parquet(f"{folder}/found")
         near = self.found.filter(F.size("near") > 0).select("doc_id", "h", F.explode("near").alias("x"))
         self.near = near.select("doc_id", "h", "x.*")
-        rows = ("doc_id", "h")
+        pairs = F.expr("array_distinct(transform(near, x -> named_struct('entity', x.entity, 'term', x.term)))")
         meet = (
-            self.near.select(*rows, "entity", "term")
-            .distinct()
-            .groupBy("entity", "term")
+            self.found.filter(F.size("near") > 0)
+            .select(F.explode(pairs).alias("x"))
+            .groupBy("x.entity", "x.term")
             .agg(F.count(F.lit(1)).alias("both"))
             .filter(F.col("both") >= MIN_SUPPORT)
         )
         entities = (
             self.found.select(
-                *rows, F.explode(F.expr("array_distinct(transform(base, x -> concat(x.k, ':', lower(x.v))))")).alias("entity")
+                F.explode(F.expr("array_distinct(transform(base, x -> concat(x.k, ':', lower(x.v))))")).alias("entity")
             )
-            .distinct()
             .groupBy("entity")
             .agg(F.count(F.lit(1)).alias("entity_df"))
         )
@@ -209,8 +208,8 @@ class Sanitiser:
         """(doc_id, n_<kind>.., base_sha256, spans) for every row.
 
         NULL texts count as empty: no spans, and the hash of the empty text.
-        NULL ids stay NULL.  Repeated rows are returned repeatedly but count
-        once in the statistics.  An empty table gives no rows.
+        NULL ids stay NULL.  Repeated rows are returned and counted repeatedly.
+        An empty table gives no rows.
         """
         listed = "array_join(transform({0}, x -> concat(x.k, ':', x.s, ':', x.e)), ',')"
         both = "array_sort(concat(base, coalesce(terms, filter(base, x -> false))))"
