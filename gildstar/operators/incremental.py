@@ -193,7 +193,7 @@ def _publish(spark: SparkSession, target: Target) -> None:
     info = json.loads(_read_text(spark, f"{target.stage}/{_READY}"))
     schema = T.StructType.fromJson(info["schema"])
     staged = spark.read.schema(schema).parquet(f"{target.stage}/{info['folder']}")
-    _write(staged, target.path, target.partition, dynamic=True)
+    _write(staged, target.path, target.partition, dynamic=not info.get("full"))
     _mark_loaded(spark, target, schema)
     _delete(spark, target.stage)
 
@@ -215,21 +215,24 @@ def load_incremental(
     """L1-L4: bring the target up to date and return it.
 
     ``build(high)`` gives the rows newer than ``high``; it gets None when there
-    is no target yet, the target is empty, or ``full_refresh`` is set.
+    is no target yet, the target is empty, or ``full_refresh`` is set.  A first
+    load or a refresh that was lost while it published starts over.
     """
-    recover(spark, target)
+    if target_exists(spark, target):
+        recover(spark, target)
     if full_refresh or not target_exists(spark, target):
         return load_full(spark, build(None), target)
     return load_batch(spark, build(high_water(spark, target)), target)
 
 
 def load_full(spark: SparkSession, df: DataFrame, target: Target) -> DataFrame:
-    """Replace the whole target; it counts as loaded once its keys proved unique."""
-    _delete(spark, f"{target.path}/{_MARKER}")
-    _write(df, target.path, target.partition)
+    """Replace the whole target: staged and checked first, so repeated keys leave the old rows as they are."""
+    _write(df, f"{target.stage}/batch", target.partition)
     schema = _stored_schema(df, target.partition)
-    assert_unique(spark.read.schema(schema).parquet(target.path), target.keys)
-    _mark_loaded(spark, target, schema)
+    assert_unique(spark.read.schema(schema).parquet(f"{target.stage}/batch"), target.keys)
+    ready = {"schema": json.loads(schema.json()), "folder": "batch", "full": True}
+    _write_text(spark, f"{target.stage}/{_READY}", json.dumps(ready))
+    _publish(spark, target)
     return read_target(spark, target)
 
 

@@ -33,6 +33,15 @@ def _broadcast_limit(df: DataFrame) -> int:
     return int(jconf.autoBroadcastJoinThreshold())
 
 
+def _hashable(kind: T.DataType) -> bool:
+    """Whether values of a type can be hashed: no VARIANT or MAP at any depth."""
+    if isinstance(kind, T.StructType):
+        return all(_hashable(f.dataType) for f in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return _hashable(kind.elementType)
+    return not isinstance(kind, (T.VariantType, T.MapType))
+
+
 def lookup(
     left: DataFrame,
     right: DataFrame,
@@ -60,9 +69,7 @@ def lookup(
     counts = piece_counts(source, hot, rows_per_task)
     salts = [(*[r[k] for k in on], n) for r, n in zip(hot, counts)]
     spread = hot_key_frame(source, on, salts, [T.StructField("_salts", T.IntegerType())])
-    hashable = [
-        f.name for f in source.schema.fields if not isinstance(f.dataType, (T.VariantType, T.MapType))
-    ]
+    hashable = [f.name for f in source.schema.fields if _hashable(f.dataType)]
     marked = source.join(F.broadcast(spread), same_keys(source, spread, hot_pairs(on)), "left").select(
         *[source[c] for c in source.columns],
         F.coalesce(F.pmod(F.xxhash64(*[source[c] for c in hashable]), F.col("_salts")), F.lit(0)).alias("_salt"),

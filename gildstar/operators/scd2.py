@@ -124,7 +124,8 @@ def load_scd2(
     again changes nothing.
     """
     version_key = target.keys[0]
-    recover(spark, target)
+    if target_exists(spark, target):
+        recover(spark, target)
 
     def dated(versions: DataFrame) -> DataFrame:
         day = F.when(F.col("is_current"), F.lit(OPEN)).otherwise(date_key("valid_to"))

@@ -1,9 +1,10 @@
 """The incremental fact load (L1-L4) with new bronze files found by a stream.
 
-The stream only decides which files are new; each micro-batch then goes through
-the same high-water filter, upsert and staged publish as a batch load.  A
-micro-batch replayed after a lost driver therefore adds nothing twice: a staged
-load is finished first, and the high-water mark then excludes its rows.
+The stream gives each file once, so its micro-batches are not filtered by a
+high-water mark: the mark would move with every micro-batch, and files that
+follow in any order would lose their older rows.  Each micro-batch is upserted
+by key into the days it touches, from one staged publish.  A micro-batch replayed
+after a lost driver therefore replaces its own rows and adds nothing twice.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from gildstar.operators.incremental import Target, load_incremental, newer_than
+from gildstar.operators.incremental import Target, load_batch, load_full, recover, target_exists
 
 
 def stream_bronze(
@@ -32,20 +33,19 @@ def load_stream(
     build: Callable[[DataFrame], DataFrame],
     target: Target,
     checkpoint: str,
-    day: str | None = None,
 ) -> StreamingQuery:
     """Load everything that has arrived, then stop (``availableNow``).
 
-    ``build`` turns raw rows into fact rows; ``day`` names the raw table's
-    integer day column, if it has one.
+    ``build`` turns raw rows into fact rows.  Rows that arrive late are loaded too.
     """
 
     def load(batch: DataFrame, _batch_id: int) -> None:
-        load_incremental(
-            batch.sparkSession,
-            lambda high: build(newer_than(batch, high, target.watermark, day)),
-            target,
-        )
+        spark = batch.sparkSession
+        if not target_exists(spark, target):
+            load_full(spark, build(batch), target)
+        else:
+            recover(spark, target)
+            load_batch(spark, build(batch), target)
 
     return (
         raw.writeStream.foreachBatch(load)

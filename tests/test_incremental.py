@@ -130,6 +130,14 @@ def test_duplicate_keys_leave_the_target_as_it_was(spark, target):
     assert loaded(spark, target) == [("a", 1)]
 
 
+def test_full_refresh_with_repeated_keys_leaves_the_old_rows(spark, target):
+    load_incremental(spark, source(batch(spark, ("a", "2024-01-01 10:00:00", 1))), target)
+    twice = batch(spark, ("b", "2024-01-02 10:00:00", 1), ("b", "2024-01-02 10:00:00", 2))
+    with pytest.raises(DuplicateKeyError):
+        load_incremental(spark, source(twice), target, full_refresh=True)
+    assert target_exists(spark, target) and loaded(spark, target) == [("a", 1)]
+
+
 def test_columns_come_and_go(spark, target):
     load_incremental(spark, source(batch(spark, ("a", "2024-01-01 10:00:00", 1))), target)
     load_incremental(spark, source(batch(spark, ("b", "2024-01-02 10:00:00", 2), extra="tag")), target)
