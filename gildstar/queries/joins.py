@@ -163,11 +163,12 @@ def lateral_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "N11_star_join",
-    with_ctes("dim_date")
-    + """SELECT o_orderkey, c_mktsegment, coalesce(n_name, 'nowhere') AS n_name, d.date_key, o_totalprice FROM orders
+    """SELECT o_orderkey, c_mktsegment, coalesce(n_name, 'nowhere') AS n_name, d.date_key, o_totalprice FROM orders
          LEFT JOIN customer ON c_custkey = o_custkey
          LEFT JOIN nation ON n_nationkey = c_nationkey
-         LEFT JOIN dim_date d ON d.date_key = CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER)""",
+         LEFT JOIN (SELECT CAST(strftime(day, '%Y%m%d') AS INTEGER) AS date_key
+                    FROM generate_series(DATE '1996-01-01', DATE '2000-12-31', INTERVAL 1 DAY) t(day)) d
+           ON d.date_key = CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER)""",
 )
 def star(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
@@ -182,7 +183,8 @@ def star(spark: SparkSession, sf_dir: str) -> DataFrame:
                 table(spark, sf_dir, "nation"), "n_nationkey", "n_name", F.col("c_nationkey"),
                 default=F.lit("nowhere"),
             ),
-            Dim(dim_date(spark), "date_key", "date_key", date_key("o_orderdate")),
+            # Part of the order days, so that some orders find their day and some do not.
+            Dim(dim_date(spark, "1996-01-01", "2000-12-31"), "date_key", "date_key", date_key("o_orderdate")),
         ],
     )
     return out.select("o_orderkey", "c_mktsegment", "n_name", "date_key", "o_totalprice")

@@ -63,18 +63,18 @@ def bronze(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """
     source, day_of = _BRONZE_INPUT[name]
     fs, path = file_system(spark, f"{sf_dir}/{source}.parquet")
-    status = fs.getFileStatus(path)
+    size = fs.getContentSummary(path).getLength()  # of all parts, if the table is a folder
     key = (
         spark.sparkContext.applicationId,
         sf_dir,
         name,
-        status.getLen(),
-        status.getModificationTime(),
+        size,
+        fs.getFileStatus(path).getModificationTime(),
     )
     if key not in _landed:
         path = f"{run_folder(spark, 'bronze')}/{name}"
         cores = spark.sparkContext.defaultParallelism
-        few_splits = status.getLen() < cores * _SPLIT_BYTES
+        few_splits = size < cores * _SPLIT_BYTES
         raw = derived.RAW_TABLES[name](spark, sf_dir, spread=cores if few_splits else None)
         _landed[key] = (path, land_bronze(raw, path, day_of=day_of).schema)
     path, schema = _landed[key]

@@ -24,7 +24,7 @@ from gildstar.functions.scalars import (
 from gildstar.plans.dimensions import GENRE_CATEGORIES, OTHER_CATEGORY, calendar_columns
 from gildstar.plans.intermediate import LOWEST_REVIEW_BAND, PRICE_BANDS, REVIEW_BANDS, TOP_PRICE_BAND
 from gildstar.queries.registry import bronze, publish, register, table
-from gildstar.queries.sqltext import REVIEWS, banded, calendar_sql, with_ctes
+from gildstar.queries.sqltext import REVIEWS, calendar_sql, with_ctes
 
 
 def _raw_details(spark: SparkSession, sf_dir: str, **paths: str) -> DataFrame:
@@ -228,7 +228,7 @@ def priority_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "M10_bands",
-    f"""SELECT o_orderkey, {banded('score', *REVIEWS)} AS label
+    f"""SELECT o_orderkey, {REVIEWS.format(value='score')} AS label
         FROM (SELECT o_orderkey, o_totalprice / 500000 AS score FROM orders)""",
 )
 def bands(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -240,8 +240,12 @@ def bands(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "M11_bands_below",
-    f"""SELECT p_partkey, p_retailprice,
-               CASE p_size WHEN 1 THEN 'free' ELSE {banded('price', 'budget', [(5, 'mid'), (20, 'premium'), (40, 'aaa')])} END AS tier
+    """SELECT p_partkey, p_retailprice,
+              CASE WHEN p_size = 1 THEN 'free'
+                   WHEN price < 5 THEN 'budget'
+                   WHEN price < 20 THEN 'mid'
+                   WHEN price < 40 THEN 'premium'
+                   ELSE 'aaa' END AS tier
         FROM (SELECT *, p_retailprice / 20 * p_size / 50 AS price FROM part)""",
 )
 def bands_below(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,7 +13,7 @@ from gildstar.plans.dimensions import PRICE_TIER_SCHEMA, PRICE_TIERS
 from gildstar.plans.intermediate import PRICE_BANDS, TOP_PRICE_BAND
 from gildstar.queries.dataflows import details, snapshots
 from gildstar.queries.registry import bronze, publish, register, table
-from gildstar.queries.sqltext import PRICES_IN_CENTS, banded, with_ctes
+from gildstar.queries.sqltext import PRICES_IN_CENTS, with_ctes
 from gildstar.session import run_folder
 from gildstar.sources import derived
 from gildstar.sources.bronze import land_bronze, read_bronze
@@ -83,7 +83,7 @@ def views(spark: SparkSession, sf_dir: str) -> DataFrame:
     + """SELECT t.tier_label, t.min_price_usd, t.max_price_usd, count(d.app_id) AS n_games
          FROM dim_price_tier t
          LEFT JOIN (SELECT app_id, """
-    + banded("cents", *PRICES_IN_CENTS)
+    + PRICES_IN_CENTS.format(value="cents")
     + """ AS tier FROM stg_details) d
                 ON d.tier = t.tier_label
          GROUP BY ALL""",

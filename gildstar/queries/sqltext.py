@@ -10,30 +10,25 @@ from __future__ import annotations
 _PARTS: dict[str, tuple[list[str], str]] = {}
 
 
-def banded(value: str, lowest: str, steps: list[tuple[float, str]]) -> str:
-    """Label of a value as the element of a list: one step up per bound it reaches."""
-    labels = ", ".join(f"'{label}'" for label in [lowest, *[label for _, label in steps]])
-    ups = " + ".join(f"coalesce(CAST({value} >= {low} AS INTEGER), 0)" for low, _ in steps)
-    return f"list_extract([{labels}], 1 + {ups})"
-
-
-# Bounds and labels, lowest first.
-DIFFICULTY = ("ultra_rare", [(5, "rare"), (20, "uncommon"), (50, "common")])
-REVIEWS = (
-    "Overwhelmingly Negative",
-    [
-        (0.20, "Mostly Negative"),
-        (0.40, "Mixed"),
-        (0.70, "Mostly Positive"),
-        (0.85, "Very Positive"),
-        (0.95, "Overwhelmingly Positive"),
-    ],
-)
-PRICES_IN_CENTS = ("budget", [(500, "mid"), (2000, "premium"), (4000, "aaa")])
-TREND = (
-    "CASE WHEN {prev} IS NULL THEN 'first_snapshot' ELSE list_extract(['declining', 'stable', 'growing'], "
-    "2 + coalesce(CAST({pct} >= 10 AS INTEGER) - CAST({pct} <= -10 AS INTEGER), 0)) END"
-)
+# Bounds and labels, highest first; a NULL value has the last label.
+DIFFICULTY = """CASE WHEN {value} >= 50 THEN 'common'
+                     WHEN {value} >= 20 THEN 'uncommon'
+                     WHEN {value} >= 5 THEN 'rare'
+                     ELSE 'ultra_rare' END"""
+REVIEWS = """CASE WHEN {value} >= 0.95 THEN 'Overwhelmingly Positive'
+                  WHEN {value} >= 0.85 THEN 'Very Positive'
+                  WHEN {value} >= 0.70 THEN 'Mostly Positive'
+                  WHEN {value} >= 0.40 THEN 'Mixed'
+                  WHEN {value} >= 0.20 THEN 'Mostly Negative'
+                  ELSE 'Overwhelmingly Negative' END"""
+PRICES_IN_CENTS = """CASE WHEN {value} >= 4000 THEN 'aaa'
+                          WHEN {value} >= 2000 THEN 'premium'
+                          WHEN {value} >= 500 THEN 'mid'
+                          ELSE 'budget' END"""
+TREND = """CASE WHEN {prev} IS NULL THEN 'first_snapshot'
+                WHEN {pct} >= 10 THEN 'growing'
+                WHEN {pct} <= -10 THEN 'declining'
+                ELSE 'stable' END"""
 
 
 def _cte(name: str, needs: list[str], body: str) -> None:
@@ -165,7 +160,7 @@ _cte(
 _cte(
     "stg_achievements",
     ["ach_all"],
-    f"""SELECT *, {banded('unlock_pct', *DIFFICULTY)} AS difficulty_label
+    f"""SELECT *, {DIFFICULTY.format(value='unlock_pct')} AS difficulty_label
         FROM ach_all WHERE achievement_name IS NOT NULL""",
 )
 _cte(
@@ -185,7 +180,7 @@ _cte(
                shop.price_eur, shop.initial_price_eur,
                ifnull(shop.discount_pct, discount_pct) AS discount_pct,
                free_flag AS is_free,
-               CASE WHEN free_flag THEN 'free' ELSE {banded('cents', *PRICES_IN_CENTS)} END AS price_tier,
+               CASE WHEN free_flag THEN 'free' ELSE {PRICES_IN_CENTS.format(value='cents')} END AS price_tier,
                genres AS genres_details,
                ifnull(shop.platform_windows, false) AS platform_windows,
                ifnull(shop.platform_mac, false) AS platform_mac,
@@ -194,7 +189,7 @@ _cte(
                shop.supported_languages_raw, shop.release_date_raw, shop.is_coming_soon,
                owners_range, owners_min, owners_max, positive_reviews, negative_reviews,
                positive_reviews + negative_reviews AS total_reviews, review_score,
-               {banded('review_score', *REVIEWS)} AS review_score_label,
+               {REVIEWS.format(value='review_score')} AS review_score_label,
                current_players, avg_playtime_forever_min, avg_playtime_2weeks_min,
                median_playtime_forever_min, median_playtime_2weeks_min,
                ifnull(last_seen, (SELECT max(last_seen) FROM seen)) AS snapshot_at,
@@ -239,13 +234,14 @@ _cte(
 _cte(
     "dim_genre",
     ["games"],
-    """WITH members AS (SELECT DISTINCT trim(unnest(string_split(genres_details, ','))) AS genre_name FROM games),
-            known AS (
-              SELECT unnest(['Action', 'Adventure', 'Casual', 'Indie', 'Massively Multiplayer', 'RPG', 'Racing',
-                             'Simulation', 'Sports', 'Strategy']) AS genre_name, 'core_genre' AS kind
-              UNION ALL VALUES ('Free To Play', 'monetization_model'), ('Early Access', 'release_state'))
-       SELECT md5(genre_name) AS genre_key, genre_name, ifnull(kind, 'other') AS genre_category
-       FROM members LEFT JOIN known USING (genre_name) WHERE length(genre_name) > 0""",
+    """WITH members AS (SELECT DISTINCT trim(unnest(string_split(genres_details, ','))) AS genre_name FROM games)
+       SELECT md5(genre_name) AS genre_key, genre_name,
+              CASE WHEN genre_name IN ('Action', 'Adventure', 'RPG', 'Strategy', 'Simulation', 'Sports', 'Racing',
+                                       'Casual', 'Indie', 'Massively Multiplayer') THEN 'core_genre'
+                   WHEN genre_name = 'Free To Play' THEN 'monetization_model'
+                   WHEN genre_name = 'Early Access' THEN 'release_state'
+                   ELSE 'other' END AS genre_category
+       FROM members WHERE length(genre_name) > 0""",
 )
 _cte(
     "dim_developer",
