@@ -9,8 +9,7 @@ so large that two sets within k differ by at most k2 shingles in at least
 are the hashes of all sets of 3 - k2 cells of a part, so no link is missed.
 Signatures of empty cells, which unlike sets share, are left out unless a set
 has more than ``slack`` parts with one (then another shared part is not sure to
-be filled).  k2 is 1 for high similarities, where cells hold many shingles, and
-2 for lower ones, which would otherwise need many more signatures.
+be filled).
 
 Equal sets form a class first.  Links are then searched between classes only,
 and only as far as components need them: each class is verified against the
@@ -38,6 +37,8 @@ from gildstar.llm.components import components
 from gildstar.session import run_folder
 
 CELLS = 3
+DIFFERING = 1  # k2: by how many shingles two sets may differ in a part that they share
+CROWDS = 1 << 18
 _ODD = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
 
@@ -76,11 +77,6 @@ def set_keys(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return keys[0], keys[1]
 
 
-def differing_cells(percent: int) -> int:
-    """k2: by how many shingles two similar sets may differ in a part that they share."""
-    return 1 if percent >= 85 else 2
-
-
 def size_bands(percent: int, limit: int = 1 << 31) -> np.ndarray:
     """Lower ends of the size bands: a band reaches from l to floor(100 l / percent)."""
     lower = [1]
@@ -91,7 +87,7 @@ def size_bands(percent: int, limit: int = 1 << 31) -> np.ndarray:
 
 def signatures(sets: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
     """(position of the set, signature) for all signatures of all sets."""
-    bands, k2 = size_bands(percent), differing_cells(percent)
+    bands = size_bands(percent)
     owners, signs = [], []
     sizes = np.array([len(s) for s in sets], np.int64)
     mine = np.searchsorted(bands, sizes, side="right") - 1
@@ -103,8 +99,8 @@ def signatures(sets: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.nda
         band = mine + step
         upper = bands[np.clip(band + 1, 0, len(bands) - 1)] - 1
         k = 2 * upper * (100 - percent) // (100 + percent)
-        slack = 1 + k // (8 * (k2 + 1))
-        n1 = np.where((k > 0) & (sizes > 0), k // (k2 + 1) + 1 + slack, 0)
+        slack = 1 + k // 10  # more than the parts with empty cells that a set of this band is likely to have
+        n1 = np.where((k > 0) & (sizes > 0), k // (DIFFERING + 1) + 1 + slack, 0)
         first = np.cumsum(n1) - n1
         of = np.repeat(np.arange(len(sets)), sizes)
         use = n1[of] > 0
@@ -121,7 +117,7 @@ def signatures(sets: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.nda
         counts = np.bincount(cell[use], minlength=total).reshape(-1, CELLS)
         owner = np.repeat(np.arange(len(sets)), n1)
         part = np.arange(len(owner)) - first[owner]
-        subsets = [list(c) for c in combinations(range(CELLS), CELLS - k2)]
+        subsets = [list(c) for c in combinations(range(CELLS), CELLS - DIFFERING)]
         empty = np.stack([counts[:, c].sum(1) == 0 for c in subsets], 1)
         many_empty = np.bincount(owner, empty.any(1), len(sets)) > slack
         tag = mix64(band[owner].astype(np.uint64) * _ODD[2] + part.astype(np.uint64))
@@ -240,29 +236,53 @@ def _cross(marked: DataFrame) -> DataFrame:
     )
 
 
+def _crowding(sets: DataFrame) -> np.ndarray:
+    """How many set members fall into each of ``CROWDS`` hash buckets: a table of fixed size."""
+    schema = pa.schema([("bucket", pa.int32()), ("n", pa.int64())])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros(CROWDS, np.int64)
+        for batch in batches:
+            members = batch.column("shingles").flatten().to_numpy(zero_copy_only=False)
+            table += np.bincount(members & (CROWDS - 1), minlength=CROWDS)
+        used = np.flatnonzero(table)
+        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(table[used])], schema=schema)
+
+    counted = sets.select("shingles").mapInArrow(count, "bucket int, n long")
+    summed = counted.groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    table = np.zeros(CROWDS, np.int64)
+    table[summed.column("bucket").to_numpy()] = summed.column("n").to_numpy()
+    return table
+
+
 def _prefixes(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(shingle, node, component, size): the rarest shingles of each node that still has a partner elsewhere.
 
     Of two similar sets each holds ``percent`` of the other's size in common
     shingles, so in any one order their first (size - common + 1) shingles meet.
-    Taken by rising frequency, the first shingles of an unlike copy are its own
-    changes, and it meets nobody.
+    Taken by rising crowding of their hash bucket, passages that many documents
+    share come last, and an unlike copy meets nobody.
     """
+    shared = sets.sparkSession.sparkContext.broadcast(_crowding(sets))
+    schema = pa.schema([("shingle", pa.int64()), ("node", pa.int64()), ("size", pa.int64())])
+
+    def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        crowding = shared.value
+        for batch in batches:
+            lists, nodes = batch.column("shingles"), batch.column("doc_id").to_numpy()
+            members, sizes = lists.flatten().to_numpy(zero_copy_only=False), np.diff(lists.offsets.to_numpy())
+            owner = np.repeat(np.arange(len(sizes)), sizes)
+            order = np.lexsort((members, crowding[members & (CROWDS - 1)], owner))
+            first = sizes + (-(percent * sizes) // 100) + 1
+            place = np.arange(len(members)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            kept = order[place < first[owner]]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(members[kept]), pa.array(nodes[owner[kept]]), pa.array(sizes[owner[kept]].astype(np.int64))],
+                schema=schema,
+            )
+
     nodes = rows.select("node", "component").distinct()
-    members = (
-        nodes.join(sets.withColumnRenamed("doc_id", "node"), "node")
-        .withColumn("size", F.size("shingles"))
-        .select("node", "component", "size", F.explode("shingles").alias("shingle"))
-    )
-    frequent = members.groupBy("shingle").agg(F.count(F.lit(1)).alias("df"))
-    first = F.expr(f"size - ceil(size * {percent} / 100D) + 1").cast("int")
-    return (
-        members.join(frequent, "shingle")
-        .groupBy("node", "component", "size")
-        .agg(F.array_sort(F.collect_list(F.struct("df", "shingle"))).alias("ordered"))  # one document's shingles
-        .select("node", "component", "size", F.explode(F.slice("ordered", F.lit(1), first)).alias("o"))
-        .select("o.shingle", "node", "component", "size")
-    )
+    return sets.mapInArrow(rarest, "shingle long, node long, size long").join(nodes, "node")
 
 
 def _prefix_pairs(prefixes: DataFrame, percent: int) -> DataFrame:
