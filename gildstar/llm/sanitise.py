@@ -3,7 +3,8 @@
 Protected entities are the personal data that patterns find.  Terms near an
 entity are judged by the corpus: the pointwise mutual information of term and
 entity over documents, against the entity's information content, tells how far
-the term gives the entity away.  Terms above ``GENERALISE`` of it are replaced
+the term gives the entity away.  The share of a term's documents that hold the
+entity is smoothed towards chance; no pair is left out for being rare.  Terms above ``GENERALISE`` of it are replaced
 by a class, above ``REMOVE`` they are removed.  Counts cover all documents.
 
 Everything is DataFrame expressions.  Places of matches come from matching the
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from gildstar.session import run_folder
 
 CONTEXT_CHARS = 80  # code points on either side of an entity in which terms are judged
-MIN_SUPPORT = 3  # documents in which term and entity must meet
+PRIOR = 0.5  # documents of chance meetings added to those of a term, so that few documents weigh less
 GENERALISE, REMOVE = 0.8, 0.95
 
 _TERM = r"\p{L}[\p{L}\p{N}]{2,}"
@@ -154,7 +155,6 @@ class Sanitiser:
             .select(F.explode(pairs).alias("x"))
             .groupBy("x.entity", "x.term")
             .agg(F.count(F.lit(1)).alias("both"))
-            .filter(F.col("both") >= MIN_SUPPORT)
         )
         entities = (
             self.found.select(
@@ -167,13 +167,10 @@ class Sanitiser:
         (
             meet.join(entities, "entity")
             .join(document_frequencies(docs, text), "term")
-            .withColumn("content", F.log2(F.lit(float(max(1, total))) / F.col("entity_df")))
-            .withColumn(
-                "information",
-                F.log2(F.col("both") * F.lit(float(max(1, total))) / (F.col("df") * F.col("entity_df"))),
-            )
-            .filter(F.col("content") > 0)
-            .withColumn("disclosure", F.col("information") / F.col("content"))
+            .withColumn("chance", F.col("entity_df") / F.lit(float(max(1, total))))
+            .filter(F.col("chance") < 1)
+            .withColumn("share", (F.col("both") + PRIOR * F.col("chance")) / (F.col("df") + PRIOR))
+            .withColumn("disclosure", 1 - F.log2("share") / F.log2("chance"))
             .filter(F.col("disclosure") >= GENERALISE)
             .select("entity", "term", "disclosure")
             .write.parquet(f"{folder}/disclosing")

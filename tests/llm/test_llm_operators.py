@@ -377,6 +377,24 @@ def test_sanitiser_base_spans_and_terms(spark, edge, empty):
     assert sanitise.Sanitiser(edge).digest().count() == edge.count()
 
 
+def test_sanitiser_judges_entities_of_one_or_two_rows(spark):
+    importable(spark)
+    texts = [(i, f"The weather {i} is fine and the rest is for all.") for i in range(100)]
+    texts += [(200, "The rest is for Zorblax at zq@corp.example.com and all.")]
+    texts += [(i, "The weather is for Quimby at +49 (30) 1234-5678 and all.") for i in (300, 301)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    sanitiser = sanitise.Sanitiser(docs)
+    clean = dict(sanitiser.sanitised(docs).collect())
+    assert clean[200] == "The rest is for [TERM] at [EMAIL] and all."
+    assert clean[300] == clean[301] == "The weather is for [TERM] at [PHONE] and all."
+    assert all(clean[i] == t for i, t in texts[:100])
+    # One more document of the term among them makes it less sure.
+    judged = {r["term"]: r["disclosure"] for r in sanitiser.disclosing.collect()}
+    one, two = 1 / 103, 2 / 103
+    assert judged["zorblax"] == pytest.approx(1 - math.log((1 + 0.5 * one) / 1.5) / math.log(one))
+    assert judged["quimby"] == pytest.approx(1 - math.log((2 + 0.5 * two) / 2.5) / math.log(two))
+
+
 def test_mixing_targets_and_shards(spark, edge, empty, monkeypatch):
     importable(spark)
     monkeypatch.setattr(mixing, "BLOCK_WORDS", 64)
