@@ -2,16 +2,20 @@
 
 A CGK random walk reads a text and writes a string on which edit distance becomes
 Hamming distance: step j writes the character it stands on and moves on or stays,
-as a random bit of (j, character) says.  ``REPETITIONS`` walks with ``SAMPLES``
-sampled steps each give the keys of a window.  As only early steps are sampled,
-the keys of all item-sized windows that start at one word are the same, and a
-walk is followed no further than its last sampled step.
-
-Windows of a document start at every ``STRIDE``-th word, those of an item at each
-of its words, so wherever a passage lies some of its windows start together with
-windows of the item.  Windows that share a key are checked by the exact edit
-distance of the item to the best stretch around the place.  Items are taken in
-blocks of bounded size, each block against all documents in one pass.
+as a random bit of (j, character) says.  Walks with ``SAMPLES`` sampled steps each
+give the keys of a window.  As only early steps are sampled, the keys of all
+item-sized windows that start at one word are the same, and a walk is followed no
+further than its last sampled step.
+
+Windows start at every ``STRIDE``-th word of a document and at each word of an item
+from which the walk stays within it.  A short item has few windows, so it takes more
+of the ``REPETITIONS`` walks: as many as give it ``TRIALS`` keys.  Items of fewer than
+``EXACT_BELOW`` characters are found without loss: of one more piece than edits are
+allowed, one must stand unchanged.  Where keys or pieces meet, the ``_CHUNK``
+characters of the item around the place are compared first, all places at once;
+what is left is checked by the exact edit distance of the item to the best stretch
+around the place.  Items are taken in blocks of bounded size, each block against all
+documents in one pass.
 """
 
 from __future__ import annotations
@@ -29,13 +33,18 @@ from pyspark.sql import types as T
 
 from gildstar.llm.common import large_texts, mix64, slices
 
-STEPS = 40
-SAMPLES = 14
-REPETITIONS = 4
+STEPS = 24
+SAMPLES = 11
+REPETITIONS = 6
+TRIALS = 120  # keys an item should have: windows times walks
 STRIDE = 1
 MOST_EDITS = 0.25  # of the item's characters
 BLOCK_CHARS = 4 << 20  # characters of items held at a time
-_GRAM = 4
+EXACT_BELOW = 64  # characters; shorter items are found by unchanged pieces
+_CHUNK = 64  # characters compared first, as many as a word has bits
+_SLACK = _CHUNK // 4  # how far these may be shifted by edits before them
+_SPARE = 4  # edits a chunk of a longer item may have beyond its share
+_AT_ONCE = 1 << 14  # places compared at one time
 _SEPARATOR = "\n"
 
 _BITS = (
@@ -66,8 +75,8 @@ def word_starts(text: np.ndarray) -> np.ndarray:
     return np.flatnonzero(~gap & np.concatenate([[True], gap[:-1]]))
 
 
-def walk_keys(text: np.ndarray, places: np.ndarray, repetition: int) -> np.ndarray:
-    """The sampled characters of the walk from each place, as a hash."""
+def walk(text: np.ndarray, places: np.ndarray, repetition: int) -> tuple[np.ndarray, np.ndarray]:
+    """The sampled characters of the walk from each place, as a hash, and where the walk ends."""
     at = places.astype(np.int32)
     keys = np.full(len(at), repetition + 1, np.uint64)
     sampled = _SAMPLED[repetition]
@@ -75,33 +84,61 @@ def walk_keys(text: np.ndarray, places: np.ndarray, repetition: int) -> np.ndarr
         here = text[at]
         if step in sampled:
             keys = keys * np.uint64(0x100000001B3) + here
-        at += _BITS[repetition, step][here]
-    return mix64(keys)
+        if step < sampled[-1]:
+            at += _BITS[repetition, step][here]
+    return mix64(keys), at
+
+
+def expand(left: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The positions left, left + 1, .. of ``n`` each, one list after the other."""
+    return np.repeat(left - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
 
 
 class Items:
-    """A block of items: their normalised texts and the keys of their windows in order."""
+    """A block of items: their normalised texts, the keys of their windows in order, the pieces of short ones."""
 
     def __init__(self, ids: list, texts: list[str]):
         self.ids, self.texts = ids, texts
-        self.grams = [{t[i : i + _GRAM] for i in range(len(t) - _GRAM + 1)} for t in texts]
+        self.lengths = np.array([len(t) for t in texts], np.int64)
         keys, item, offset = [], [], []
-        self.short: ahocorasick.Automaton | None = None
+        self.words: ahocorasick.Automaton | None = None
+        pieces: dict[str, list[tuple[int, int]]] = defaultdict(list)
         for number, t in enumerate(texts):
-            if len(t) < STEPS:
-                self.short = self.short or ahocorasick.Automaton()
-                self.short.get(f" {t} ", None) or self.short.add_word(f" {t} ", [])
-                self.short.get(f" {t} ").append(number)
+            most = int(len(t) * MOST_EDITS)
+            if not most:
+                self.words = self.words or ahocorasick.Automaton()
+                self.words.get(f" {t} ", None) or self.words.add_word(f" {t} ", [])
+                self.words.get(f" {t} ").append(number)
+                continue
+            if len(t) < EXACT_BELOW:
+                cuts = [len(t) * i // (most + 1) for i in range(most + 2)]
+                for a, b in zip(cuts, cuts[1:]):
+                    pieces[t[a:b]].append((number, a))
                 continue
             coded = letters(t)
             starts = word_starts(coded)
-            starts = starts[starts <= len(t) - STEPS]  # a window must reach as far as its walk
+            tried = 0
             for z in range(REPETITIONS):
-                keys.append(walk_keys(coded, starts, z))
-                item.append(np.full(len(starts), number))
-                offset.append(starts)
-        if self.short:
-            self.short.make_automaton()
+                if tried >= TRIALS:
+                    break
+                key, end = walk(coded, starts, z)
+                within = end < len(t)
+                keys.append(key[within])
+                item.append(np.full(int(within.sum()), number))
+                offset.append(starts[within])
+                tried += len(keys[-1])
+        if self.words:
+            self.words.make_automaton()
+        self.pieces: ahocorasick.Automaton | None = None
+        if pieces:
+            self.pieces = ahocorasick.Automaton()
+            for number, piece in enumerate(pieces):
+                self.pieces.add_word(piece, number)
+            self.pieces.make_automaton()
+        sizes = np.array([len(v) for v in pieces.values()], np.int64)
+        self.piece_first, self.piece_count = np.cumsum(sizes) - sizes, sizes
+        self.piece_chars = np.array([len(p) for p in pieces], np.int64)
+        self.piece_of = np.array([x for v in pieces.values() for x in v], np.int64).reshape(-1, 2)
         self.keys = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
         order = np.argsort(self.keys, kind="stable")
         self.keys = self.keys[order]
@@ -110,23 +147,79 @@ class Items:
         self.maybe = np.zeros(1 << 20, bool)
         self.maybe[self.keys >> np.uint64(44)] = True
 
-    def candidates(self, text: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct (item number, place where the item would start)."""
-        found_item, found_at = [], []
-        for z in range(REPETITIONS):
-            keys = walk_keys(text, places, z)
+    def candidates(self, joined: str, text: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct (item number, place where the item would start) whose chunk is near enough."""
+        found: list[np.ndarray] = []
+        for z in range(REPETITIONS if len(self.keys) else 0):
+            keys, _ = walk(text, places, z)
             likely = np.flatnonzero(self.maybe[keys >> np.uint64(44)])
             keys = keys[likely]
             left, right = np.searchsorted(self.keys, keys, "left"), np.searchsorted(self.keys, keys, "right")
-            n = right - left
-            hit = np.repeat(left - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-            found_item.append(self.item[hit])
-            found_at.append(np.repeat(places[likely], n) - self.offset[hit])
-        width = len(text) + 1
-        # An item may start before the text does, at a negative place.
-        shift = int(self.offset.max(initial=0))
-        pairs = np.unique(np.concatenate(found_item) * (width + shift) + np.concatenate(found_at) + shift)
-        return pairs // (width + shift), pairs % (width + shift) - shift
+            hit = expand(left, right - left)
+            at = np.repeat(places[likely], right - left)
+            found.append(self.near(text, self.item[hit], self.offset[hit], at))
+        if self.pieces:
+            hits = np.array(list(self.pieces.iter(joined)), np.int64).reshape(-1, 2)
+            n = self.piece_count[hits[:, 1]]
+            item, offset = self.piece_of[expand(self.piece_first[hits[:, 1]], n)].T
+            at = np.repeat(hits[:, 0] + 1 - self.piece_chars[hits[:, 1]], n)
+            found.append(self.near(text, item, offset, at))
+        pairs = np.unique(np.concatenate(found), axis=0)
+        return pairs[:, 0], pairs[:, 1]
+
+    def near(self, text: np.ndarray, item: np.ndarray, offset: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Distinct rows (item, start) of the items whose ``offset`` meets the text ``at`` a place, if the chunk around it agrees."""
+        # Chunks begin at every half chunk; the offset lies in the first half of its chunk, or in the last chunk.
+        half = _CHUNK // 2
+        spread = np.maximum(0, self.lengths - _CHUNK)
+        counts = -(-spread // half) + 1
+        base = np.cumsum(counts) - counts
+        shift = int(self.lengths.max(initial=0))
+        width = len(text) + shift
+        rows = np.unique((base[item] + np.minimum(offset // half, counts[item] - 1)) * width + at - offset + shift)
+        padded = np.concatenate([np.zeros(_CHUNK * 2, np.uint8), text, np.zeros(_CHUNK * 2, np.uint8)])
+        kept = [np.zeros((0, 2), np.int64)]
+        for k in range(0, len(rows), _AT_ONCE):
+            chunk, begin = rows[k : k + _AT_ONCE] // width, rows[k : k + _AT_ONCE] % width - shift
+            chunks, which = np.unique(chunk, return_inverse=True)
+            owner = np.searchsorted(base, chunks, "right") - 1
+            first = np.minimum((chunks - base[owner]) * half, spread[owner])
+            sizes = np.minimum(self.lengths[owner], _CHUNK)
+            masks = np.zeros((len(chunks), 256), np.uint64)
+            for mask, i, f in zip(masks, owner.tolist(), first.tolist()):
+                code = letters(self.texts[i][f : f + _CHUNK])[: -(STEPS + 1)]
+                np.bitwise_or.at(mask, code, np.uint64(1) << np.arange(len(code), dtype=np.uint64))
+            start = np.clip(begin + first[which] - _SLACK + 2 * _CHUNK, 0, len(padded) - 1)
+            best = chunk_distances(masks, sizes, which, padded, start)
+            # A short item is its own chunk and keeps to its edits; a longer one may have more of them here than elsewhere.
+            most = (sizes * MOST_EDITS).astype(np.int64) + np.where(spread[owner] > 0, _SPARE, 0)
+            near = best <= most[which]
+            kept.append(np.stack([owner[which][near], begin[near]], 1))
+        return np.concatenate(kept)
+
+
+def chunk_distances(masks: np.ndarray, sizes: np.ndarray, which: np.ndarray, text: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Per place the least edit distance of its chunk to any stretch from ``start`` on (bit-parallel, all places together)."""
+    one = np.uint64(1)
+    pv, mv = np.full(len(which), ~np.uint64(0)), np.zeros(len(which), np.uint64)
+    last = (sizes[which] - 1).astype(np.uint64)
+    score = sizes[which].copy()
+    best = score.copy()
+    flat, base = masks.reshape(-1), which * 256
+    for j in range(int(sizes.max(initial=0)) + 2 * _SLACK):
+        eq = flat[base + text[np.minimum(start + j, len(text) - 1)]]
+        xv = eq | mv
+        xh = (((eq & pv) + pv) ^ pv) | eq
+        ph = mv | ~(xh | pv)
+        mh = pv & xh
+        score += ((ph >> last) & one).astype(np.int64)
+        score -= ((mh >> last) & one).astype(np.int64)
+        ph <<= one
+        mh <<= one
+        pv = mh | ~(xv | ph)
+        mv = ph & xv
+        np.minimum(best, score, out=best)
+    return best
 
 
 def best_distance(item: str, text: str, most: int) -> int | None:
@@ -167,19 +260,20 @@ def leaks_of(texts: pa.Array, items: Items) -> list[list[tuple[int, int]]]:
     used = in_text % STRIDE == 0
     places, owner = starts[used], owner[used]
     found: list[dict[int, int]] = [{} for _ in plain]
-    if items.short:
+    if items.words:
         for text, here in zip(plain, found):
-            here |= {number: 0 for _, numbers in items.short.iter(f" {text} ") for number in numbers}
-    if not len(places) or not len(items.keys):
+            here |= {number: 0 for _, numbers in items.words.iter(f" {text} ") for number in numbers}
+    if not len(places) or not (len(items.keys) or items.pieces):
         return [sorted(f.items()) for f in found]
-    numbers, at = items.candidates(coded, places)
+    numbers, at = items.candidates(joined, coded, places)
     # The hit lies in the text that holds the matched window, not where the item would start.
     checked: set[tuple[int, int, int]] = set()
     for number, place in zip(numbers.tolist(), at.tolist()):
         item = items.texts[number]
         most = int(len(item) * MOST_EDITS)
         for text_number in {
-            int(np.searchsorted(ends, min(max(0, p), len(joined)), side="right")) for p in (place, place + len(item) - 1)
+            int(np.searchsorted(ends, min(max(0, p), len(joined)), side="right"))
+            for p in (place, place + len(item) // 2, place + len(item) - 1)
         }:
             if text_number >= len(plain):
                 continue
@@ -191,10 +285,6 @@ def leaks_of(texts: pa.Array, items: Items) -> list[list[tuple[int, int]]]:
             checked.add(mark)
             a, b = max(0, start - 2 * most), min(len(text), start + len(item) + 2 * most)
             stretch = text[a:b]
-            grams = items.grams[number]
-            shared = sum(stretch[i : i + _GRAM] in grams for i in range(len(stretch) - _GRAM + 1))
-            if shared < len(item) - _GRAM + 1 - _GRAM * most:
-                continue
             distance = best_distance(item, stretch, most)
             if distance is not None:
                 found[text_number][number] = min(distance, found[text_number].get(number, distance))
@@ -227,8 +317,10 @@ def mark_leaks(
     """``docs`` with an array of (item_id, distance, chars): the items each row contains.
 
     An item is contained if some stretch of the row's text is within
-    ``MOST_EDITS`` of the item's length, both normalised.  Items shorter than a
-    walk of ``STEPS`` count only where their words stand unchanged.  NULL and empty texts
+    ``MOST_EDITS`` of the item's length, both normalised.  Items below
+    ``EXACT_BELOW`` characters are found always, longer ones by chance, most often
+    at the recall the README gives.  Items too short for a single edit count only
+    where their words stand unchanged.  NULL and empty texts
     and items contain nothing; repeated items are all reported; all rows and
     columns are kept, and ``column`` must not be among them.
     """

@@ -244,6 +244,33 @@ def test_decontamination_recall_and_clean_texts(spark):
     assert decontaminate.find_leaks(clean, spark.createDataFrame(list(enumerate(items)), "item_id long, text string")).count() == 0
 
 
+@pytest.mark.parametrize("low, high, least", [(12, 39, 1.0), (40, 63, 1.0), (81, 120, 0.9), (200, 250, 0.9)])
+@pytest.mark.parametrize("evenly", [False, True])
+def test_decontamination_recall_by_length(low, high, least, evenly):
+    rng = random.Random(low)
+    vocabulary = ["".join(rng.choice("abcdefghijklmnopqrst") for _ in range(rng.randrange(2, 9))) for _ in range(4000)]
+
+    def prose(chars):
+        t = ""
+        while len(t) < chars:
+            t = f"{t} {rng.choice(vocabulary)}".strip()
+        return t[:chars].strip()
+
+    def edited(t, edits):
+        out = list(t)
+        for j in range(edits):
+            at = int((j + 0.5) * len(out) / edits) if evenly else rng.randrange(len(out))
+            kind = 0 if evenly else rng.randrange(3)
+            out[at : at + (kind != 1)] = ["z", "zy", ""][kind] if kind != 1 else ["z"]
+        return "".join(out)
+
+    items = [prose(rng.randint(low, high)) for _ in range(60)]
+    block = decontaminate.Items(list(range(60)), items)
+    texts = [f"{prose(90)} {edited(t, len(t) // 5)} {prose(90)}" for t in items]
+    got = decontaminate.leaks_of(pa.array(texts, pa.large_string()), block)
+    assert sum(any(n == i for n, _ in found) for i, found in enumerate(got)) >= least * len(items)
+
+
 def test_best_distance_matches_brute_force():
     rng = random.Random(2)
     for _ in range(60):
