@@ -4,7 +4,10 @@ A page is cut into blocks at block-level tags.  Pass one classes each block by
 stop-word density, length and link density, and by the elements it lies in
 (menus, headers, footers, forms and the like are never main text).  Blocks that
 are too short or too unlike prose to tell stay open; in pass two they take the
-label of the nearest decided neighbour within the same article.
+label of the nearest decided neighbour within the same article, headings that of
+the next.  An article or main element is a prior only: its blocks are rejected by
+the same rules, what is open in it counts as main text if nothing else tells, and
+what lies outside goes if the articles hold as much prose.
 """
 
 from __future__ import annotations
@@ -36,6 +39,7 @@ _INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small "
     "span strike strong sub sup time tt u var wbr".split()
 )
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _ARTICLE = frozenset("article main".split())
 # Words in class, id or role that mark something other than the article.
 _MARKS = re.compile(
@@ -54,7 +58,7 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 
 _LONG, _SHORT = 140, 60  # characters
-_MANY_STOPS, _SOME_STOPS, _MOST_LINKS = 0.30, 0.15, 0.5
+_MANY_STOPS, _SOME_STOPS, _MOST_LINKS, _ALL_LINKS = 0.30, 0.15, 0.5, 0.8
 
 
 @dataclass
@@ -65,6 +69,7 @@ class Block:
     link_chars: int
     outside: bool
     article: int  # number of the enclosing article or main element, 0 for none
+    tag: str = ""  # the block element it lies in
     label: bool | None = field(default=None)
 
 
@@ -101,7 +106,7 @@ def blocks(page: str) -> list[Block]:
         text = " ".join("".join(p for p, _ in pieces).split())
         if text:
             links = sum(len("".join(p.split())) for p, linked in pieces if linked)
-            found.append(Block(text, links, bool(stack) and stack[-1][1], stack[-1][2] if stack else 0))
+            found.append(Block(text, links, bool(stack) and stack[-1][1], stack[-1][2] if stack else 0, stack[-1][0] if stack else ""))
         pieces.clear()
 
     links_open = 0
@@ -157,21 +162,33 @@ def blocks(page: str) -> list[Block]:
 
 def classify(found: list[Block]) -> None:
     """Pass one and two: every block gets its label, true for main text."""
-    has_article = any(b.article and not b.outside for b in found)
+    bare: list[Block] = []  # long, without stop words
     for b in found:
         words = b.text.split()
         letters = max(1, sum(map(len, words)))
         stops = sum(w.strip(".,;:!?\"'()").lower() in STOP_WORDS for w in words) / max(1, len(words))
-        if b.outside or (has_article and not b.article):
+        linked = b.link_chars / letters
+        prose = b.article and len(words) > 20 and stops >= _SOME_STOPS and linked <= _ALL_LINKS
+        if b.outside:
             b.label = False
-        elif b.link_chars > _MOST_LINKS * letters and not (b.article and len(words) > 20):
-            b.label = False if not b.article else None
+        elif linked > _MOST_LINKS and not prose:
+            b.label = None if b.article and b.tag in _HEADINGS else False
         elif len(b.text) >= _LONG and stops >= _SOME_STOPS or len(b.text) >= _SHORT and stops >= _MANY_STOPS:
             b.label = True
-        elif len(b.text) >= _LONG and not b.article and stops == 0:
+        elif len(b.text) >= _LONG and stops == 0:
+            bare.append(b)
+    within = sum(len(b.text) for b in found if b.label and b.article)
+    if any(b.article and not b.outside for b in found) and within >= sum(len(b.text) for b in found if b.label and not b.article):
+        for b in found:
+            if not b.article:
+                b.label = False
+    # Stop words reject in an article only where they are found in it: it may be in a language without any listed.
+    told = {b.article for b in found if b.label}
+    for b in bare:
+        if b.label is None and b.tag != "pre" and (not b.article or b.article in told):
             b.label = False
     _inherit(found, list(range(len(found))), lambda b: not b.article)
-    for article in {b.article for b in found if b.article}:
+    for article in sorted(told - {0}):
         _inherit(
             found,
             [i for i, b in enumerate(found) if b.article == article and not b.outside],
@@ -185,6 +202,7 @@ def classify(found: list[Block]) -> None:
 def _inherit(found: list[Block], among: list[int], takes: Callable[[Block], bool]) -> None:
     """Open blocks take the label of the nearest decided block ``among`` these; main text wins a tie."""
     nearest: dict[int, list[tuple[int, bool]]] = {i: [] for i in among}
+    ahead: dict[int, bool | None] = {}
     for way in (among, among[::-1]):
         last = None
         for i in way:
@@ -192,9 +210,12 @@ def _inherit(found: list[Block], among: list[int], takes: Callable[[Block], bool
                 last = i
             elif last is not None:
                 nearest[i].append((abs(i - last), not found[last].label))
+                if last > i:
+                    ahead[i] = found[last].label
     for i, near in nearest.items():
         if near and takes(found[i]):
-            found[i].label = not min(near)[1]
+            # A heading belongs to what follows.
+            found[i].label = ahead[i] if found[i].tag in _HEADINGS and i in ahead else not min(near)[1]
 
 
 def main_text(page: str) -> str:

@@ -149,6 +149,24 @@ def test_main_text_of_pages(spark):
     assert extract(pages.filter(F.lit(False))).count() == 0
 
 
+def test_main_text_inside_and_outside_articles():
+    prose = "The cat is on the mat and it was not for us to say that this is the end of it, as they have with you at the house."
+    advert = "Buy cheap shoes now! Best prices, free shipping, great brands, huge discounts. " * 3
+    links = "".join(f"<li><a href=/{i}>Another story {i}</a></li>" for i in range(5))
+    line = " ".join(f"<a href=/{i}>Ten ways to see the world for less {i}</a>" for i in range(5))
+    page = (
+        f"<article><h1><a href=/>Head</a></h1><p>{prose}</p><p>Short.</p><ul><li>one<li>two</ul><p>{prose}</p>"
+        f"<p>{advert}</p><h3>More</h3><ul>{links}</ul><p>{line}</p><p><a href=t>Tweet</a> <a href=s>Share</a></p></article>"
+    )
+    assert main_text(page) == f"Head\n{prose}\nShort.\none\ntwo\n{prose}"
+    teaser = f"<div><p>{prose}</p><p>{prose}</p><p>Short.</p></div><article><h2>Next</h2><p>Soon here.</p></article>"
+    assert main_text(teaser).startswith(f"{prose}\n{prose}\nShort.")
+    # In a language without listed stop words, and where nothing is long, the article stays.
+    other = "Kissa istuu matolla, koska ulkona sataa vettä. " * 4
+    assert main_text(f"<article><p>{other}</p><p>Loppu.</p></article>") == f"{other.strip()}\nLoppu."
+    assert main_text(f"<article><p>Short.</p><ul>{links}</ul></article>") == "Short."
+
+
 def brute_components(texts, n, percent):
     sets = {}
     for i, t in texts:
