@@ -1,11 +1,13 @@
 """Information-theoretic sanitisation of personal data (operator 8).
 
-Protected entities are the personal data that patterns find.  Terms near an
-entity are judged by the corpus: the pointwise mutual information of term and
+Protected entities are the personal data that patterns find.  The terms of the
+documents that hold an entity are judged by the corpus: the pointwise mutual information of term and
 entity over documents, against the entity's information content, tells how far
 the term gives the entity away.  The share of a term's documents that hold the
 entity is smoothed towards chance; no pair is left out for being rare.  Terms above ``GENERALISE`` of it are replaced
-by a class, above ``REMOVE`` they are removed.  Counts cover all documents.
+by a class, above ``REMOVE`` they are removed, wherever they stand in a document
+that holds the entity.  Counts cover all documents and whole texts.  Entities found
+in the same documents share their counts and are judged as one class.
 
 Everything is DataFrame expressions.  Places of matches come from matching the
 text before a match along with it; patterns are anchored at the last match and
@@ -21,11 +23,11 @@ from pyspark.sql import functions as F
 
 from gildstar.session import run_folder
 
-CONTEXT_CHARS = 80  # code points on either side of an entity in which terms are judged
 PRIOR = 0.5  # documents of chance meetings added to those of a term, so that few documents weigh less
 GENERALISE, REMOVE = 0.8, 0.95
 
 _TERM = r"\p{L}[\p{L}\p{N}]{2,}"
+_BLOCK = 256  # places that are listed together, so that lists grow by blocks
 
 
 @dataclass(frozen=True)
@@ -75,18 +77,33 @@ KINDS = (
 )
 
 
-def _places(text: str, pattern: str, shift: str = "0") -> str:
-    """SQL: array of (s, e, v), the matches of group 2 in ``text`` by code points from ``shift``."""
+def _place_blocks(text: str, pattern: str) -> str:
+    """SQL: array of blocks of (s, e, v), the matches of group 2 in ``text`` by code points."""
     quoted = "r'(?s)" + pattern + "'"
+    empty = "cast(array() as array<struct<s:int,e:int,v:string>>)"
+    matches = (
+        f"zip_with(regexp_extract_all({text}, {quoted}, 1), regexp_extract_all({text}, {quoted}, 2), "
+        "(g, m) -> named_struct('g', length(g), 'm', m))"
+    )
+    block = (
+        f"aggregate(b, named_struct('p', a.p, 'out', {empty}), "
+        "(c, x) -> named_struct('p', c.p + x.g + length(x.m), 'out', array_append(c.out, "
+        "named_struct('s', c.p + x.g, 'e', c.p + x.g + length(x.m), 'v', x.m))))"
+    )
     return (
-        f"aggregate(zip_with(regexp_extract_all({text}, {quoted}, 1), regexp_extract_all({text}, {quoted}, 2), "
-        "(g, m) -> named_struct('g', length(g), 'm', m)), "
-        f"named_struct('p', {shift}, 'out', cast(array() as array<struct<s:int,e:int,v:string>>)), "
-        "(a, x) -> named_struct('p', a.p + x.g + length(x.m), 'out', array_append(a.out, "
-        "named_struct('s', a.p + x.g, 'e', a.p + x.g + length(x.m), 'v', x.m))), a -> a.out)"
+        f"transform(array({matches}), w -> aggregate("
+        f"transform(sequence(0, (size(w) - 1) div {_BLOCK}), i -> slice(w, cast(i * {_BLOCK} + 1 as int), {_BLOCK})), "
+        "named_struct('p', 0, 'out', cast(array() as array<array<struct<s:int,e:int,v:string>>>)), "
+        f"(a, b) -> transform(array({block}), r -> named_struct('p', r.p, 'out', array_append(a.out, r.out)))[0], "
+        "a -> a.out))[0]"
     )
 
 
+def _places(text: str, pattern: str) -> str:
+    """SQL: array of (s, e, v), the matches of group 2 in ``text`` by code points."""
+    return f"flatten({_place_blocks(text, pattern)})"
+
+
 def base_spans(kind: Kind) -> Column:
     """The valid matches of a kind in column ``t`` as (s, e, v)."""
     return F.expr(
@@ -95,25 +112,24 @@ def base_spans(kind: Kind) -> Column:
     )
 
 
-def _context_terms() -> str:
-    """SQL: the terms on either side of the entity ``x`` (kind, s, e, v) of ``t``, as (entity, term, s, e)."""
+def _terms() -> str:
+    """SQL: the terms of ``t`` clear of the entities ``base``, as (term, s, e)."""
     term = rf"\G(|.*?(?<![\p{{L}}\p{{N}}]))({_TERM})"
-    before = f"greatest(0, x.s - {CONTEXT_CHARS})"
-    left = _places(f"substring(t, {before} + 1, x.s - {before})", term, before)
-    right = _places(f"substring(t, x.e + 1, {CONTEXT_CHARS})", term, "x.e")
-    # A term that touches the edge of the window or the entity may be a part of a longer word.
-    whole = f"(y.s > {before} or {before} = 0) and y.e < x.s"
-    after = f"y.s > x.e and (y.e < x.e + {CONTEXT_CHARS} or y.e = length(t))"
-    clear = "not exists(base, z -> z.s < y.e and y.s < z.e)"
+    around = "filter(base, z -> z.s < element_at(b, -1).e and b[0].s < z.e)"
+    clear = f"transform(array({around}), k -> filter(b, y -> not exists(k, z -> z.s < y.e and y.s < z.e)))[0]"
     return (
-        f"flatten(transform(base, x -> transform(filter(concat(filter({left}, y -> {whole}), "
-        f"filter({right}, y -> {after})), y -> {clear}), "
-        "y -> named_struct('entity', concat(x.k, ':', lower(x.v)), 'term', lower(y.v), 's', y.s, 'e', y.e))))"
+        f"transform(flatten(transform(filter({_place_blocks('t', term)}, b -> size(b) > 0), b -> {clear})), "
+        "y -> named_struct('term', lower(y.v), 's', y.s, 'e', y.e))"
     )
 
 
+def _distinct_terms(text: str) -> str:
+    """SQL: the distinct terms of a text, inside entities too."""
+    return rf"array_distinct(transform(regexp_extract_all({text}, r'(?<![\p{{L}}\p{{N}}]){_TERM}', 0), x -> lower(x)))"
+
+
 def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, h, n_<kind>.., base, near) per row: spans (k, s, e, v) and terms around them."""
+    """(doc_id, h, n_<kind>.., base, places, words) per row: spans (k, s, e, v), and of rows with some the terms and their places."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(text, F.lit("")).alias("t"))
     rows = rows.withColumn("h", F.xxhash64("t"))
     for kind in KINDS:
@@ -126,17 +142,19 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     )
     return (
         rows.withColumn("base", F.array_sort(base))
-        .withColumn("near", F.when(F.size("base") > 0, F.expr(_context_terms())))
+        .withColumn("places", F.when(F.size("base") > 0, F.expr(_terms())))
+        .withColumn("words", F.when(F.size("base") > 0, F.expr(_distinct_terms("t"))))
         .select(
-            "doc_id", "h", *[F.size(f"_{k.name}").cast("long").alias(f"n_{k.name}") for k in KINDS], "base", "near"
+            "doc_id", "h", *[F.size(f"_{k.name}").cast("long").alias(f"n_{k.name}") for k in KINDS], "base", "places", "words"
         )
     )
 
 
 def document_frequencies(docs: DataFrame, text: str = "text") -> DataFrame:
     """(term, df): in how many rows each term occurs."""
-    found = F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(_TERM), F.lit(0)))
-    return docs.select(F.explode(found).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    found = F.expr(_distinct_terms("t"))
+    rows = docs.select(F.coalesce(text, F.lit("")).alias("t"))
+    return rows.select(F.explode(found).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 
 class Sanitiser:
@@ -147,42 +165,46 @@ class Sanitiser:
         folder = run_folder(spark, "sanitise")
         find(docs, doc_id, text).write.parquet(f"{folder}/found")
         self.found = spark.read.parquet(f"{folder}/found")
-        near = self.found.filter(F.size("near") > 0).select("doc_id", "h", F.explode("near").alias("x"))
-        self.near = near.select("doc_id", "h", "x.*")
-        pairs = F.expr("array_distinct(transform(near, x -> named_struct('entity', x.entity, 'term', x.term)))")
-        meet = (
-            self.found.filter(F.size("near") > 0)
-            .select(F.explode(pairs).alias("x"))
-            .groupBy("x.entity", "x.term")
-            .agg(F.count(F.lit(1)).alias("both"))
+        held = self.found.filter(F.size("base") > 0)
+        texts = held.groupBy("h").agg(
+            F.count(F.lit(1)).alias("copies"), F.any_value("base").alias("base"), F.any_value("words").alias("words")
+        )
+        texts.write.parquet(f"{folder}/texts")  # each distinct text with entities once
+        texts = spark.read.parquet(f"{folder}/texts")
+        entities = texts.select(
+            "h", "copies", F.explode(F.expr("array_distinct(transform(base, x -> concat(x.k, ':', lower(x.v))))")).alias("entity")
         )
-        entities = (
-            self.found.select(
-                F.explode(F.expr("array_distinct(transform(base, x -> concat(x.k, ':', lower(x.v))))")).alias("entity")
-            )
-            .groupBy("entity")
-            .agg(F.count(F.lit(1)).alias("entity_df"))
+        classes = entities.groupBy("entity").agg(
+            F.sum("copies").alias("entity_df"),
+            F.count(F.lit(1)).alias("n_texts"),
+            F.bit_xor("h").alias("x1"),
+            F.bit_xor(F.xxhash64("h", F.lit(7))).alias("x2"),
         )
+        self.of_class = ["entity_df", "n_texts", "x1", "x2"]
+        of_text = entities.join(classes, "entity").groupBy("h", *self.of_class).agg(F.max("copies").alias("copies"))
+        self.pairs = of_text.join(texts.select("h", F.explode("words").alias("term")), "h")
+        meet = self.pairs.groupBy(*self.of_class, "term").agg(F.sum("copies").alias("both"))
         total = self.found.count()
         (
-            meet.join(entities, "entity")
-            .join(document_frequencies(docs, text), "term")
+            meet.join(document_frequencies(docs, text), "term")
             .withColumn("chance", F.col("entity_df") / F.lit(float(max(1, total))))
             .filter(F.col("chance") < 1)
             .withColumn("share", (F.col("both") + PRIOR * F.col("chance")) / (F.col("df") + PRIOR))
             .withColumn("disclosure", 1 - F.log2("share") / F.log2("chance"))
             .filter(F.col("disclosure") >= GENERALISE)
-            .select("entity", "term", "disclosure")
+            .select(*self.of_class, "term", "disclosure")
             .write.parquet(f"{folder}/disclosing")
         )
         self.disclosing = spark.read.parquet(f"{folder}/disclosing")
 
     def spans(self) -> DataFrame:
         """``found`` with ``terms``: the disclosing terms of the row as (s, r, k, e, v), k 'generalise' or 'remove'."""
+        of_text = self.pairs.join(self.disclosing, [*self.of_class, "term"]).groupBy("h", "term").agg(F.max("disclosure").alias("d"))
+        places = self.found.filter(F.size("places") > 0).select("doc_id", "h", "places").dropDuplicates(["doc_id", "h"])
         of_row = (
-            self.near.join(self.disclosing, ["entity", "term"])
-            .groupBy("doc_id", "h", "s", "e", "term")
-            .agg(F.max("disclosure").alias("d"))
+            places.select("doc_id", "h", F.explode("places").alias("x"))
+            .select("doc_id", "h", "x.*")
+            .join(of_text, ["h", "term"])
             .groupBy(F.col("doc_id").alias("_id"), F.col("h").alias("_h"))
             .agg(
                 F.collect_list(

@@ -440,6 +440,31 @@ def test_sanitiser_judges_entities_of_one_or_two_rows(spark):
     assert judged["quimby"] == pytest.approx(1 - math.log((2 + 0.5 * two) / 2.5) / math.log(two))
 
 
+def test_sanitiser_marks_terms_of_whole_documents(spark):
+    importable(spark)
+    plain = "The rest is for all and the weather is fine."
+    texts = [(i, plain) for i in range(100)]
+    far = f"Zorblax. {f'{plain} ' * 10}The rest is zq@corp.example.com! {f'{plain} ' * 50}zorblax"
+    texts += [(200, far), (201, f"{plain} 10.0.0.1 Zorblax {plain} 10.0.0.1"), (None, plain), (200, far)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    sanitiser = sanitise.Sanitiser(docs)
+    clean = sorted(t for i, t in sanitiser.sanitised(docs).collect() if i == 200)
+    wanted = far.replace("zq@corp.example.com", "[EMAIL]").replace("Zorblax", "[TERM]").replace("zorblax", "[TERM]")
+    assert clean == [wanted] * 2
+    spans = {r["doc_id"]: r["spans"] for r in sanitiser.digest().collect()}
+    for at in (0, len(far) - 7):
+        assert f"generalise:{at}:{at + 7}" in spans[200].split(",")
+    assert spans[None] == "" and sanitiser.digest().count() == len(texts)
+    # Texts of many terms and entities are listed block by block.
+    many = " ".join(f"w{i}x a{i}@b.cd" for i in range(700))
+    docs = spark.createDataFrame([(0, many), *((i, plain) for i in range(1, 50))], "doc_id long, text string")
+    found = sanitise.Sanitiser(docs).spans().filter("doc_id = 0").first()
+    assert [(t["s"], many[t["s"] : t["e"]]) for t in sorted(found["terms"])] == [
+        (m.start(), m[0]) for m in re.finditer(r"(?<!\S)w\d+x", many)
+    ]
+    assert [many[x["s"] : x["e"]] for x in found["base"]] == [f"a{i}@b.cd" for i in range(700)]
+
+
 def test_mixing_targets_and_shards(spark, edge, empty, monkeypatch):
     importable(spark)
     monkeypatch.setattr(mixing, "BLOCK_WORDS", 64)
