@@ -7,10 +7,12 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gildstar.llm.common import importable
 from gildstar.llm.decontaminate import find_leaks
 from gildstar.llm.jaccard_join import jaccard_components
+from gildstar.llm.line_runs import drop_repeated_lines
 from gildstar.llm.main_text import extract
 from gildstar.llm.mixing import Mix
 from gildstar.llm.ppm import score
@@ -97,3 +99,25 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_ppm")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(read(spark, sf_dir, "documents"))
+
+
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@query(
+    "op11_line_dedup",
+    f"""WITH l AS (
+          SELECT doc_id, generate_subscripts(ls, 1) AS p, unnest(ls) AS line
+          FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents)),
+        k AS (SELECT *, {_LOWER.format("trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))")} AS key
+              FROM l),
+        f AS (SELECT key, max(doc_id) AS keeper FROM k WHERE length(key) >= 40
+              GROUP BY key HAVING count(DISTINCT doc_id) >= 5)
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (keeper <> doc_id) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (keeper IS NULL OR keeper = doc_id), ''))
+                 AS kept_sha256
+        FROM k LEFT JOIN f USING (key) GROUP BY doc_id""",
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = drop_repeated_lines(read(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
