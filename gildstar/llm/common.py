@@ -39,6 +39,24 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = SLICE_BYTE
             yield batch.slice(a, b - a)
 
 
+def gathered(batches: Iterator[pa.RecordBatch], text: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Like ``slices``, but small batches are put together first until they hold about ``limit`` bytes."""
+
+    def joined(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return slices(pa.Table.from_batches(parts).combine_chunks().to_batches(), text, limit)
+
+    held, size = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            size += pc.sum(pc.fill_null(pc.binary_length(batch.column(text)), 0)).as_py()
+        if size >= limit:
+            yield from joined(held)
+            held, size = [], 0
+    if held:
+        yield from joined(held)
+
+
 def large_texts(column: pa.Array) -> pa.Array:
     """The texts as large strings of their own, NULL as the empty text.
 

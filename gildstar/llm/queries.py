@@ -15,6 +15,7 @@ from gildstar.llm.jaccard_join import jaccard_components
 from gildstar.llm.line_runs import drop_repeated_lines
 from gildstar.llm.main_text import extract
 from gildstar.llm.mixing import Mix
+from gildstar.llm.phrases import collocations
 from gildstar.llm.ppm import score
 from gildstar.llm.quality_classifier import classify
 from gildstar.llm.quality_rules import apply_rules
@@ -121,3 +122,34 @@ _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxy
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = drop_repeated_lines(read(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query(
+    "op12_collocations",
+    f"""WITH p AS (
+          SELECT coalesce(lang, 'und') AS lang,
+                 unnest(string_split_regex({_LOWER.format("coalesce(text, '')")}, '[.,;:!?\\x0A-\\x0D]')) AS piece
+          FROM documents),
+        t AS (SELECT lang, list_filter(string_split_regex(piece, '[ \\t]+'), lambda x: x <> '') AS w FROM p),
+        g AS (SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase
+              FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM t, (SELECT unnest([1, 2, 3, 4]) AS m))),
+        c AS (SELECT lang, m, phrase, count(*) AS f FROM g GROUP BY ALL),
+        n AS (SELECT lang, sum(f) AS n FROM c WHERE m = 1 GROUP BY lang),
+        a AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w FROM c WHERE m > 1 AND f >= 30),
+        k AS (SELECT lang, phrase, a, k, array_to_string(w[1:k], ' ') AS x, array_to_string(w[k + 1:m], ' ') AS y
+              FROM (SELECT *, unnest(range(1, m)) AS k FROM a)),
+        s AS (SELECT k.lang, k.phrase, k.a, k.k, x.f AS l, y.f AS r,
+                     CAST((CAST(2000000 AS HUGEINT) * k.a) // (x.f + y.f) AS BIGINT) AS score
+              FROM k JOIN c x ON x.lang = k.lang AND x.phrase = k.x JOIN c y ON y.lang = k.lang AND y.phrase = k.y),
+        b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+        i AS (SELECT lang, array_to_string(w[s:s + q - 1], ' ') AS phrase, max(a) AS longer
+              FROM (SELECT *, unnest(range(1, m - q + 2)) AS s FROM (SELECT *, unnest(range(2, m)) AS q FROM a))
+              GROUP BY ALL),
+        o AS (SELECT b.* FROM b LEFT JOIN i USING (lang, phrase)
+              WHERE longer IS NULL OR CAST(100 AS HUGEINT) * longer < CAST(80 AS HUGEINT) * a)
+        SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, score
+        FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM o)
+        JOIN n USING (lang) WHERE rank <= 2000""",
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(read(spark, sf_dir, "documents"))
