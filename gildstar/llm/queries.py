@@ -20,6 +20,7 @@ from gildstar.llm.ppm import score
 from gildstar.llm.quality_classifier import classify
 from gildstar.llm.quality_rules import apply_rules
 from gildstar.llm.sanitise import Sanitiser
+from gildstar.llm.spellings import spelling_groups
 from gildstar.llm.token_counts import count_tokens
 from gildstar.llm.token_file import read_token_file, write_token_file
 from gildstar.session import run_folder
@@ -153,3 +154,8 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(read(spark, sf_dir, "documents"))
+
+
+@query("op13_spelling_groups")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_groups(read(spark, sf_dir, "documents"))
