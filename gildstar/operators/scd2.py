@@ -9,14 +9,8 @@ from pyspark.sql import functions as F
 
 from gildstar.functions.keys import date_key, surrogate_key
 from gildstar.operators.filters import null_of
-from gildstar.operators.incremental import (
-    Target,
-    load_batch,
-    load_full,
-    read_target,
-    recover,
-    target_exists,
-)
+from gildstar.operators.incremental import Target, again, load_batch, load_full, read_target
+from gildstar.sources import versions
 
 VALIDITY = ("valid_from", "valid_to", "is_current")
 
@@ -121,18 +115,21 @@ def load_scd2(
 
     Rewrites the open versions and the days on which versions close now; older
     closed versions are neither read nor written.  Loading the same snapshot
-    again changes nothing.
+    again changes nothing.  Of two loads at once the later one compares its
+    snapshot with what the other left.
     """
     version_key = target.keys[0]
-    if target_exists(spark, target):
-        recover(spark, target)
 
-    def dated(versions: DataFrame) -> DataFrame:
+    def dated(rows: DataFrame) -> DataFrame:
         day = F.when(F.col("is_current"), F.lit(OPEN)).otherwise(date_key("valid_to"))
-        return versions.withColumn(CLOSED_DAY, day)
+        return rows.withColumn(CLOSED_DAY, day)
 
-    if not target_exists(spark, target):
-        return load_full(spark, dated(scd2_start(snapshot, keys, effective, version_key)), target)
-    current = read_target(spark, target).filter(F.col(CLOSED_DAY) == OPEN).drop(CLOSED_DAY)
-    changes = scd2_changes(current, snapshot, keys, tracked, effective, version_key)
-    return load_batch(spark, dated(changes), target, replaced=frozenset({OPEN}))
+    def once() -> DataFrame:
+        number, _ = versions.current(spark, target.path)
+        if not number:
+            return load_full(spark, dated(scd2_start(snapshot, keys, effective, version_key)), target, first=True)
+        current = read_target(spark, target, number, days=[OPEN]).drop(CLOSED_DAY)
+        changes = scd2_changes(current, snapshot, keys, tracked, effective, version_key)
+        return load_batch(spark, dated(changes), target, replaced=frozenset({OPEN}), expected=number)
+
+    return again(once)

@@ -29,9 +29,11 @@ def stage_all(bronze: Mapping[str, DataFrame], load_ts: datetime | str, store_id
 
 
 def fact_targets(out_dir: str) -> dict[str, Target]:
+    """Facts keep files by the snapshot's own day; their keys hold its time, so newer rows are always new."""
+    keys = {"fct_game_snapshots": "snapshot_key", "fct_achievement_stats": "stat_key"}
     return {
-        "fct_game_snapshots": Target(f"{out_dir}/fct_game_snapshots", ["snapshot_key"], "snapshot_at"),
-        "fct_achievement_stats": Target(f"{out_dir}/fct_achievement_stats", ["stat_key"], "snapshot_at"),
+        name: Target(f"{out_dir}/{name}", [key], "snapshot_at", "snapshot_day", appends=True, day_of="snapshot_at")
+        for name, key in keys.items()
     }
 
 

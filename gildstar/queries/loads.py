@@ -11,6 +11,8 @@ from gildstar.functions.keys import date_key, surrogate_key
 from gildstar.operators.dims import current_dim
 from gildstar.operators.incremental import (
     Target,
+    load_batch,
+    load_full,
     load_incremental,
     merge_upsert,
     newer_than,
@@ -19,7 +21,7 @@ from gildstar.operators.incremental import (
 )
 from gildstar.operators.scd2 import CLOSED_DAY, history_target, load_scd2, scd2_apply, scd2_start
 from gildstar.plans import dimensions, facts, staging
-from gildstar.plans.build import SNAPSHOT_DAY
+from gildstar.plans.build import SNAPSHOT_DAY, fact_targets
 from gildstar.queries.dataflows import stored_star
 from gildstar.queries.registry import LOAD_TS, bronze, publish, register, table
 from gildstar.queries.sqltext import with_ctes
@@ -44,7 +46,7 @@ def load_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two ingestions, three loads: full, incremental, and one that finds nothing new."""
     star, dim_date = stored_star(spark, sf_dir), dimensions.dim_date(spark)
     everything = bronze(spark, sf_dir, "raw_players")
-    target = Target(f"{run_folder(spark, 'load')}/fct_game_snapshots", ["snapshot_key"], "snapshot_at")
+    target = fact_targets(run_folder(spark, "load"))["fct_game_snapshots"]
 
     def load(raw: DataFrame) -> DataFrame:
         def build(high: datetime | None) -> DataFrame:
@@ -67,7 +69,7 @@ def load_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
 def load_achievements(spark: SparkSession, sf_dir: str) -> DataFrame:
     star, dim_date = stored_star(spark, sf_dir), dimensions.dim_date(spark)
     everything = bronze(spark, sf_dir, "raw_players")
-    target = Target(f"{run_folder(spark, 'load')}/fct_achievement_stats", ["stat_key"], "snapshot_at")
+    target = fact_targets(run_folder(spark, "load"))["fct_achievement_stats"]
 
     def load(raw: DataFrame) -> DataFrame:
         def build(high: datetime | None) -> DataFrame:
@@ -130,6 +132,36 @@ def schema_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sync_schema(supplier, batch.schema)
 
 
+_TYPE_CHANGE_COLUMNS = """o_orderkey, CAST(o_custkey AS VARCHAR) AS customer, CAST(o_clerk_number AS BIGINT) AS clerk,
+              CAST(o_totalprice AS DECIMAL(18, 2)) AS total, o_orderdate AS ordered_at,
+              CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) AS date_key"""
+
+
+@register(
+    "L4_type_change",
+    f"""SELECT * REPLACE (CAST(total AS DOUBLE) AS total)
+        FROM (SELECT {_TYPE_CHANGE_COLUMNS}
+              FROM (SELECT *, (o_orderkey * 7) % 1000 AS o_clerk_number FROM orders))""",
+)
+def type_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders loaded in two halves; the second has other types for three columns, so the days of the first are converted."""
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.col("o_custkey").alias("customer"),
+        ((F.col("o_orderkey") * 7) % 1000).alias("clerk"),
+        F.col("o_totalprice").cast("double").alias("total"),
+        F.col("o_orderdate").cast("timestamp_ntz").alias("ordered_at"),
+    )
+    dated = orders.withColumn("date_key", date_key("ordered_at"))
+    target = Target(f"{run_folder(spark, 'load')}/orders", ["o_orderkey"], "ordered_at")
+    before = dated.filter("o_orderkey % 2 = 0").withColumn("clerk", F.col("clerk").cast("string"))
+    after = dated.filter("o_orderkey % 2 = 1").withColumns(
+        {"customer": F.col("customer").cast("string"), "clerk": F.col("clerk").cast("long"), "total": F.col("total").cast("decimal(18,2)")}
+    )
+    load_full(spark, before, target)
+    return publish(load_batch(spark, after, target))
+
+
 @register(
     "L5_current_dim",
     """SELECT md5(CAST(o_custkey AS VARCHAR)) AS customer_key, o_custkey, max(o_orderdate) AS valid_from,

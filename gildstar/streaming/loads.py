@@ -3,8 +3,9 @@
 The stream gives each file once, so its micro-batches are not filtered by a
 high-water mark: the mark would move with every micro-batch, and files that
 follow in any order would lose their older rows.  Each micro-batch is upserted
-by key into the days it touches, from one staged publish.  A micro-batch replayed
-after a lost driver therefore replaces its own rows and adds nothing twice.
+by key into the days it touches, in one commit that also notes its number.  A
+micro-batch replayed after a lost driver is recognised by it; one replayed under
+another checkpoint replaces its own rows.  Nothing is added twice.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from gildstar.operators.incremental import Target, load_batch, load_full, recover, target_exists
+from gildstar.operators.incremental import Target, load_batch, load_incremental, target_exists
 
 
 def stream_bronze(
@@ -39,13 +40,12 @@ def load_stream(
     ``build`` turns raw rows into fact rows.  Rows that arrive late are loaded too.
     """
 
-    def load(batch: DataFrame, _batch_id: int) -> None:
+    def load(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         if not target_exists(spark, target):
-            load_full(spark, build(batch), target)
-        else:
-            recover(spark, target)
-            load_batch(spark, build(batch), target)
+            # An empty first version, so that the batch commits together with its number.
+            load_incremental(spark, lambda _high: build(batch).limit(0), target)
+        load_batch(spark, build(batch), target, stream=(checkpoint, number))
 
     return (
         raw.writeStream.foreachBatch(load)

@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
-import json
-from datetime import datetime
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
+from datetime import date, datetime
+from decimal import Decimal
+from functools import partial
 
 import pytest
+from pyspark import inheritable_thread_target
 from pyspark.sql import functions as F
 
 from gildstar.functions.keys import date_key
 from gildstar.operators import incremental as inc
 from gildstar.operators.incremental import (
     DuplicateKeyError,
+    IncompatibleTypeError,
     Target,
     high_water,
     load_incremental,
@@ -21,6 +26,8 @@ from gildstar.operators.incremental import (
     sync_schema,
     target_exists,
 )
+from gildstar.sources import versions
+from gildstar.sources.tables import read_table, write_table
 
 SCHEMA = "k string, at string, v int"
 
@@ -97,11 +104,16 @@ def test_two_halves_equal_one_load(spark, tmp_path):
     assert loaded(spark, whole) == loaded(spark, parts) and len(loaded(spark, parts)) == 50
 
 
-def test_only_touched_days_are_rewritten(spark, target, tmp_path):
+def loads_by_day(spark, target):
+    return {d: [e["load"] for e in loads] for d, loads in versions.current(spark, target.path)[1]["days"].items()}
+
+
+def test_only_touched_days_are_rewritten(spark, target):
     load_incremental(spark, source(batch(spark, ("a", "2024-01-01 10:00:00", 1), ("b", "2024-01-02 10:00:00", 2))), target)
-    day_one = sorted(p.name for p in (tmp_path / "fact" / "date_key=20240101").iterdir())
+    before = loads_by_day(spark, target)
     load_incremental(spark, source(batch(spark, ("c", "2024-01-02 11:00:00", 3))), target)
-    assert sorted(p.name for p in (tmp_path / "fact" / "date_key=20240101").iterdir()) == day_one
+    after = loads_by_day(spark, target)
+    assert after["20240101"] == before["20240101"] and after["20240102"] != before["20240102"]
     assert loaded(spark, target) == [("a", 1), ("b", 2), ("c", 3)]
 
 
@@ -159,38 +171,251 @@ def test_full_refresh_rebuilds(spark, target):
     assert loaded(spark, target) == [("b", 2)]
 
 
-@pytest.mark.parametrize("lost_after", ["staging", "publishing"])
-def test_interrupted_load_is_finished_by_the_next(spark, target, monkeypatch, lost_after):
-    first = batch(spark, ("a", "2024-01-01 10:00:00", 1))
-    load_incremental(spark, source(first), target)
-    more = first.union(batch(spark, ("b", "2024-01-01 11:00:00", 2), ("c", "2024-01-03 10:00:00", 3)))
-
-    def lost(*args, **kwargs):
-        raise RuntimeError("driver lost")
-
-    with monkeypatch.context() as patch:
-        patch.setattr(inc, "_publish" if lost_after == "staging" else "_mark_loaded", lost)
-        with pytest.raises(RuntimeError):
-            load_incremental(spark, source(more), target)
-    load_incremental(spark, source(more), target)
-    assert loaded(spark, target) == [("a", 1), ("b", 2), ("c", 3)]
-    assert not inc._exists(spark, target.stage)
-
-
-def test_interrupted_first_load_starts_over(spark, target, monkeypatch):
-    def lost(*args, **kwargs):
-        raise RuntimeError("driver lost")
-
-    with monkeypatch.context() as patch:
-        patch.setattr(inc, "_mark_loaded", lost)
-        with pytest.raises(RuntimeError):
-            load_incremental(spark, source(batch(spark, ("a", "2024-01-01 10:00:00", 1))), target)
+class Lost(RuntimeError):
+    pass
+
+
+def losing(monkeypatch, nth):
+    """The driver is lost at the nth step that writes: a load's files, a converted or merged day, or a commit."""
+    steps = [0]
+
+    def before(fn):
+        def run(*args, **kwargs):
+            steps[0] += 1
+            if steps[0] == nth:
+                raise Lost
+            return fn(*args, **kwargs)
+
+        return run
+
+    patch = monkeypatch.context()
+    m = patch.__enter__()
+    m.setattr(inc, "_write", before(inc._write))
+    m.setattr(versions, "commit", before(versions.commit))
+    return patch, steps
+
+
+FIRST = [("a", "2024-01-01 10:00:00", 1), ("b", "2024-01-02 10:00:00", 2)]
+MORE = [("b2", "2024-01-02 11:00:00", 3), ("c", "2024-01-03 10:00:00", 4)]
+
+
+@pytest.mark.parametrize("kind", ["batch", "refresh", "retyped"])
+def test_lost_at_any_write_leaves_the_former_table(spark, tmp_path, monkeypatch, kind):
+    nth = 0
+    while True:
+        nth += 1
+        target = Target(str(tmp_path / f"fact{nth}"), ["k"], "at")
+        load_incremental(spark, source(batch(spark, *FIRST)), target)
+        opened = read_target(spark, target)
+        new = batch(spark, *FIRST, *MORE)
+        if kind == "retyped":
+            new = new.withColumn("v", F.col("v").cast("string"))
+        patch, steps = losing(monkeypatch, nth)
+        try:
+            load_incremental(spark, source(new), target, full_refresh=kind == "refresh")
+            done = True
+        except Lost:
+            done = False
+        finally:
+            patch.__exit__(None, None, None)
+        if not done:
+            assert loaded(spark, target) == [("a", 1), ("b", 2)]
+            # Whatever loads next finds the table whole: here an upsert as a stream would make it.
+            inc.load_batch(spark, batch(spark, ("z", "2024-01-01 11:00:00", 9)), target)
+            assert loaded(spark, target) == [("a", 1), ("b", 2), ("z", 9)]
+        else:
+            want = [("a", 1), ("b", 2), ("b2", 3), ("c", 4)]
+            assert loaded(spark, target) == ([(k, str(v)) for k, v in want] if kind == "retyped" else want)
+        # A frame opened before still reads its version.
+        assert sorted((r.k, r.v) for r in opened.collect()) == [("a", 1), ("b", 2)]
+        if done:
+            assert nth == steps[0] + 1 >= 3
+            break
+
+
+def test_lost_first_load_starts_over(spark, target, monkeypatch):
+    patch, _ = losing(monkeypatch, 2)
+    with pytest.raises(Lost):
+        load_incremental(spark, source(batch(spark, ("a", "2024-01-01 10:00:00", 1))), target)
+    patch.__exit__(None, None, None)
     assert not target_exists(spark, target)
     load_incremental(spark, source(batch(spark, ("b", "2024-01-01 10:00:00", 2))), target)
     assert loaded(spark, target) == [("b", 2)]
 
 
-def test_marker_holds_the_schema(spark, target, tmp_path):
+def test_version_holds_the_schema(spark, target):
     load_incremental(spark, source(batch(spark, ("a", "2024-01-01 10:00:00", 1))), target)
-    fields = json.loads((tmp_path / "fact" / "_LOADED").read_text())["fields"]
+    fields = versions.current(spark, target.path)[1]["schema"]["fields"]
     assert [f["name"] for f in fields] == ["k", "at", "v", "date_key"]
+
+
+CHANGES = [
+    ("int", "string", [(1, "1"), (None, None)]),
+    ("string", "int", [("12", 12), (None, None)]),
+    ("double", "decimal(10,2)", [(1.25, Decimal("1.25")), (None, None)]),
+    ("int", "bigint", [(7, 7)]),
+    ("int", "double", [(7, 7.0)]),
+    ("bigint", "int", [(7, 7)]),
+    ("double", "int", [(3.0, 3)]),
+    ("date", "string", [(date(2024, 5, 6), "2024-05-06")]),
+    ("decimal(10,2)", "decimal(12,4)", [(Decimal("1.25"), Decimal("1.2500"))]),
+    ("struct<x:int>", "struct<x:string>", [((1,), ("1",))]),
+]
+
+
+def typed(spark, kind, rows):
+    df = spark.createDataFrame([(k, at, v) for k, at, v in rows], f"k string, at string, v {kind}")
+    df = df.withColumn("at", F.col("at").cast("timestamp_ntz"))
+    return df.withColumn("date_key", date_key("at"))
+
+
+@pytest.mark.parametrize("old,new,values", CHANGES)
+def test_a_changed_type_reads_back_on_old_and_new_days(spark, target, old, new, values):
+    inc.load_full(spark, typed(spark, old, [(f"k{i}", f"2024-01-0{1 + i} 10:00:00", v) for i, (v, _) in enumerate(values)]), target)
+    newest = values[0][1]
+    # The batch touches the first day, so that day is merged and the others are converted or read as they are.
+    inc.load_batch(spark, typed(spark, new, [("new", "2024-01-01 12:00:00", newest), ("far", "2024-02-01 12:00:00", newest)]), target)
+    got = {r.k: r.v for r in read_target(spark, target).collect()}
+    want = {f"k{i}": v for i, (_, v) in enumerate(values)} | {"new": newest, "far": newest}
+    assert {k: tuple(v) if isinstance(v, tuple) else v for k, v in got.items()} == want
+    assert read_target(spark, target).schema["v"].dataType.simpleString() == new
+
+
+def test_readable_types_convert_no_day(spark, target):
+    inc.load_full(spark, typed(spark, "int", [("a", "2024-01-01 10:00:00", 1), ("b", "2024-01-02 10:00:00", 2)]), target)
+    before = loads_by_day(spark, target)
+    inc.load_batch(spark, typed(spark, "bigint", [("c", "2024-01-03 10:00:00", 2**40)]), target)
+    after = loads_by_day(spark, target)
+    assert {d: after[d] for d in before} == before and ("c", 2**40) in loaded(spark, target)
+    # The next change starts from what readers see now, not from what the files hold.
+    inc.load_batch(spark, typed(spark, "string", [("d", "2024-01-04 10:00:00", "x")]), target)
+    assert loaded(spark, target) == [("a", "1"), ("b", "2"), ("c", str(2**40)), ("d", "x")]
+
+
+def test_int_read_as_double_becomes_the_text_of_a_double(spark, target):
+    for kind, value, day in (("int", 1, 1), ("double", 2.5, 2), ("string", "x", 3)):
+        df = typed(spark, kind, [(kind, f"2024-01-0{day} 10:00:00", value)])
+        (inc.load_batch if day > 1 else inc.load_full)(spark, df, target)
+    assert loaded(spark, target) == [("double", "2.5"), ("int", "1.0"), ("string", "x")]
+
+
+@pytest.mark.parametrize(
+    "old,new,value,other",
+    [
+        ("string", "int", "twelve", 1),
+        ("bigint", "int", 2**40, 1),
+        ("double", "int", 1.5, 1),
+        ("double", "decimal(4,2)", 1000.0, Decimal("1.00")),
+        ("int", "struct<x:int>", 1, (1,)),
+    ],
+)
+@pytest.mark.parametrize("day", [1, 5])
+def test_values_that_do_not_fit_refuse_the_load(spark, target, old, new, value, other, day):
+    inc.load_full(spark, typed(spark, old, [("a", "2024-01-01 10:00:00", value)]), target)
+    with pytest.raises(IncompatibleTypeError):
+        inc.load_batch(spark, typed(spark, new, [("b", f"2024-01-0{day} 12:00:00", other)]), target)
+    assert loaded(spark, target) == [("a", value)]
+
+
+def test_a_dropped_column_returns_empty(spark, target):
+    load_incremental(spark, source(batch(spark, ("a", "2024-01-01 10:00:00", 1), extra="tag")), target)
+    load_incremental(spark, source(batch(spark, ("b", "2024-01-02 10:00:00", 2))), target)
+    load_incremental(spark, source(batch(spark, ("c", "2024-01-03 10:00:00", 3), extra="tag")), target)
+    assert sorted((r.k, r.tag) for r in read_target(spark, target).collect()) == [("a", None), ("b", None), ("c", "new")]
+
+
+def side_by_side(spark, *fns):
+    with ThreadPoolExecutor(len(fns)) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(fn)) for fn in fns]]
+
+
+def test_loads_at_once_end_as_if_one_ran_after_the_other(spark, target):
+    parts = [batch(spark, (f"k{i}", f"2024-01-01 1{i}:00:00", i), ("same", "2024-01-01 09:00:00", i)) for i in range(4)]
+    side_by_side(spark, *[partial(load_incremental, spark, lambda high, p=p: p, target) for p in parts])
+    got = dict(loaded(spark, target))
+    assert {k: v for k, v in got.items() if k != "same"} == {f"k{i}": i for i in range(4)} and got["same"] in range(4)
+    assert versions.numbers(spark, target.path) == [1, 2, 3, 4]
+
+
+def test_a_load_that_lost_the_race_reads_the_mark_again(spark, target):
+    """Both want the same new rows; the second finds them loaded."""
+    target = replace(target, appends=True)
+    rows = batch(spark, *FIRST, *MORE)
+    load_incremental(spark, source(batch(spark, *FIRST)), target)
+    side_by_side(spark, *[partial(load_incremental, spark, source(rows), target)] * 3)
+    assert loaded(spark, target) == [("a", 1), ("b", 2), ("b2", 3), ("c", 4)]
+
+
+def test_appends_write_each_row_once_and_read_no_day(spark, target, monkeypatch):
+    target = replace(target, appends=True)
+    load_incremental(spark, source(batch(spark, *FIRST)), target)
+    before = loads_by_day(spark, target)
+    patch, steps = losing(monkeypatch, 0)
+    load_incremental(spark, source(batch(spark, *FIRST, *MORE)), target)
+    patch.__exit__(None, None, None)
+    assert steps[0] == 2  # the batch and the commit
+    after = loads_by_day(spark, target)
+    assert after["20240102"][:1] == before["20240102"] and len(after["20240102"]) == 2
+    assert loaded(spark, target) == [("a", 1), ("b", 2), ("b2", 3), ("c", 4)]
+    load_incremental(spark, source(batch(spark, *FIRST, *MORE)), target)
+    assert loaded(spark, target) == [("a", 1), ("b", 2), ("b2", 3), ("c", 4)]
+
+
+def test_many_appends_to_a_day_are_merged(spark, target, monkeypatch):
+    monkeypatch.setattr(inc, "MOST_LOADS_PER_DAY", 3)
+    target = replace(target, appends=True)
+    rows = [(f"k{i}", f"2024-01-01 {i:02d}:00:00", i) for i in range(8)]
+    for n in range(1, 9):
+        load_incremental(spark, source(batch(spark, *rows[:n])), target)
+        assert len(loads_by_day(spark, target)["20240101"]) <= 3
+    assert loaded(spark, target) == [(f"k{i}", i) for i in range(8)]
+
+
+def test_hidden_day_spreads_rows_outside_the_calendar(spark, tmp_path):
+    target = Target(str(tmp_path / "fact"), ["k"], "at", "at_day", appends=True, day_of="at")
+    rows = [("a", "2024-01-01 10:00:00", 1), ("y", "2031-01-01 10:00:00", 8), ("z", "2031-01-02 10:00:00", 9)]
+    load_incremental(spark, source(batch(spark, *rows)), target)
+    assert sorted(loads_by_day(spark, target)) == ["20240101", "20310101", "20310102"]
+    got = read_target(spark, target)
+    assert got.columns == ["k", "at", "v", "date_key"] and got.filter("date_key is null").count() == 2
+    assert high_water(spark, target) == datetime(2031, 1, 2, 10)
+
+
+def test_vacuum_keeps_what_versions_name(spark, target, tmp_path):
+    for n in range(1, 5):
+        load_incremental(spark, source(batch(spark, *[(f"k{i}", f"2024-01-01 {i:02d}:00:00", i) for i in range(n)])), target)
+    inc._write(batch(spark, ("orphan", "2024-01-01 10:00:00", 1)), target)
+    inc.vacuum(spark, target, keep=2)
+    assert versions.numbers(spark, target.path) == [3, 4]
+    assert [read_target(spark, target, v).count() for v in (3, 4)] == [3, 4]
+    folders = len(list((tmp_path / "fact" / "data").glob("load=*")))
+    inc.vacuum(spark, target, keep=1, orphan_hours=0)
+    assert loaded(spark, target) == [(f"k{i}", i) for i in range(4)]
+    assert len(list((tmp_path / "fact" / "data").glob("load=*"))) == 1 < folders
+
+
+def test_commits_are_compare_and_create(spark, tmp_path):
+    root = str(tmp_path / "t")
+    assert versions.current(spark, root) == (0, None)
+    assert versions.commit(spark, root, 0, {"n": 1}) == 1
+    with pytest.raises(versions.CommitConflict):
+        versions.commit(spark, root, 0, {"n": 2})
+    assert versions.current(spark, root) == (1, {"n": 1})
+
+
+def test_rebuilt_table_stays_readable_until_the_commit(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "dim")
+    first = write_table(spark.range(3), path)
+
+    def lost(*args):
+        raise Lost
+
+    with monkeypatch.context() as m:
+        m.setattr(versions, "commit", lost)
+        with pytest.raises(Lost):
+            write_table(spark.range(50), path)
+    assert read_table(spark, path).count() == 3
+    write_table(spark.range(7), path)
+    assert (first.count(), read_table(spark, path).count(), read_table(spark, path, version=1).count()) == (3, 7, 3)
+    # A table may be rebuilt from itself.
+    assert write_table(read_table(spark, path).filter("id < 5"), path).count() == 5
