@@ -8,9 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 Order = Sequence[tuple[str, str]]
 
@@ -28,31 +27,23 @@ def sort_columns(order: Order) -> list[Column]:
     return out
 
 
-def order_struct(df: DataFrame, order: Order) -> Column:
-    """One struct that sorts ascending exactly as ``order`` does.
+def reverse_columns(order: Order) -> list[Column]:
+    """The sort expressions that list the same rows backwards."""
+    back = {"asc": "desc", "desc": "asc"}
+    return sort_columns([(name, back.get(direction, direction)) for name, direction in order])
 
-    Used to compare rows outside a window (max_by, slice bounds).  Descending
-    text cannot be mirrored and is refused.
+
+def sorts_before(left: Sequence[Column], right: Sequence[Column], order: Order) -> Column:
+    """Does a row of values ``left`` come before a row of values ``right`` along ``order``?  Rows that tie do not.
+
+    Values are compared as they are, so any sortable type works in either direction.
     """
-    parts: list[Column] = []
-    for i, (name, direction) in enumerate(order):
-        dtype = df.schema[name].dataType
-        value = F.col(name)
-        if isinstance(dtype, T.TimestampType):
-            value = F.unix_micros(value)
-        elif isinstance(dtype, T.TimestampNTZType):
-            # An interval since the epoch needs no time zone, and can be negated.
-            value = value - F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-        elif isinstance(dtype, T.DateType):
-            value = F.unix_date(value)
-        elif isinstance(dtype, T.BooleanType):
-            value = value.cast("int")
-        if direction == "desc":
-            if isinstance(dtype, (T.StringType, T.BinaryType)):
-                raise ValueError(f"descending text order on {name!r} is not supported here")
-            value = -value
-            null_flag = F.when(F.col(name).isNull(), 0).otherwise(1)
+    before, tied = F.lit(False), F.lit(True)
+    for a, b, (_, direction) in zip(left, right, order):
+        if direction == "asc":
+            first = a.isNotNull() & (b.isNull() | F.coalesce(a < b, F.lit(False)))
         else:
-            null_flag = F.when(F.col(name).isNull(), 1).otherwise(0)
-        parts += [null_flag.alias(f"n{i}"), value.alias(f"v{i}")]
-    return F.struct(*parts)
+            first = b.isNotNull() & (a.isNull() | F.coalesce(a > b, F.lit(False)))
+        before = before | (tied & first)
+        tied = tied & a.eqNullSafe(b)
+    return before

@@ -1,6 +1,6 @@
-"""Ordered windows over a key's whole history.
+"""Ordered windows over a key's whole history (W5, W6, M3, M10), and carrying values forward.
 
-Both window operators cut hot keys into ordered slices (see ``skew``), work
+The window operators cut hot keys into ordered slices (see ``skew``), work
 inside the slices, and carry the little that crosses a slice border (the last
 value, the row count) through a broadcast table of at most a few rows per
 slice.  Results equal the plain window's.
@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gildstar.functions.ordering import Order, order_struct, sort_columns
+from gildstar.functions.ordering import Order, reverse_columns, sort_columns
 from gildstar.operators.skew import ROWS_PER_TASK, same_keys, slice_hot_keys
 
 
@@ -32,9 +32,7 @@ def lag_by(
         return df.withColumn(name, F.lag(value).over(window))
     sliced, hot = cut
 
-    last = hot.groupBy(*keys, "_slice").agg(
-        F.max_by(value, order_struct(df, order)).alias("_last")
-    )
+    last = _last_per_slice(hot, keys, order, value)
     carried = _renamed(
         last.withColumn("_carry", F.lag("_last").over(Window.partitionBy(*keys).orderBy("_slice"))),
         keys,
@@ -74,6 +72,48 @@ def rank_by(
     return joined.select(*df.columns, position.cast("int").alias(name))
 
 
+def fill_by(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Order,
+    value: str,
+    name: str,
+    rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
+    """The last ``value`` that is not NULL in the same key, up to and with the row itself along ``order``."""
+
+    def filled(*by: str):
+        up_to = Window.partitionBy(*by).orderBy(*sort_columns(order)).rowsBetween(Window.unboundedPreceding, 0)
+        return F.last(value, ignorenulls=True).over(up_to)
+
+    cut = slice_hot_keys(df, keys, order, rows_per_task)
+    if cut is None:
+        return df.withColumn(name, filled(*keys))
+    sliced, hot = cut
+
+    last = _last_per_slice(hot.filter(F.col(value).isNotNull()), keys, order, value)
+    every = hot.groupBy(*keys, "_slice").agg(F.first(F.lit(None).cast("int")).alias("_none"))
+    told = _renamed(last, keys, "_last")
+    earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    carried = _renamed(
+        every.join(told, _on_slice(every, told, keys), "left")
+        .select(*[every[k] for k in keys], every["_slice"], "_last")
+        .withColumn("_carry", F.last("_last", ignorenulls=True).over(earlier)),
+        keys,
+        "_carry",
+    )
+    inside = sliced.withColumn(name, filled(*keys, "_slice"))
+    joined = inside.join(F.broadcast(carried), _on_slice(inside, carried, keys), "left")
+    return joined.select(*df.columns, F.coalesce(F.col(name), F.col("_carry")).alias(name))
+
+
+def _last_per_slice(hot: DataFrame, keys: Sequence[str], order: Order, value: str) -> DataFrame:
+    """(keys, _slice, _last): the value of each slice's last row; one row per slice leaves a map task."""
+    narrow = hot.select(*keys, "_slice", F.col(value).alias("_last"), *[F.col(n).alias(f"_s{j}") for j, (n, _) in enumerate(order)])
+    backwards = Window.partitionBy(*keys, "_slice").orderBy(*reverse_columns([(f"_s{j}", d) for j, (_, d) in enumerate(order)]))
+    return narrow.withColumn("_r", F.row_number().over(backwards)).filter("_r = 1").select(*keys, "_slice", "_last")
+
+
 def _renamed(per_slice: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     return per_slice.select(
         *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],

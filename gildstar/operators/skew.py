@@ -1,25 +1,26 @@
 """Finding hot keys and cutting their rows into ordered slices.
 
 A window or join that hashes on a key sends all rows of that key to one task.
-Where a key may own a large share of the input, the operators here look first:
-one narrow, partially aggregated count per key.  Only if some key exceeds
-``rows_per_task`` is the plan changed, and only for those keys.
+Where a key may own a large share of the input, the operators here look first,
+and change the plan for hot keys only: windows from one small sample, lookups
+from one narrow, partially aggregated count per key.
 
 What travels to the driver is bounded by the number of shuffle partitions P,
-not by the data: at most P hot keys (a key below the P-th largest holds at most
-one average partition) and at most ``SLICES_PER_PARTITION * P`` + P slice bounds.
-Bounds are collected and pinned, so a recomputed task sees the same slices.
+not by the data: windows take fewer than P hot keys and at most about
+``2 * SLICES_PER_PARTITION * P`` slice bounds, as slices are no smaller than that
+part of an average partition; lookups take the P largest keys (a key below the P-th largest
+holds at most one average partition).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gildstar.functions.ordering import Order, order_struct
+from gildstar.functions.ordering import Order, sort_columns, sorts_before
 
 ROWS_PER_TASK = 2_000_000
 SMALL_INPUT_BYTES = 128 * 1024 * 1024
@@ -93,59 +94,61 @@ def slice_hot_keys(
 ) -> tuple[DataFrame, DataFrame] | None:
     """Add ``_slice``, an int that never falls along ``order`` within a key.
 
-    Cold keys get slice 0 only.  Rows that tie on the whole order share a slice.
-    Returns (sliced input, sliced rows of hot keys only), or None when no key is
-    hot.
+    A key is hot if it holds more rows than ``rows_per_task`` and than an average
+    partition, so fewer keys than partitions can be.  Hot keys are cut at values
+    of the sort columns taken from one sample of keys and sort columns, at about
+    equal distances, every other key gets slice 0 only.  Rows that tie on the
+    whole order share a slice.  Returns (sliced input, sliced rows of hot keys
+    only), or None when no key is hot.
     """
-    hot = hot_keys(df, keys, rows_per_task)
-    if not hot:
+    total = df.count()
+    if total <= rows_per_task:
         return None
-    n_hot = sum(r["_n"] for r in hot)
-    wanted = [(*[r[k] for k in keys], n) for r, n in zip(hot, piece_counts(df, hot, rows_per_task))]
-    n_slices = sum(w[-1] for w in wanted)
-
-    position = order_struct(df, order)
-    targets = hot_key_frame(df, keys, wanted, [T.StructField("_slices", T.IntegerType())])
-    fraction = min(1.0, SAMPLES_PER_SLICE * n_slices / n_hot)
-    narrow = df.select(*keys, position.alias("_at"))
-    sample = narrow.sample(fraction=fraction, seed=17) if fraction < 1.0 else narrow
-    sorted_sample = (
-        sample.join(F.broadcast(targets), same_keys(sample, targets, hot_pairs(keys)))
-        .groupBy("_slices", *[b for _, b in hot_pairs(keys)])
-        .agg(F.array_sort(F.collect_list("_at")).alias("_sorted"))
-    )
-    picked = sorted_sample.select(
-        *[b for _, b in hot_pairs(keys)],
-        F.expr(
-            "array_distinct(transform(filter(sequence(1, _slices), i -> i < _slices), "
-            "i -> element_at(_sorted, cast(greatest(1, i * size(_sorted) div _slices) as int))))"
-        ).alias("_bounds"),
+    fair = max(rows_per_task, total // shuffle_partitions(df))
+    piece = max(1, rows_per_task // PIECES_PER_TASK, total // (2 * SLICES_PER_PARTITION * shuffle_partitions(df)))
+    fraction = min(1.0, SAMPLES_PER_SLICE / piece)
+    step = max(1, round(piece * fraction))
+
+    names = [name for name, _ in order]
+    narrow = df.select(
+        *[F.col(k).alias(f"_h{i}") for i, k in enumerate(keys)], *[F.col(n).alias(f"_o{j}") for j, n in enumerate(names)]
     )
-    bounds = hot_key_frame(
-        df, keys, [tuple(r) for r in picked.collect()], [picked.schema["_bounds"]]
+    sample = narrow.sample(fraction=fraction, seed=17) if fraction < 1.0 else narrow
+    hot_names = [f"_h{i}" for i in range(len(keys))]
+    positions = [(f"_o{j}", direction) for j, (_, direction) in enumerate(order)]
+    by_key = Window.partitionBy(*hot_names)
+    cuts = (
+        sample.withColumn("_n", F.count(F.lit(1)).over(by_key))
+        .filter(F.col("_n") > fair * fraction)
+        .withColumn("_r", F.row_number().over(by_key.orderBy(*sort_columns(positions))))
+        .filter((F.col("_r") % step == 0) & (F.col("_r") < F.col("_n")))
+        .groupBy(*hot_names)
+        .agg(F.array_sort(F.collect_list(F.struct("_r", F.struct(*[c for c, _ in positions]).alias("at")))).alias("_cuts"))
+        .select(*hot_names, F.transform("_cuts", lambda c: c["at"]).alias("_bounds"))
     )
-
+    # Collected, so that a recomputed task sees the same slices.
+    found = cuts.collect()
+    if not found:
+        return None
+    bounds = hot_key_frame(df, keys, [tuple(r) for r in found], [cuts.schema["_bounds"]])
     marked = df.join(F.broadcast(bounds), same_keys(df, bounds, hot_pairs(keys)), "left")
+    slice_number = _count_before(order, F.col("_bounds"), max(len(r["_bounds"]) for r in found))
     sliced = marked.select(
         *[df[c] for c in df.columns],
-        F.when(F.col("_bounds").isNull(), 0)
-        .otherwise(_count_below(position, F.col("_bounds"), max(w[-1] for w in wanted)))
-        .alias("_slice"),
+        F.when(F.col("_bounds").isNull(), 0).otherwise(slice_number).alias("_slice"),
         F.col("_bounds").isNotNull().alias("_hot"),
     )
     return sliced.drop("_hot"), sliced.filter("_hot").drop("_hot")
 
 
-def _count_below(value: Column, bounds: Column, n_bounds: int) -> Column:
-    """Binary search: how many of the at most ``n_bounds`` sorted bounds lie below the value."""
+def _count_before(order: Order, bounds: Column, n_bounds: int) -> Column:
+    """Binary search: how many of the at most ``n_bounds`` sorted bounds come before the row."""
     steps = F.array(*[F.lit(1 << b) for b in range(n_bounds.bit_length() - 1, -1, -1)])
+    row = [F.col(name) for name, _ in order]
 
-    def search(v: Column) -> Column:
-        return F.aggregate(
-            steps,
-            F.lit(0),
-            lambda i, step: F.when(F.get(bounds, i + step - 1) < v, i + step).otherwise(i),
-        )
+    def narrowed(i: Column, step: Column) -> Column:
+        at = F.get(bounds, i + step - 1)
+        earlier = sorts_before([at[f"_o{j}"] for j in range(len(order))], row, order)
+        return F.when((i + step <= F.size(bounds)) & earlier, i + step).otherwise(i)
 
-    # The one-element transform binds the value, so it is built once and not per step.
-    return F.get(F.transform(F.array(value), search), F.lit(0))
+    return F.aggregate(steps, F.lit(0), narrowed)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gildstar.functions.keys import date_key, surrogate_key
+from gildstar.operators.asof import as_of_join
 from gildstar.operators.dims import current_dim
 from gildstar.operators.incremental import (
     Target,
@@ -22,7 +23,7 @@ from gildstar.operators.incremental import (
 from gildstar.operators.scd2 import CLOSED_DAY, history_target, load_scd2, scd2_apply, scd2_start
 from gildstar.plans import dimensions, facts, staging
 from gildstar.plans.build import SNAPSHOT_DAY, fact_targets
-from gildstar.queries.dataflows import stored_star
+from gildstar.queries.dataflows import snapshots, stored_star
 from gildstar.queries.registry import LOAD_TS, bronze, publish, register, table
 from gildstar.queries.sqltext import with_ctes
 from gildstar.session import run_folder
@@ -217,3 +218,22 @@ def stored_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     for snapshot in _daily_snapshots(spark, sf_dir):
         load_scd2(spark, snapshot, target, ["app_id"], ["cents", "discount_pct"], "seen_at")
     return read_target(spark, target).drop(CLOSED_DAY)
+
+
+@register(
+    "L6_as_of_facts",
+    with_ctes("d_rows", "players")
+    + f"""SELECT p.app_id, p.snapshot_at, p.current_players, h.version_key, h.cents, h.discount_pct
+          FROM players p LEFT JOIN ({_HISTORY_SQL[_HISTORY_SQL.index("SELECT md5") :]}) h
+            ON h.app_id = p.app_id AND p.snapshot_at >= h.valid_from
+               AND (h.valid_to IS NULL OR p.snapshot_at < h.valid_to)""",
+)
+def as_of_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every player snapshot with the price that was valid then."""
+    target = history_target(f"{run_folder(spark, 'history')}/prices")
+    for snapshot in _daily_snapshots(spark, sf_dir):
+        load_scd2(spark, snapshot, target, ["app_id"], ["cents", "discount_pct"], "seen_at")
+    rows = snapshots(spark, sf_dir).select("app_id", "snapshot_at", "current_players")
+    return as_of_join(
+        rows, read_target(spark, target), ["app_id"], "snapshot_at", ["version_key", "cents", "discount_pct"]
+    )

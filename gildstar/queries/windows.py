@@ -153,3 +153,16 @@ def lag_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select("event_id", "event_type", "ts", "value")
     order = [("ts", "asc"), ("event_id", "asc")]
     return lag_by(events, ["event_type"], order, "value", "prev_value", rows_per_task=_FEW_ROWS)
+
+
+@register(
+    "W5_rank_text_descending",
+    """SELECT c_custkey, c_mktsegment, CAST(row_number() OVER (PARTITION BY c_mktsegment
+              ORDER BY c_name DESC NULLS FIRST, c_custkey) AS INTEGER) AS name_rank FROM customer""",
+)
+def rank_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rank by descending text within a few hot segments."""
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_name")
+    order = [("c_name", "desc"), ("c_custkey", "asc")]
+    ranked = rank_by(customers, ["c_mktsegment"], order, "name_rank", rows_per_task=_FEW_ROWS)
+    return ranked.drop("c_name")

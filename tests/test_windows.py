@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from gildstar.functions.ordering import sort_columns
 from gildstar.operators.dedupe import latest_per_key, top_k_per_group
 from gildstar.operators.joins import Dim, lookup, star_join
-from gildstar.operators.series import lag_by, rank_by
+from gildstar.operators.series import fill_by, lag_by, rank_by
 from gildstar.operators.skew import MAX_SLICES_PER_KEY, hot_keys, slice_hot_keys
 
 
@@ -39,6 +39,7 @@ ORDERS = [
     [("at", "desc"), ("id", "desc")],
     [("v", "desc"), ("name", "asc"), ("id", "asc")],
     [("name", "asc"), ("id", "desc")],
+    [("name", "desc"), ("v", "asc"), ("id", "asc")],
 ]
 
 
@@ -56,6 +57,24 @@ def test_rank_equals_plain_window(skewed, order, rows_per_task):
     same(rank_by(skewed, ["k"], order, "r", rows_per_task), want)
 
 
+@pytest.mark.parametrize("order", ORDERS)
+@pytest.mark.parametrize("rows_per_task", [7, 1000])
+def test_fill_equals_plain_window(skewed, order, rows_per_task):
+    sparse = skewed.withColumn("w", F.when(F.col("id") % 97 == 0, F.col("id")))
+    up_to = Window.partitionBy("k").orderBy(*sort_columns(order)).rowsBetween(Window.unboundedPreceding, 0)
+    want = sparse.withColumn("p", F.last("w", ignorenulls=True).over(up_to))
+    same(fill_by(sparse, ["k"], order, "w", "p", rows_per_task), want)
+
+
+def test_most_rows_of_a_task_are_bounded(spark, skewed):
+    """No slice of a hot key is larger than a task's share, at any number of partitions."""
+    for rows_per_task in (50, 200, 400):
+        fair = max(rows_per_task, 6000 // 8)
+        for order in ORDERS:
+            sliced, _ = slice_hot_keys(skewed, ["k"], order, rows_per_task)
+            assert max(r["count"] for r in sliced.groupBy("k", "_slice").count().collect()) <= fair
+
+
 def test_two_key_columns(skewed):
     keyed = skewed.withColumn("h", F.col("id") % 2)
     order = [("at", "asc"), ("id", "asc")]
@@ -88,7 +107,8 @@ def test_one_value_tied_throughout(spark):
 
 
 def test_no_hot_key_leaves_the_plan_alone(skewed):
-    assert slice_hot_keys(skewed, ["k"], ORDERS[0], 5000) is None
+    assert slice_hot_keys(skewed, ["k"], ORDERS[0], 3000) is None  # rows are many, but no key has so many
+    assert slice_hot_keys(skewed, ["k"], ORDERS[0], 6000) is None
     assert slice_hot_keys(skewed, ["k"], ORDERS[0]) is None
 
 
