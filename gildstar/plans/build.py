@@ -53,7 +53,10 @@ def build(
     incrementally: a second call with more bronze rows adds only newer
     snapshots.  ``bronze`` should be stored with its payload as VARIANT (see
     ``land_bronze``); its players table may carry a ``snapshot_at_day`` column.
+    A store table none of whose payloads has its id at ``store_id_path`` raises
+    ``MissingIdError``.
     """
+    staging.require_ids(bronze["raw_store"], store_id_path, "raw_store")
     models = stage_all(bronze, load_ts, store_id_path)
     models["int_games_enriched"] = write_table(
         intermediate.int_games_enriched(

@@ -101,6 +101,16 @@ def stg_details_games(raw: DataFrame, load_ts: datetime | str, on_error: str = "
     )
 
 
+class MissingIdError(ValueError):
+    """No payload of a raw table has an id at the path given for it."""
+
+
+def require_ids(raw: DataFrame, id_path: str, table: str) -> None:
+    """Raise if a raw table has rows but none with an id, as with a wrong path; stops at the first id."""
+    if raw.filter(F.try_variant_get("raw_data", id_path, "bigint").isNotNull()).isEmpty() and not raw.isEmpty():
+        raise MissingIdError(f"no payload of {table} has an id at {id_path}")
+
+
 def stg_store_games(
     raw: DataFrame, load_ts: datetime | str, id_path: str = "$.appid", on_error: str = "fail"
 ) -> DataFrame:

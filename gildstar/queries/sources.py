@@ -16,7 +16,8 @@ from gildstar.queries.registry import bronze, publish, register, table
 from gildstar.queries.sqltext import PRICES_IN_CENTS, with_ctes
 from gildstar.session import run_folder
 from gildstar.sources import derived
-from gildstar.sources.bronze import land_bronze, read_bronze
+from gildstar.sources.bronze import ENVELOPES, land_bronze, read_bronze
+from gildstar.sources.landing import land_checked, read_rejects
 from gildstar.sources.tables import register_views, write_table
 
 
@@ -132,6 +133,35 @@ def table_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     return write_table(orders, path, layout=[("o_custkey", "asc")], partition_by=["order_year"])
 
 
+@register(
+    "A1_quarantine",
+    with_ctes("d_rows")
+    + """SELECT load_id, CASE k % 50 WHEN 7 THEN 'malformed JSON' WHEN 8 THEN 'empty text' END AS reason,
+                CASE WHEN k % 50 NOT IN (7, 8) THEN name END AS name FROM d_rows""",
+)
+def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two ingestions with broken and empty payloads, each landed twice: bad rows are set aside with a reason."""
+    raw = derived.raw_details(spark, sf_dir)
+    text = (
+        F.when(F.col("appid") % 50 == 7, F.expr("left(raw_data, length(raw_data) - 1)"))
+        .when(F.col("appid") % 50 == 8, F.lit(" "))
+        .otherwise(F.col("raw_data"))
+    )
+    broken = raw.withColumn("raw_data", text)
+    folder = run_folder(spark, "quarantine")
+    for number in (0, 1, 0):
+        part = broken.filter(F.col("appid") % 2 == number)
+        land_checked(part, f"{folder}/raw", f"{folder}/rejects", f"ingestion-{number}")
+    envelope = ", ".join(c for c in ENVELOPES["raw_details"].split(", ") if not c.startswith("raw_data"))
+    good = read_bronze(spark, f"{folder}/raw").select(
+        "load_id", F.lit(None).cast("string").alias("reason"), F.expr("raw_data:name::string").alias("name")
+    )
+    bad = read_rejects(spark, f"{folder}/rejects", envelope)
+    return good.unionByName(
+        bad.select("load_id", F.col("_reason").alias("reason"), F.lit(None).cast("string").alias("name"))
+    )
+
+
 @register(
     "P13_audit_columns",
     with_ctes("s_rows")

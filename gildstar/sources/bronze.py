@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gildstar.functions.keys import date_key
+from gildstar.sources.landing import REJECT_COLUMNS
 
 # Envelope columns of the raw tables, payload last.  No model reads
 # the ranking table.
@@ -35,12 +36,13 @@ def read_bronze(
     """A1: a raw table with its payload as VARIANT.
 
     ``fmt`` is any Spark file source.  Payloads stored as text are parsed per
-    query; ``land_bronze`` parses them once.
+    query; ``land_bronze`` parses them once, ``land_checked`` also sets bad ones
+    aside.
     """
     reader = spark.read.format(fmt)
     if schema:
         reader = reader.schema(schema)
-    return as_variant(reader.load(path), payload)
+    return as_variant(reader.load(path).drop(*REJECT_COLUMNS), payload)
 
 
 def land_bronze(
