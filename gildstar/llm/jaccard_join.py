@@ -13,11 +13,16 @@ be filled).
 
 Equal sets form a class first.  Links are then searched between classes only,
 and only as far as components need them: each class is verified against the
-class it shares most signatures with, components are built, twice; finally the
-classes that still share a signature across two components are compared, as far
-as their rarest shingles meet.  Large groups of near copies therefore cost about
-one verification per class instead of one per pair, and no link between
-components is lost.
+class it shares most signatures with, components are built, twice.  What still
+shares a signature across two components is compared through pivots: the
+smallest class of a signature is the pivot of its classes, each of which is kept
+as its symmetric difference d to the pivot.  The Hamming distance of x and y is
+|dx| + |dy| - 2 |dx & dy|; with S(x) = (100 + percent) |dx| - (100 - percent) |x|
+they are similar exactly if S(x) + S(y) <= 2 (100 + percent) |dx & dy|.  Classes
+with S(x) + S(m) <= 0 link to the class m of least S; any other pair must share
+so many members of their differences that the rarest of these meet.  Large groups
+of near copies therefore cost about one verification per class instead of one
+per pair, unlike copies meet nobody, and no link between components is lost.
 """
 
 from __future__ import annotations
@@ -39,6 +44,10 @@ from gildstar.session import run_folder
 CELLS = 3
 DIFFERING = 1  # k2: by how many shingles two sets may differ in a part that they share
 CROWDS = 1 << 18
+# Text bytes signed at one time: a signature takes about as much as the text behind it.
+SIGN_BYTES = 2 << 20
+# Classes of S in a pivot's group lie this share of the pivot's own reach apart.
+STEPS = 8
 _ODD = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
 
@@ -152,12 +161,12 @@ def keyed_sets(docs: DataFrame, n: int) -> DataFrame:
 
 
 def signed_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """(sign, k1) of all sets; a task signs equal sets once."""
+    """(sign, k1) of all sets; equal sets of a slice are signed once."""
     schema = pa.schema([("sign", pa.int64()), ("k1", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[tuple[int, int]] = set()
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", SIGN_BYTES):
+            seen: set[tuple[int, int]] = set()
             sets = shingle_sets(large_texts(part.column("text")), n)
             k1, k2 = set_keys(sets)
             new = []
@@ -214,9 +223,9 @@ def _best_partner(rows: DataFrame) -> DataFrame:
     ``rows`` are (sign, node, component).  Per signature only the smallest node
     is a partner, so the number of pairs stays below the number of signatures.
     """
-    first = F.min(F.struct("component", "node")).over(Window.partitionBy("sign"))
+    first = rows.groupBy("sign").agg(F.min(F.struct("component", "node")).alias("_first"))
     shared = (
-        rows.withColumn("_first", first)
+        rows.join(first, "sign")
         .filter("component <> _first.component")
         .groupBy(F.col("node").alias("a"), F.col("_first.node").alias("b"))
         .count()
@@ -226,14 +235,13 @@ def _best_partner(rows: DataFrame) -> DataFrame:
 
 
 def _cross(marked: DataFrame) -> DataFrame:
-    """Rows (sign, node, component) of the signatures that span two components."""
-    whole = Window.partitionBy("sign")
-    return (
-        marked.withColumn("_lo", F.min("component").over(whole))
-        .withColumn("_hi", F.max("component").over(whole))
-        .filter("_lo < _hi")
-        .select("sign", "node", "component")
-    )
+    """Rows (sign, node, component) of the signatures that span two components.
+
+    Counted by partial aggregation, so a signature that many classes share is
+    one row per task, and its rows join one row.
+    """
+    ends = marked.groupBy("sign").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi"))
+    return marked.join(ends.filter("_lo < _hi").select("sign"), "sign").select("sign", "node", "component")
 
 
 def _crowding(sets: DataFrame) -> np.ndarray:
@@ -255,46 +263,115 @@ def _crowding(sets: DataFrame) -> np.ndarray:
     return table
 
 
-def _prefixes(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(shingle, node, component, size): the rarest shingles of each node that still has a partner elsewhere.
+def _differences(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(pivot, node, reach, s, shingles): each class as its difference to the pivots of its signatures.
+
+    ``reach`` is (100 - percent) |pivot|, ``s`` is S of the module's description.
+    """
+    pivots = rows.groupBy("sign").agg(F.min("node").alias("pivot"))
+    pairs = rows.select("sign", "node").join(pivots, "sign").select("node", "pivot").distinct()
+    own = sets.select(F.col("doc_id").alias("node"), F.col("shingles").alias("sx"))
+    other = sets.select(F.col("doc_id").alias("pivot"), F.col("shingles").alias("sp"))
+    apart = F.concat(F.array_except("sx", "sp"), F.array_except("sp", "sx"))
+    rest = 100 - percent
+    return (
+        pairs.join(own, "node")
+        .join(other, "pivot")
+        .withColumn("shingles", apart)
+        .select(
+            "pivot",
+            "node",
+            (rest * F.size("sp")).cast("long").alias("reach"),
+            ((100 + percent) * F.size("shingles") - rest * F.size("sx")).cast("long").alias("s"),
+            "shingles",
+        )
+    )
+
+
+def _in_classes(differences: DataFrame, percent: int) -> DataFrame:
+    """The groups that hold far classes: (pivot, node, cls, far, goals, shingles).
 
-    Of two similar sets each holds ``percent`` of the other's size in common
-    shingles, so in any one order their first (size - common + 1) shingles meet.
-    Taken by rising crowding of their hash bucket, passages that many documents
-    share come last, and an unlike copy meets nobody.
+    ``m`` is the least S of the group; a class is far if S + m > 0.  ``cls``
+    counts steps of S from m upwards.  ``goals`` lists with which classes of S
+    the node must be compared and how many common members that asks for: far
+    nodes with all, the others with far ones.
     """
-    shared = sets.sparkSession.sparkContext.broadcast(_crowding(sets))
-    schema = pa.schema([("shingle", pa.int64()), ("node", pa.int64()), ("size", pa.int64())])
+    stepped = F.greatest(F.lit(100 + percent), F.expr(f"reach div {STEPS}")).alias("step")
+    least = differences.groupBy("pivot").agg(F.min("s").alias("m"), F.first("reach").alias("reach"))
+    least = least.select("pivot", "m", stepped)
+    placed = (
+        differences.drop("reach")
+        .join(least, "pivot")
+        .withColumn("cls", F.expr("(s - m) div step"))
+        .withColumn("far", F.expr("s + m > 0"))
+    )
+    found = (
+        placed.groupBy("pivot")
+        .agg(F.collect_set("cls").alias("all_cls"), F.collect_set(F.when(F.col("far"), F.col("cls"))).alias("far_cls"))
+        .filter(F.size("far_cls") > 0)
+    )
+    asked = f"cast(ceil((2 * m + (cls + c) * step) / {2.0 * (100 + percent)}) as int)"
+    return placed.join(found, "pivot").select(
+        "pivot",
+        "node",
+        "cls",
+        "far",
+        F.expr(
+            "filter(transform(if(far, all_cls, far_cls), "
+            f"c -> named_struct('cls', c, 'asks', greatest(1, {asked}))), g -> g.asks <= size(shingles))"
+        ).alias("goals"),
+        "shingles",
+    )
+
+
+def _prefixes(classed: DataFrame, percent: int) -> DataFrame:
+    """(pivot, lo, hi, shingle, node, cls, far): the rarest members of a node's difference, per pair of classes of S.
+
+    Two differences with ``asks`` members in common, each sorted in any one order,
+    meet in their first (size - asks + 1) members.  Rarest first by the crowding
+    of all differences, what a pivot alone has or lacks comes last.
+    """
+    shared = classed.sparkSession.sparkContext.broadcast(_crowding(classed))
+    names = ["pivot", "lo", "hi", "shingle", "node", "cls"]
+    schema = pa.schema([(n, pa.int64()) for n in names] + [("far", pa.bool_())])
 
     def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         crowding = shared.value
         for batch in batches:
-            lists, nodes = batch.column("shingles"), batch.column("doc_id").to_numpy()
-            members, sizes = lists.flatten().to_numpy(zero_copy_only=False), np.diff(lists.offsets.to_numpy())
-            owner = np.repeat(np.arange(len(sizes)), sizes)
-            order = np.lexsort((members, crowding[members & (CROWDS - 1)], owner))
-            first = sizes + (-(percent * sizes) // 100) + 1
-            place = np.arange(len(members)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            kept = order[place < first[owner]]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(members[kept]), pa.array(nodes[owner[kept]]), pa.array(sizes[owner[kept]].astype(np.int64))],
-                schema=schema,
-            )
+            for row in range(batch.num_rows):
+                members = batch.column("shingles")[row].values.to_numpy(zero_copy_only=False)
+                order = members[np.lexsort((members, crowding[members & (CROWDS - 1)]))]
+                cls, goals = batch.column("cls")[row].as_py(), batch.column("goals")[row].as_py()
+                if not goals:
+                    continue
+                lengths = np.array([len(order) - g["asks"] + 1 for g in goals])
+                others = np.array([g["cls"] for g in goals], np.int64)
+                total = int(lengths.sum())
+                other = np.repeat(others, lengths)
+                chosen = np.concatenate([order[:n] for n in lengths.tolist()])
+                same = [np.full(total, batch.column(c)[row].as_py(), np.int64) for c in ("pivot", "node")]
+                columns = [same[0], np.minimum(other, cls), np.maximum(other, cls), chosen, same[1], np.full(total, cls)]
+                yield pa.RecordBatch.from_arrays(
+                    [*map(pa.array, columns), pa.array(np.full(total, batch.column("far")[row].as_py()))], schema=schema
+                )
+
+    columns = classed.select("pivot", "node", "cls", "far", "goals", "shingles")
+    return columns.mapInArrow(
+        rarest, "pivot long, lo long, hi long, shingle long, node long, cls long, far boolean"
+    )
 
-    nodes = rows.select("node", "component").distinct()
-    return sets.mapInArrow(rarest, "shingle long, node long, size long").join(nodes, "node")
 
-
-def _prefix_pairs(prefixes: DataFrame, percent: int) -> DataFrame:
-    """(a, b): nodes of different components that share a prefix shingle and may be similar by size."""
-    left = prefixes.select("shingle", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("size").alias("na"))
-    right = prefixes.select("shingle", F.col("node").alias("b"), F.col("component").alias("cb"), F.col("size").alias("nb"))
-    return (
-        left.join(right, "shingle")
-        .filter(f"ca > cb and 100 * least(na, nb) >= {percent} * greatest(na, nb)")
-        .select("a", "b")
-        .distinct()
-    )
+def _prefix_pairs(prefixes: DataFrame, component: DataFrame) -> DataFrame:
+    """(a, b): nodes of different components, one of them far, that share a prefix member."""
+    marked = prefixes.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    key = ["pivot", "lo", "hi", "shingle"]
+    left = marked.filter("cls = lo").select(*key, F.col("node").alias("a"), F.col("component").alias("ca"), F.col("far").alias("fa"))
+    right = marked.filter("cls = hi").select(*key, F.col("node").alias("b"), F.col("component").alias("cb"), F.col("far").alias("fb"))
+    same = [left[k] == right[k] for k in key]
+    wanted = (F.col("ca") != F.col("cb")) & (F.col("fa") | F.col("fb")) & ((left["lo"] < left["hi"]) | (F.col("a") < F.col("b")))
+    for condition in same:
+        wanted = condition & wanted
+    return left.join(right, wanted).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def jaccard_components(
@@ -324,6 +401,7 @@ def jaccard_components(
     classes.write.parquet(f"{folder}/classes")
     classes = spark.read.parquet(f"{folder}/classes")
 
+    # One shuffle of all signatures is the operator's largest; a join with counted ones would need two.
     whole = Window.partitionBy("sign")
     (
         signed_sets(docs, n, percent)
@@ -348,27 +426,34 @@ def jaccard_components(
 
     marked = nodes.withColumn("component", F.col("node"))
     links = None
-    verified = None
-    for number in range(3):
-        rows = _cross(marked)
-        if number < 2:
-            pairs = _best_partner(rows)
-        else:
-            _prefixes(rows, sets, percent).write.parquet(f"{folder}/prefixes")
-            prefixes = spark.read.parquet(f"{folder}/prefixes")
-            pairs = _prefix_pairs(prefixes, percent)
-            for a, b in (("a", "b"), ("b", "a")):
-                done = verified.filter("not linked").select(F.col(a).alias("a"), F.col(b).alias("b"))
-                pairs = pairs.join(done, ["a", "b"], "left_anti")
-        _linked(pairs, sets, percent).write.parquet(f"{folder}/verified-{number}")
-        found = spark.read.parquet(f"{folder}/verified-{number}")
-        verified = found if verified is None else verified.union(found)
-        links = verified.filter("linked").select("a", "b")
-        components(links).write.parquet(f"{folder}/components-{number}")
-        of_node = spark.read.parquet(f"{folder}/components-{number}")
+
+    def merged(found: DataFrame, number: int) -> tuple[DataFrame, DataFrame]:
+        """All links so far, and the component of every linked node."""
+        every = found if links is None else links.union(found)
+        components(every).write.parquet(f"{folder}/components-{number}")
+        return every, spark.read.parquet(f"{folder}/components-{number}").select("node", "component")
+
+    for number in range(2):
+        pairs = _best_partner(_cross(marked))
+        _linked(pairs, sets, percent).filter("linked").select("a", "b").write.parquet(f"{folder}/links-{number}")
+        links, of_node = merged(spark.read.parquet(f"{folder}/links-{number}"), number)
         marked = nodes.join(of_node, "node", "left").select(
             "sign", "node", F.coalesce("component", "node").alias("component")
         )
+
+    _differences(_cross(marked), sets, percent).write.parquet(f"{folder}/differences")
+    differences = spark.read.parquet(f"{folder}/differences")
+    least = differences.groupBy("pivot").agg(F.min(F.struct("s", "node")).alias("m"))
+    near = differences.drop("shingles").join(least, "pivot").filter("s + m.s <= 0 and node <> m.node")
+    near.select(F.col("node").alias("a"), F.col("m.node").alias("b")).distinct().write.parquet(f"{folder}/links-2")
+    links, of_node = merged(spark.read.parquet(f"{folder}/links-2"), 2)
+
+    _in_classes(differences, percent).write.parquet(f"{folder}/classed")
+    _prefixes(spark.read.parquet(f"{folder}/classed"), percent).write.parquet(f"{folder}/prefixes")
+    pairs = _prefix_pairs(spark.read.parquet(f"{folder}/prefixes"), of_node)
+    _linked(pairs, sets, percent).filter("linked").select("a", "b").write.parquet(f"{folder}/links-3")
+    links, of_node = merged(spark.read.parquet(f"{folder}/links-3"), 3)
+
     # Copies of one text meet here as one class row; AQE splits a hot class.
     of_class = classes.join(of_node, "node", "left").select(
         "k1", "k2", F.coalesce("component", "node").alias("class_component")

@@ -17,7 +17,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from gildstar.llm import decontaminate, mixing, ppm, quality_classifier, quality_rules, rans, sanitise
+from gildstar.llm import decontaminate, jaccard_join, mixing, ppm, quality_classifier, quality_rules, rans, sanitise
 from gildstar.llm.common import importable, split_words
 from gildstar.llm.components import components
 from gildstar.llm.jaccard_join import jaccard_components, signatures
@@ -210,6 +210,48 @@ def test_jaccard_components_match_brute_force(spark, n, percent, changes):
     assert got == brute_components(texts, n, percent)
 
 
+def test_unlike_copies_of_one_text_are_not_compared_pair_by_pair(spark, monkeypatch):
+    """Copies with edits of their own share signatures, but too few shingles to link among each other."""
+    pick = random.Random(4)
+    base = [f"w{i}" for i in range(300)]
+    rows = []
+    for i in range(1, 1200):
+        words = list(base)
+        for j in range(9):
+            words[pick.randrange(300)] = f"edit{i}x{j}"
+        rows.append((i, " ".join(words)))
+    rows += [(5000 + i, " ".join([*base[:250], *[f"tail{k}" for k in range(12)]])) for i in range(3)]
+    importable(spark)
+    compared = []
+    whole = jaccard_join._linked
+
+    def counting(pairs, sets, percent):
+        compared.append(pairs.count())
+        return whole(pairs, sets, percent)
+
+    monkeypatch.setattr(jaccard_join, "_linked", counting)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_components(df, 3, 90).collect()}
+    sets = {i: {tuple(t.split()[k : k + 3]) for k in range(len(t.split()) - 2)} for i, t in rows}
+    leader = {i: i for i in sets}
+
+    def find(x):
+        while leader[x] != x:
+            leader[x] = leader[leader[x]]
+            x = leader[x]
+        return x
+
+    order = sorted(sets)
+    for n, a in enumerate(order):
+        for b in order[n + 1 :]:
+            both = len(sets[a] & sets[b])
+            if both * 100 >= 90 * (len(sets[a]) + len(sets[b]) - both):
+                x, y = sorted((find(a), find(b)))
+                leader[y] = x
+    assert got == {i: find(i) for i in order}
+    assert sum(compared) < 4 * len(rows)
+
+
 def test_jaccard_edges(edge, empty):
     got = collections.Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard_components(edge, 3, 90).collect())
     assert got[(3, 1, 3)] == 2 and got[(None, 1, None)] == 1 and got[(0, 0, 0)] == 1 and sum(got.values()) == edge.count()
