@@ -47,7 +47,7 @@ CROWDS = 1 << 18
 # Text bytes signed at one time: a signature takes about as much as the text behind it.
 SIGN_BYTES = 2 << 20
 # Classes of S in a pivot's group lie this share of the pivot's own reach apart.
-STEPS = 8
+STEPS = 2
 _ODD = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
 
@@ -324,53 +324,62 @@ def _in_classes(differences: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _prefixes(classed: DataFrame, percent: int) -> DataFrame:
-    """(pivot, lo, hi, shingle, node, cls, far): the rarest members of a node's difference, per pair of classes of S.
+def _common(classed: DataFrame) -> DataFrame:
+    """(pivot, node, common): the members of each difference that another difference of the group holds too."""
+    members = classed.select("pivot", "node", F.explode("shingles").alias("shingle"))
+    held = members.groupBy("pivot", "shingle").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("pivot", "shingle")
+    return members.join(held, ["pivot", "shingle"]).groupBy("pivot", "node").agg(F.collect_list("shingle").alias("common"))
+
+
+def _prefixes(classed: DataFrame) -> DataFrame:
+    """(key, node, component, side, far): the rarest members of a node's difference, per pair of classes of S.
 
     Two differences with ``asks`` members in common, each sorted in any one order,
     meet in their first (size - asks + 1) members.  Rarest first by the crowding
-    of all differences, what a pivot alone has or lacks comes last.
+    of all differences, what a pivot alone has or lacks comes last.  Members
+    that no other difference holds count for the places but are not given.
+    ``key`` is a hash of pivot, classes and member (pairs that meet by chance are
+    verified like others); ``side`` tells whether the node is of the lower class
+    (0), of the higher one (1), or both are one (2).
     """
     shared = classed.sparkSession.sparkContext.broadcast(_crowding(classed))
-    names = ["pivot", "lo", "hi", "shingle", "node", "cls"]
-    schema = pa.schema([(n, pa.int64()) for n in names] + [("far", pa.bool_())])
+    schema = pa.schema(
+        [("key", pa.int64()), ("node", pa.int64()), ("component", pa.int64()), ("side", pa.int8()), ("far", pa.bool_())]
+    )
 
     def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         crowding = shared.value
         for batch in batches:
             for row in range(batch.num_rows):
-                members = batch.column("shingles")[row].values.to_numpy(zero_copy_only=False)
-                order = members[np.lexsort((members, crowding[members & (CROWDS - 1)]))]
-                cls, goals = batch.column("cls")[row].as_py(), batch.column("goals")[row].as_py()
+                pivot, node, component, cls, far, goals = (batch.column(c)[row].as_py() for c in range(6))
                 if not goals:
                     continue
-                lengths = np.array([len(order) - g["asks"] + 1 for g in goals])
-                others = np.array([g["cls"] for g in goals], np.int64)
-                total = int(lengths.sum())
-                other = np.repeat(others, lengths)
-                chosen = np.concatenate([order[:n] for n in lengths.tolist()])
-                same = [np.full(total, batch.column(c)[row].as_py(), np.int64) for c in ("pivot", "node")]
-                columns = [same[0], np.minimum(other, cls), np.maximum(other, cls), chosen, same[1], np.full(total, cls)]
+                members, common = (batch.column(c)[row].values.to_numpy(zero_copy_only=False) for c in (6, 7))
+                order = members[np.lexsort((members, crowding[members & (CROWDS - 1)]))]
+                given = np.flatnonzero(np.isin(order, common))
+                lengths = np.searchsorted(given, [len(order) - g["asks"] + 1 for g in goals])
+                other = np.repeat(np.array([g["cls"] for g in goals], np.int64), lengths)
+                chosen = np.concatenate([given[:n] for n in lengths.tolist()])
+                classes = np.minimum(other, cls).view(np.uint64) * _ODD[0] + np.maximum(other, cls).view(np.uint64)
+                start = mix64(np.array([pivot], np.int64).view(np.uint64))
+                key = mix64(mix64(order[chosen].view(np.uint64) + start) ^ (classes * _ODD[2]))
+                side = np.where(other == cls, 2, np.where(other > cls, 0, 1)).astype(np.int8)
+                same = [pa.array(np.full(len(key), v, np.int64)) for v in (node, component)]
                 yield pa.RecordBatch.from_arrays(
-                    [*map(pa.array, columns), pa.array(np.full(total, batch.column("far")[row].as_py()))], schema=schema
+                    [pa.array(key.view(np.int64)), *same, pa.array(side), pa.array(np.full(len(key), far))], schema=schema
                 )
 
-    columns = classed.select("pivot", "node", "cls", "far", "goals", "shingles")
-    return columns.mapInArrow(
-        rarest, "pivot long, lo long, hi long, shingle long, node long, cls long, far boolean"
+    columns = classed.join(_common(classed), ["pivot", "node"])
+    return columns.select("pivot", "node", "component", "cls", "far", "goals", "shingles", "common").mapInArrow(
+        rarest, "key long, node long, component long, side byte, far boolean"
     )
 
 
-def _prefix_pairs(prefixes: DataFrame, component: DataFrame) -> DataFrame:
+def _prefix_pairs(prefixes: DataFrame) -> DataFrame:
     """(a, b): nodes of different components, one of them far, that share a prefix member."""
-    marked = prefixes.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    key = ["pivot", "lo", "hi", "shingle"]
-    left = marked.filter("cls = lo").select(*key, F.col("node").alias("a"), F.col("component").alias("ca"), F.col("far").alias("fa"))
-    right = marked.filter("cls = hi").select(*key, F.col("node").alias("b"), F.col("component").alias("cb"), F.col("far").alias("fb"))
-    same = [left[k] == right[k] for k in key]
-    wanted = (F.col("ca") != F.col("cb")) & (F.col("fa") | F.col("fb")) & ((left["lo"] < left["hi"]) | (F.col("a") < F.col("b")))
-    for condition in same:
-        wanted = condition & wanted
+    left = prefixes.filter("side <> 1").select("key", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("far").alias("fa"), F.col("side").alias("s"))
+    right = prefixes.filter("side <> 0").select("key", F.col("node").alias("b"), F.col("component").alias("cb"), F.col("far").alias("fb"), F.col("side").alias("z"))
+    wanted = (left["key"] == right["key"]) & F.expr("ca <> cb and (fa or fb) and ((s = 0 and z = 1) or (s = 2 and z = 2 and a < b))")
     return left.join(right, wanted).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -448,9 +457,10 @@ def jaccard_components(
     near.select(F.col("node").alias("a"), F.col("m.node").alias("b")).distinct().write.parquet(f"{folder}/links-2")
     links, of_node = merged(spark.read.parquet(f"{folder}/links-2"), 2)
 
-    _in_classes(differences, percent).write.parquet(f"{folder}/classed")
-    _prefixes(spark.read.parquet(f"{folder}/classed"), percent).write.parquet(f"{folder}/prefixes")
-    pairs = _prefix_pairs(spark.read.parquet(f"{folder}/prefixes"), of_node)
+    classed = _in_classes(differences, percent).join(of_node, "node", "left")
+    classed.withColumn("component", F.coalesce("component", "node")).write.parquet(f"{folder}/classed")
+    _prefixes(spark.read.parquet(f"{folder}/classed")).write.parquet(f"{folder}/prefixes")
+    pairs = _prefix_pairs(spark.read.parquet(f"{folder}/prefixes"))
     _linked(pairs, sets, percent).filter("linked").select("a", "b").write.parquet(f"{folder}/links-3")
     links, of_node = merged(spark.read.parquet(f"{folder}/links-3"), 3)
 
