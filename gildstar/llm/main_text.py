@@ -53,11 +53,14 @@ _COMMENTS = re.compile(r"(?:^|[\s_-])(?:comments?|reply|replies|teaser|related)(
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)|([^<]+|<)", re.S
+    r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*(?:\"[^\"]*\"|'[^']*')|[^>])*+)(?:>|$)|([^<]+|<)", re.S
 )
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 
+_EDGES = re.compile(r"^[\W\d_]+|[\W\d_]+$")  # what is no letter at the ends of a word
+
 _LONG, _SHORT = 140, 60  # characters
+_MISSED_STOPS = 8  # stop words that chance alone hardly leaves out: once in e^8 blocks
 _MANY_STOPS, _SOME_STOPS, _MOST_LINKS, _ALL_LINKS = 0.30, 0.15, 0.5, 0.8
 
 
@@ -162,11 +165,14 @@ def blocks(page: str) -> list[Block]:
 
 def classify(found: list[Block]) -> None:
     """Pass one and two: every block gets its label, true for main text."""
-    bare: list[Block] = []  # long, without stop words
+    counted: dict[int, tuple[int, int]] = {}  # stop words and words of each article's sure main text
+    bare: list[Block] = []  # long, mostly of lower-case words, without stop words
     for b in found:
         words = b.text.split()
         letters = max(1, sum(map(len, words)))
-        stops = sum(w.strip(".,;:!?\"'()").lower() in STOP_WORDS for w in words) / max(1, len(words))
+        plain = [_EDGES.sub("", w) for w in words]
+        n_stops = sum(w.lower() in STOP_WORDS for w in plain)
+        stops = n_stops / max(1, len(words))
         linked = b.link_chars / letters
         prose = b.article and len(words) > 20 and stops >= _SOME_STOPS and linked <= _ALL_LINKS
         if b.outside:
@@ -175,17 +181,23 @@ def classify(found: list[Block]) -> None:
             b.label = None if b.article and b.tag in _HEADINGS else False
         elif len(b.text) >= _LONG and stops >= _SOME_STOPS or len(b.text) >= _SHORT and stops >= _MANY_STOPS:
             b.label = True
-        elif len(b.text) >= _LONG and stops == 0:
-            bare.append(b)
+            had = counted.get(b.article, (0, 0))
+            counted[b.article] = had[0] + n_stops, had[1] + len(words)
+        elif len(b.text) >= _LONG and stops == 0 and 2 * sum(w.isalpha() and w.islower() for w in plain) >= len(words):
+            bare.append(b)  # numbers, code and names have no stop words to miss and stay open
     within = sum(len(b.text) for b in found if b.label and b.article)
     if any(b.article and not b.outside for b in found) and within >= sum(len(b.text) for b in found if b.label and not b.article):
         for b in found:
             if not b.article:
                 b.label = False
-    # Stop words reject in an article only where they are found in it: it may be in a language without any listed.
+    # Stop words reject in an article only where its own text leads to expect them: it may be in a language without
+    # any listed, and a paragraph may do without by chance.
     told = {b.article for b in found if b.label}
     for b in bare:
-        if b.label is None and b.tag != "pre" and (not b.article or b.article in told):
+        n_stops, n_words = counted.get(b.article, (0, 1))
+        if b.label is None and b.tag != "pre" and (
+            not b.article or len(b.text.split()) * n_stops >= _MISSED_STOPS * n_words
+        ):
             b.label = False
     _inherit(found, list(range(len(found))), lambda b: not b.article)
     for article in sorted(told - {0}):

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import html
+import itertools
 import math
 import os
 import random
@@ -13,6 +15,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -87,6 +90,25 @@ def test_token_counts_match_the_library(edge, empty):
     assert count_tokens(empty, path, 5).count() == 0
 
 
+def test_token_counts_tell_texts_of_one_id_apart(spark):
+    importable(spark)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    by_crc = {}
+    pair = None
+    for i in itertools.count():
+        text = f"note {i * 7919} " + "x" * (i % 9)
+        other = by_crc.setdefault(zlib.crc32(text.encode()), text)
+        if other != text and len(other) != len(text):
+            pair = [other, text]
+            break
+    docs = spark.createDataFrame([(None, t) for t in [*pair, pair[0]]] + [(4, t) for t in pair], "doc_id long, text string")
+    wanted = [(None, t) for t in [*pair, pair[0]]] + [(4, t) for t in pair]
+    got = collections.Counter(tuple(r) for r in count_tokens(docs, path, 5).collect())
+    sizes = {t: len(library.encode(t, add_special_tokens=False).ids) for t in pair}
+    assert got == collections.Counter((i, len(t.encode()), sizes[t], sizes[t] > 5) for i, t in wanted)
+
+
 def test_token_file_round_trip(spark, edge, empty):
     path = public_tokenizers.path("word_bpe_49k.json")
     library = Tokenizer.from_file(path)
@@ -167,6 +189,34 @@ def test_main_text_inside_and_outside_articles():
     assert main_text(f"<article><p>Short.</p><ul>{links}</ul></article>") == "Short."
 
 
+def test_main_text_keeps_what_an_article_has_besides_prose():
+    prose = "The cat is on the mat and it was not for us to say that this is the end of it, as they have with you at the house."
+    numbers = " ".join(f"{i * 37}.{i % 10}" for i in range(60))
+    code = "for (int i=0;i<n;i++) { x[i] = y[i] * 2; } return x.f(0); " * 5
+    names = "Zorblax Quimby, Ada Byron, Grace Hopper, Alan Turing, Kurt Gödel, Emmy Noether. " * 4
+    marked = " ".join(f"{w}{m}" for w, m in zip(prose.split() * 2, ["&&&", "|", "***", "$$$"] * 13))
+    rare = "Cats sleep until morning comes again, then they run outside, chase small birds, climb tall trees, drink cold water, nap. "
+    kept = [prose, numbers, code, names, marked, rare + rare[:40], prose]
+    page = "<article>" + "".join(f"<p>{html.escape(p)}</p>" for p in kept) + "</article>"
+    assert main_text(page) == "\n".join(" ".join(p.split()) for p in kept)
+    # An apostrophe or a quote opens a value only after an equals sign.
+    for attribute in ("title=it's", "title='it\"s'", 'x" y', 'title = "a>b"', "title=a'b=c"):
+        assert main_text(f"<article><p {attribute}>Don't go. {prose}</p><p>It's \"here\".</p></article>") == (
+            f"Don't go. {prose}\nIt's \"here\"."
+        )
+    assert main_text(f"<p title={'a=' * 20000}>{prose}</p>") == prose
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="test tables are not here")
+def test_main_text_loses_no_word_of_an_article():
+    table = pq.read_table("/root/testdata/sf0.1/pages.parquet", columns=["html"])
+    for page in filter(None, table["html"].to_pylist()):
+        inside = re.search(r"<article[^>]*>(.*?)(?:</article>|$)", page, re.S)
+        if inside:
+            plain = re.sub(r"<(script|style)\b.*?</\1>|<[^>]*>", " ", inside[1], flags=re.S)
+            assert main_text(page).split() == html.unescape(plain).split()
+
+
 def brute_components(texts, n, percent):
     sets = {}
     for i, t in texts:
