@@ -10,12 +10,12 @@ frequent ones never reach the shuffle, no join key is hot.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,7 +31,8 @@ _COUNTED = pa.schema([("piece", pa.large_string()), ("freq", pa.int64()), ("piec
 _ROWS = pa.schema(
     [
         ("id", pa.int64()),
-        ("crc", pa.int64()),
+        ("h1", pa.int64()),
+        ("h2", pa.int64()),
         ("tail", pa.bool_()),
         ("piece", pa.large_string()),
         ("n", pa.int64()),
@@ -40,6 +41,12 @@ _ROWS = pa.schema(
 )
 
 
+def text_keys(texts: list[str]) -> np.ndarray:
+    """The 128-bit hash of each text as two signed integers, one row per text."""
+    digests = b"".join(xxhash.xxh3_128_digest(t.encode()) for t in texts)
+    return np.frombuffer(digests, "<i8").reshape(-1, 2)
+
+
 def vocabulary(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     """Distinct pre-tokens of the corpus with frequency and number of tokens: (piece, freq, pieces)."""
 
@@ -76,6 +83,7 @@ def count_tokens(
     A NULL text counts as empty; a NULL id stays NULL; repeated rows give
     repeated results, also under one id; an empty table gives no rows.  Special
     strings inside texts count as the library takes them, one token each.
+    Rows of one id are told apart by a 128-bit hash of their text.
     Only ``doc_id`` and ``text`` are read, so other columns cannot clash.
     """
     spark = docs.sparkSession
@@ -105,17 +113,24 @@ def count_tokens(
             pairs, freq = np.unique(owner[~in_head] * max(1, len(known)) + units[~in_head], return_counts=True)
             at, unit = pairs // max(1, len(known)), pairs % max(1, len(known))
             ids = part.column("id").cast(pa.int64())
-            crc = np.array([zlib.crc32(t.encode()) for t in texts.to_pylist()], np.int64)
+            keys = text_keys(texts.to_pylist())
             n_bytes = pc.binary_length(texts).cast(pa.int64())
-            spread = pa.array([f"{i}:{c}" for i, c in zip(ids.to_pylist(), crc.tolist())], pa.large_string())
+            spread = pa.array([f"{i}:{c}" for i, c in zip(ids.to_pylist(), keys[:, 0].tolist())], pa.large_string())
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(crc), pa.array(np.zeros(len(texts), bool)), spread, pa.array(summed), n_bytes],
+                [
+                    ids,
+                    *(pa.array(keys[:, c]) for c in (0, 1)),
+                    pa.array(np.zeros(len(texts), bool)),
+                    spread,
+                    pa.array(summed),
+                    n_bytes,
+                ],
                 schema=_ROWS,
             )
             yield pa.RecordBatch.from_arrays(
                 [
                     ids.take(pa.array(at)),
-                    pa.array(crc[at]),
+                    *(pa.array(keys[at, c]) for c in (0, 1)),
                     pa.array(np.ones(len(at), bool)),
                     pa.array(known, pa.large_string()).take(pa.array(unit)),
                     pa.array(freq.astype(np.int64)),
@@ -125,14 +140,14 @@ def count_tokens(
             )
 
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).mapInArrow(
-        look_up, "id long, crc long, tail boolean, piece string, n long, n_bytes long"
+        look_up, "id long, h1 long, h2 long, tail boolean, piece string, n long, n_bytes long"
     )
     # The row of each text itself carries its own key as piece, which spreads these rows over the tasks.
     joined = rows.join(
         counted.select(F.lit(True).alias("tail"), "piece", "pieces"), ["tail", "piece"], "left"
     )
     per_row = (
-        joined.groupBy("id", "crc")
+        joined.groupBy("id", "h1", "h2")
         .agg(
             F.count("n_bytes").alias("copies"),
             F.max("n_bytes").alias("n_bytes"),
