@@ -46,8 +46,6 @@ DIFFERING = 1  # k2: by how many shingles two sets may differ in a part that the
 CROWDS = 1 << 18
 # Text bytes signed at one time: a signature takes about as much as the text behind it.
 SIGN_BYTES = 2 << 20
-# Classes of S in a pivot's group lie this share of the pivot's own reach apart.
-STEPS = 8
 _ODD = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
 
@@ -264,10 +262,7 @@ def _crowding(sets: DataFrame) -> np.ndarray:
 
 
 def _differences(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(pivot, node, reach, s, shingles): each class as its difference to the pivots of its signatures.
-
-    ``reach`` is (100 - percent) |pivot|, ``s`` is S of the module's description.
-    """
+    """(pivot, node, s, shingles): each class as its difference to the pivots of its signatures, with its S."""
     pivots = rows.groupBy("sign").agg(F.min("node").alias("pivot"))
     pairs = rows.select("sign", "node").join(pivots, "sign").select("node", "pivot").distinct()
     own = sets.select(F.col("doc_id").alias("node"), F.col("shingles").alias("sx"))
@@ -281,97 +276,99 @@ def _differences(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         .select(
             "pivot",
             "node",
-            (rest * F.size("sp")).cast("long").alias("reach"),
             ((100 + percent) * F.size("shingles") - rest * F.size("sx")).cast("long").alias("s"),
             "shingles",
         )
     )
 
 
-def _in_classes(differences: DataFrame, percent: int) -> DataFrame:
-    """The groups that hold far classes: (pivot, node, cls, far, goals, shingles).
+def _apart(differences: DataFrame, component: DataFrame, percent: int) -> DataFrame:
+    """The classes that must be compared: (pivot, node, component, s, far, asks).
 
-    ``m`` is the least S of the group; a class is far if S + m > 0.  ``cls``
-    counts steps of S from m upwards.  ``goals`` lists with which classes of S
-    the node must be compared and how many common members that asks for: far
-    nodes with all, the others with far ones.
+    With ``m`` the least S of a group, a class is far if S + m > 0; groups without
+    far classes or within one component are left out.  ``asks`` is the least
+    number of common members with which a comparison can succeed.  y's difference
+    has members enough for x only if T(y) = 2 (100 + percent) |dy| - S(y) is S(x)
+    or more, so the least S of such partners tells; it is kept per step of T, a
+    table of some two hundred steps at most.
     """
-    stepped = F.greatest(F.lit(100 + percent), F.expr(f"reach div {STEPS}")).alias("step")
-    least = differences.groupBy("pivot").agg(F.min("s").alias("m"), F.first("reach").alias("reach"))
-    least = least.select("pivot", "m", stepped)
-    placed = (
-        differences.drop("reach")
-        .join(least, "pivot")
-        .withColumn("cls", F.expr("(s - m) div step"))
-        .withColumn("far", F.expr("s + m > 0"))
+    twice = 2 * (100 + percent)
+    slim = (
+        differences.join(component, "node", "left")
+        .withColumn("component", F.coalesce("component", "node"))
+        .withColumn("step", F.expr(f"cast(8 * log2({twice} * size(shingles) - s + 1) as int)"))
+        .select("pivot", "node", "component", "s", "step")
     )
-    found = (
-        placed.groupBy("pivot")
-        .agg(F.collect_set("cls").alias("all_cls"), F.collect_set(F.when(F.col("far"), F.col("cls"))).alias("far_cls"))
-        .filter(F.size("far_cls") > 0)
+    stepped = slim.groupBy("pivot", "step").agg(
+        F.min("s").alias("least"), F.max("s").alias("most"), F.min("component").alias("lo"), F.max("component").alias("hi")
     )
-    asked = f"cast(ceil((2 * m + (cls + c) * step) / {2.0 * (100 + percent)}) as int)"
-    return placed.join(found, "pivot").select(
-        "pivot",
-        "node",
-        "cls",
-        "far",
-        F.expr(
-            "filter(transform(if(far, all_cls, far_cls), "
-            f"c -> named_struct('cls', c, 'asks', greatest(1, {asked}))), g -> g.asks <= size(shingles))"
-        ).alias("goals"),
-        "shingles",
+    groups = (
+        stepped.groupBy("pivot")
+        .agg(
+            F.min("least").alias("m"),
+            F.max("most").alias("most"),
+            F.min("lo").alias("lo"),
+            F.max("hi").alias("hi"),
+            F.collect_list(F.struct("step", "least")).alias("steps"),
+        )
+        .filter("lo < hi and most + m > 0")
+        .select("pivot", "m", "steps")
+    )
+    partners = "filter(steps, t -> s <= 0 or t.step >= cast(8 * log2(s + 1) as int))"
+    return (
+        slim.join(groups, "pivot")
+        .withColumn("far", F.expr("s + m > 0"))
+        .withColumn("_least", F.expr(f"array_min(transform({partners}, t -> t.least))"))
+        .withColumn("asks", F.expr(f"greatest(1, cast(ceil((s + _least) / {float(twice)}) as int))"))
+        .select("pivot", "node", "component", "s", "far", "asks")
     )
 
 
-def _prefixes(classed: DataFrame, percent: int) -> DataFrame:
-    """(pivot, lo, hi, shingle, node, cls, far): the rarest members of a node's difference, per pair of classes of S.
+def _prefixes(differences: DataFrame, apart: DataFrame) -> DataFrame:
+    """(meets, node, component, s, far, room): the rarest members of each difference.
 
-    Two differences with ``asks`` members in common, each sorted in any one order,
-    meet in their first (size - asks + 1) members.  Rarest first by the crowding
-    of all differences, what a pivot alone has or lacks comes last.
+    Two differences with c members in common, sorted in any one order, first meet
+    in a member that c - 1 others or more follow in both; ``room`` counts a member
+    and those that follow.  Rarest first by the crowding of all differences, what
+    a pivot alone has or lacks comes last.  ``meets`` is a hash of pivot and member.
     """
-    shared = classed.sparkSession.sparkContext.broadcast(_crowding(classed))
-    names = ["pivot", "lo", "hi", "shingle", "node", "cls"]
-    schema = pa.schema([(n, pa.int64()) for n in names] + [("far", pa.bool_())])
+    shared = apart.sparkSession.sparkContext.broadcast(_crowding(differences))
+    kinds = {"meets": pa.int64(), "node": pa.int64(), "component": pa.int64(), "s": pa.int64(), "far": pa.bool_()}
+    schema = pa.schema([*kinds.items(), ("room", pa.int32())])
 
     def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         crowding = shared.value
         for batch in batches:
-            for row in range(batch.num_rows):
-                members = batch.column("shingles")[row].values.to_numpy(zero_copy_only=False)
-                order = members[np.lexsort((members, crowding[members & (CROWDS - 1)]))]
-                cls, goals = batch.column("cls")[row].as_py(), batch.column("goals")[row].as_py()
-                if not goals:
-                    continue
-                lengths = np.array([len(order) - g["asks"] + 1 for g in goals])
-                others = np.array([g["cls"] for g in goals], np.int64)
-                total = int(lengths.sum())
-                other = np.repeat(others, lengths)
-                chosen = np.concatenate([order[:n] for n in lengths.tolist()])
-                same = [np.full(total, batch.column(c)[row].as_py(), np.int64) for c in ("pivot", "node")]
-                columns = [same[0], np.minimum(other, cls), np.maximum(other, cls), chosen, same[1], np.full(total, cls)]
-                yield pa.RecordBatch.from_arrays(
-                    [*map(pa.array, columns), pa.array(np.full(total, batch.column("far")[row].as_py()))], schema=schema
-                )
-
-    columns = classed.select("pivot", "node", "cls", "far", "goals", "shingles")
-    return columns.mapInArrow(
-        rarest, "pivot long, lo long, hi long, shingle long, node long, cls long, far boolean"
-    )
+            lists = batch.column("shingles")
+            members = lists.flatten().to_numpy(zero_copy_only=False)
+            sizes = np.diff(lists.offsets.to_numpy()).astype(np.int64)
+            row = np.repeat(np.arange(batch.num_rows), sizes)
+            order = np.lexsort((members, crowding[members & (CROWDS - 1)], row))
+            room = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(members))
+            kept = np.flatnonzero(room >= batch.column("asks").to_numpy()[row])
+            of, chosen = pa.array(row[kept]), members[order[kept]].view(np.uint64)
+            pivots = batch.column("pivot").to_numpy().view(np.uint64)[row[kept]]
+            meets = mix64(chosen + mix64(pivots) * _ODD[1]).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(meets),
+                    *(batch.column(c).take(of) for c in ("node", "component", "s", "far")),
+                    pa.array(room[kept].astype(np.int32)),
+                ],
+                schema=schema,
+            )
+
+    rows = differences.select("pivot", "node", "shingles").join(apart, ["pivot", "node"]).filter("asks <= size(shingles)")
+    return rows.mapInArrow(rarest, "meets long, node long, component long, s long, far boolean, room int")
 
 
-def _prefix_pairs(prefixes: DataFrame, component: DataFrame) -> DataFrame:
-    """(a, b): nodes of different components, one of them far, that share a prefix member."""
-    marked = prefixes.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    key = ["pivot", "lo", "hi", "shingle"]
-    left = marked.filter("cls = lo").select(*key, F.col("node").alias("a"), F.col("component").alias("ca"), F.col("far").alias("fa"))
-    right = marked.filter("cls = hi").select(*key, F.col("node").alias("b"), F.col("component").alias("cb"), F.col("far").alias("fb"))
-    same = [left[k] == right[k] for k in key]
-    wanted = (F.col("ca") != F.col("cb")) & (F.col("fa") | F.col("fb")) & ((left["lo"] < left["hi"]) | (F.col("a") < F.col("b")))
-    for condition in same:
-        wanted = condition & wanted
-    return left.join(right, wanted).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+def _prefix_pairs(prefixes: DataFrame, percent: int) -> DataFrame:
+    """(a, b): nodes of different components, one of them far, that meet with room for enough common members."""
+    x, y = prefixes.alias("x"), prefixes.alias("y")
+    enough = F.expr(f"{2 * (100 + percent)} * least(x.room, y.room) >= x.s + y.s")
+    wanted = (F.col("x.meets") == F.col("y.meets")) & (F.col("x.node") < F.col("y.node"))
+    wanted = wanted & (F.col("x.component") != F.col("y.component")) & (F.col("x.far") | F.col("y.far")) & enough
+    return x.join(y, wanted).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
 
 
 def jaccard_components(
@@ -448,9 +445,9 @@ def jaccard_components(
     near.select(F.col("node").alias("a"), F.col("m.node").alias("b")).distinct().write.parquet(f"{folder}/links-2")
     links, of_node = merged(spark.read.parquet(f"{folder}/links-2"), 2)
 
-    _in_classes(differences, percent).write.parquet(f"{folder}/classed")
-    _prefixes(spark.read.parquet(f"{folder}/classed"), percent).write.parquet(f"{folder}/prefixes")
-    pairs = _prefix_pairs(spark.read.parquet(f"{folder}/prefixes"), of_node)
+    _apart(differences, of_node, percent).write.parquet(f"{folder}/apart")
+    _prefixes(differences, spark.read.parquet(f"{folder}/apart")).write.parquet(f"{folder}/prefixes")
+    pairs = _prefix_pairs(spark.read.parquet(f"{folder}/prefixes"), percent)
     _linked(pairs, sets, percent).filter("linked").select("a", "b").write.parquet(f"{folder}/links-3")
     links, of_node = merged(spark.read.parquet(f"{folder}/links-3"), 3)
 
