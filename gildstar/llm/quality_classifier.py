@@ -117,9 +117,15 @@ def term_vectors(docs: DataFrame, text: str = "text") -> np.ndarray:
 
 
 def pooled(docs: DataFrame, vectors: np.ndarray) -> DataFrame:
-    """(doc_id, features) per row of (doc_id, text): the mean term vector and the scaled number of terms."""
+    """(doc_id, features) per row of (doc_id, text): the mean term vector and the scaled number of terms.
+
+    A column ``key`` of strings is handed on if there is one.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(vectors)
-    schema = pa.schema([("doc_id", pa.int64()), ("features", pa.list_(pa.float32()))])
+    handed = [c for c in ("key",) if c in docs.columns]
+    schema = pa.schema(
+        [("doc_id", pa.int64()), ("features", pa.list_(pa.float32())), *((c, pa.string()) for c in handed)]
+    )
 
     def pool(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
@@ -137,9 +143,11 @@ def pooled(docs: DataFrame, vectors: np.ndarray) -> DataFrame:
             rows = pa.ListArray.from_arrays(
                 np.arange(part.num_rows + 1, dtype=np.int32) * (DIMENSIONS + 1), sums.reshape(-1)
             )
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), rows], schema=schema)
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc_id"), rows, *(part.column(c).cast(pa.string()) for c in handed)], schema=schema
+            )
 
-    return docs.mapInArrow(pool, "doc_id long, features array<float>")
+    return docs.mapInArrow(pool, ", ".join(["doc_id long", "features array<float>", *(f"{c} string" for c in handed)]))
 
 
 @dataclass
@@ -205,8 +213,9 @@ def classify(
     doc_id: str = "doc_id",
     text: str = "text",
     label: str = "quality",
+    key: str | None = None,
 ) -> DataFrame:
-    """(doc_id, held_out, score, predicted) for every row of ``docs``.
+    """(doc_id, held_out, score, predicted) for every row of ``docs``, and its string column ``key`` if one is named.
 
     Held out are rows with crc32(doc_id as text) mod ``modulus`` =
     ``held_remainder``; their labels are never read.  A NULL id counts as the
@@ -216,8 +225,9 @@ def classify(
     Repeated rows are scored repeatedly; an empty table gives no rows.
     """
     spark = docs.sparkSession
-    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    vectors = term_vectors(docs)
+    handed = [F.col(key).alias("key")] if key else []
+    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), *handed)
+    vectors = term_vectors(docs.select("doc_id", "text"))
     folder = f"{run_folder(spark, 'quality')}/features"
     held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % modulus == held_remainder
     pooled(docs, vectors).withColumn("held_out", held_out).write.parquet(folder)
@@ -243,11 +253,13 @@ def classify(
         for batch in batches:
             x = batch.column("features").flatten().to_numpy().reshape(-1, DIMENSIONS + 1)
             p = shared.value.probability(x.astype(np.float64))
+            known = [batch.column(c) for c in ("doc_id", "held_out")]
+            scored = [pa.array(p), pa.array((p >= 0.5).astype(np.int32))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("held_out"), pa.array(p), pa.array((p >= 0.5).astype(np.int32))],
-                names=["doc_id", "held_out", "score", "predicted"],
+                [*known, *scored, *([batch.column("key")] if key else [])],
+                names=["doc_id", "held_out", "score", "predicted", *(["key"] if key else [])],
             )
 
-    return features.mapInArrow(score, "doc_id long, held_out boolean, score double, predicted int").withColumnRenamed(
-        "doc_id", doc_id
-    )
+    columns = "doc_id long, held_out boolean, score double, predicted int" + (", key string" if key else "")
+    out = features.mapInArrow(score, columns).withColumnRenamed("doc_id", doc_id)
+    return out.withColumnRenamed("key", key) if key else out

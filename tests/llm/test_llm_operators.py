@@ -683,3 +683,41 @@ def test_near_duplicate_stage_matches_brute_force(spark):
     kept = {r["doc_id"] for r in corpus_pipeline.drop_near_duplicates(spark, docs, SF_DIR).collect()}
     texts = source_rows(docs)
     assert kept == {i for i, _, c in brute_components(texts, corpus_pipeline.SHINGLE_WORDS, corpus_pipeline.SIMILAR_PERCENT) if i == c}
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables are not here")
+def test_quality_stage_decides_rows(spark):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    kept = {r["doc_id"] for r in corpus_pipeline.drop_low_quality(spark, docs, SF_DIR).collect()}
+    lost = docs.count() - len(kept)
+    assert kept and lost
+    texts = collections.Counter(r["text"] for r in docs.collect() if r["doc_id"] in kept)
+    # One id for all rows, and none: the same texts stay. What is learnt from labels by id is kept by a second, named copy.
+    for same in (F.lit(None).cast("long"), F.lit(10**12)):
+        both = docs.unionByName(docs.withColumn("doc_id", same).withColumn("text", F.concat("text", F.lit(" "))))
+        rows = corpus_pipeline.drop_low_quality(spark, both.withColumn("key", F.lit("k")), SF_DIR)
+        assert rows.columns == [*docs.columns, "key"]
+        got = [(r["doc_id"], r["text"]) for r in rows.collect()]
+        named = collections.Counter(t for i, t in got if i not in (None, 10**12))
+        other = collections.Counter(t[:-1] for i, t in got if i in (None, 10**12) and t is not None)
+        assert named == other + collections.Counter(t for t in named.elements() if t is None)
+        assert 0 < sum(named.values()) < docs.count()
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables are not here")
+def test_pipeline_stages_on_rows_without_ids_and_empty_tables(spark):
+    import corpus_pipeline
+
+    base = " ".join(f"w{i}" for i in range(60))
+    rows = [(5, base), (None, base), (None, base + " more"), (None, "alone " + " ".join(f"v{i}" for i in range(40)))]
+    rows += [(None, rows[3][1]), (None, None), (None, ""), (7, None), (8, " "), (9, "short"), (None, "short"), (9, "short")]
+    docs = spark.createDataFrame([(*r, "s", 1) for r in rows], "doc_id long, text string, source string, _id long")
+    got = corpus_pipeline.drop_near_duplicates(spark, docs, SF_DIR)
+    assert got.columns == docs.columns
+    wanted = [(5, base), rows[3], (None, None), (None, ""), (7, None), (8, " "), (9, "short"), (9, "short")]
+    assert collections.Counter((r["doc_id"], r["text"]) for r in got.collect()) == collections.Counter(wanted)
+    none = spark.read.parquet(f"{SF_DIR}/documents.parquet").filter(F.lit(False))
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, none, SF_DIR).count() == 0, name
