@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gildstar.llm.common import importable
@@ -27,28 +27,62 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _text_key(docs: DataFrame) -> Column:
+    """A 128-bit hash of the text as a string; NULL counts as empty."""
+    return F.md5(F.coalesce(docs["text"], F.lit("")))
+
+
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents the quality classifier accepts; rows of a rejected text under one id go together."""
+    """Documents the quality classifier accepts, decided for each row.
+
+    Rows go by id and text: a rejected row takes no other text of its id along,
+    and rows without an id are judged like others.  NULL and empty texts are
+    scored from zero features; repeated rows stay or go together; an empty table
+    gives no rows; other columns are handed on.
+    """
     importable(spark)
-    scored = classify(docs, _table(spark, sf_dir, "labels"))
-    rejected = scored.filter("predicted = 0").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(rejected, docs["doc_id"].eqNullSafe(rejected["_id"]), "left_anti")
+    scored = classify(
+        docs.select("doc_id", "text", _text_key(docs).alias("key")), _table(spark, sf_dir, "labels"), key="key"
+    )
+    rejected = scored.filter("predicted = 0").select(F.col("doc_id").alias("_id"), F.col("key").alias("_key")).distinct()
+    same = docs["doc_id"].eqNullSafe(rejected["_id"]) & (_text_key(docs) == rejected["_key"])
+    return docs.join(rejected, same, "left_anti")
+
+
+# Above this stand the ids that rows without one are compared under, so that rows with an id are kept before them.
+_WITHOUT_ID = 1 << 62
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the smallest id.
 
-    Rows with a NULL id are in no group and stay; rows that repeat an id stay or
-    go together.
+    Rows with a NULL id are compared too, under an id made of their text: one of
+    a group stays if no row with an id is in it.  Rows without words are in no
+    group and stay; rows that repeat an id stay or go together; an empty table
+    gives no rows; other columns are handed on.
     """
     importable(spark)
-    grouped = jaccard_components(docs, SHINGLE_WORDS, SIMILAR_PERCENT)
+    words = F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    named, nameless = docs.filter("doc_id is not null"), docs.filter("doc_id is null")
+    texts = nameless.filter(words).dropDuplicates(["text"])
+    made = F.lit(_WITHOUT_ID) + F.xxhash64("text").bitwiseAND(F.lit(_WITHOUT_ID - 1))
+    compared = named.select("doc_id", "text").unionByName(texts.select(made.alias("doc_id"), "text"))
+    grouped = jaccard_components(compared, SHINGLE_WORDS, SIMILAR_PERCENT)
     doubles = grouped.filter("doc_id <> component_id").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(doubles, docs["doc_id"] == doubles["_id"], "left_anti")
+    folder = f"{run_folder(spark, 'pipeline-doubles')}/ids"
+    doubles.write.parquet(folder)
+    doubles = spark.read.parquet(folder)
+    kept = named.join(doubles, named["doc_id"] == doubles["_id"], "left_anti")
+    single = texts.join(doubles, made == doubles["_id"], "left_anti")
+    return kept.unionByName(single).unionByName(nameless.filter(~F.coalesce(words, F.lit(False))))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain no benchmark item."""
+    """Documents that contain no benchmark item.
+
+    NULL and empty texts contain none; every row is decided by its own text, so
+    NULL and repeated ids make no difference; an empty table gives no rows.
+    """
     importable(spark)
     marked = mark_leaks(docs, _table(spark, sf_dir, "benchmark"), column="_leaks")
     return marked.filter(F.size("_leaks") == 0).select(*docs.columns)
