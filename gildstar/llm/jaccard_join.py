@@ -44,7 +44,7 @@ from gildstar.session import run_folder
 CELLS = 3
 DIFFERING = 1  # k2: by how many shingles two sets may differ in a part that they share
 CROWDS = 1 << 18
-# Text bytes signed at one time: a signature takes about as much as the text behind it.
+# Text bytes cut into shingles or signed at one time: either takes several times as much as the text behind it.
 SIGN_BYTES = 2 << 20
 _ODD = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
@@ -147,7 +147,7 @@ def keyed_sets(docs: DataFrame, n: int) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", SIGN_BYTES):
             sets = shingle_sets(large_texts(part.column("text")), n)
             k1, k2 = set_keys(sets)
             sizes = pa.array([len(s) for s in sets], pa.int64())
@@ -187,7 +187,7 @@ def packed_sets(docs: DataFrame, n: int) -> DataFrame:
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", SIGN_BYTES):
             sets = shingle_sets(large_texts(part.column("text")), n)
             k1, k2 = set_keys(sets)
             yield pa.RecordBatch.from_arrays(
