@@ -1,13 +1,24 @@
 """Information-theoretic sanitisation of personal data (operator 8).
 
 Protected entities are the personal data that patterns find.  The terms of the
-documents that hold an entity are judged by the corpus: the pointwise mutual information of term and
-entity over documents, against the entity's information content, tells how far
-the term gives the entity away.  The share of a term's documents that hold the
-entity is smoothed towards chance; no pair is left out for being rare.  Terms above ``GENERALISE`` of it are replaced
-by a class, above ``REMOVE`` they are removed, wherever they stand in a document
-that holds the entity.  Counts cover all documents and whole texts.  Entities found
-in the same documents share their counts and are judged as one class.
+documents that hold an entity are judged by the corpus: the entity's information
+content less the pointwise mutual information of term and entity over documents
+is what stays uncertain about the entity once the term is known, -log2 of the
+share of the term's documents that hold it.  That share is taken at its lower
+confidence bound (Wilson), and the bars are bits, so neither depends on the size
+of the corpus: a term that meets an entity once never discloses it if it occurs
+anywhere else.  The bound is wider for ordinary words than for terms that look
+like names (with a capital in at least half of their documents, or with digits),
+as any long text holds words that occur nowhere else.
+
+Each term is judged twice: against each entity, and against each kind of entity,
+where the number of entities it leaves open adds to the uncertainty, so that the
+name of somebody with two addresses is found and the word "phone" is not.  No pair is
+left out for being rare.  Terms with at most ``GENERALISE`` bits left are replaced
+by a class that says what they were, with at most ``REMOVE`` they are removed,
+wherever they stand in a document that holds the entity or kind.  Counts cover
+all documents and whole texts.  Entities found in the same documents share their
+counts and are judged as one.
 
 Everything is DataFrame expressions.  Places of matches come from matching the
 text before a match along with it; patterns are anchored at the last match and
@@ -23,8 +34,9 @@ from pyspark.sql import functions as F
 
 from gildstar.session import run_folder
 
-PRIOR = 0.5  # documents of chance meetings added to those of a term, so that few documents weigh less
-GENERALISE, REMOVE = 0.8, 0.95
+GENERALISE, REMOVE = 2.0, 0.5  # bits of uncertainty left: four candidates, fewer than one and a half
+GAIN = 3.0  # bits by which a term must at least make an entity likelier, else the entity is merely common
+NAME_Z, WORD_Z = 1.0, 3.0  # standard errors of the lower bound for names and codes, and for ordinary words
 
 _TERM = r"\p{L}[\p{L}\p{N}]{2,}"
 _BLOCK = 256  # places that are listed together, so that lists grow by blocks
@@ -151,10 +163,42 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
 
 
 def document_frequencies(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(term, df): in how many rows each term occurs."""
-    found = F.expr(_distinct_terms("t"))
+    """(term, df, cased): in how many rows each term occurs, and in how many of them with a capital."""
+    raw = rf"regexp_extract_all(t, r'(?<![\p{{L}}\p{{N}}]){_TERM}', 0)"
+    cased = "array_distinct(transform(filter(w, x -> x <> lower(x)), x -> lower(x)))"
+    other = "array_except(filter(w, x -> x = lower(x)), c)"
+    found = (
+        f"transform(array(array_distinct({raw})), w -> transform(array({cased}), c -> concat("
+        f"transform(c, x -> named_struct('term', x, 'cased', 1L)), transform({other}, x -> named_struct('term', x, 'cased', 0L))"
+        "))[0])[0]"
+    )
     rows = docs.select(F.coalesce(text, F.lit("")).alias("t"))
-    return rows.select(F.explode(found).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    terms = rows.select(F.explode(F.expr(found)).alias("x")).select("x.*")
+    return terms.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("cased").alias("cased"))
+
+
+def lower_share(both: Column, df: Column, z: Column) -> Column:
+    """The lower end of Wilson's interval for ``both`` of ``df``."""
+    p, part = both / df, z * z / df
+    return (p + part / 2 - z * F.sqrt(p * (1 - p) / df + part / (4 * df))) / (1 + part)
+
+
+def judged(meetings: DataFrame, frequencies: DataFrame, total: int) -> DataFrame:
+    """``meetings`` (term, both, held, values, ..) with ``class`` and ``uncertainty``, as far as terms disclose something.
+
+    ``both`` of the term's rows hold the entity, or one of ``values`` entities,
+    that ``held`` of all ``total`` rows hold.
+    """
+    code, name = F.col("term").rlike(r"\p{N}"), 2 * F.col("cased") >= F.col("df")
+    share = lower_share(F.col("both"), F.col("df"), F.when(code | name, NAME_Z).otherwise(WORD_Z))
+    return (
+        meetings.join(frequencies, "term")
+        .withColumn("class", F.when(code, "CODE").when(name, "NAME").otherwise("TERM"))
+        .withColumn("_share", share)
+        .withColumn("uncertainty", F.log2("values") - F.log2("_share"))
+        .filter((F.col("uncertainty") <= GENERALISE) & (F.log2(F.col("_share") * total / F.col("held")) >= GAIN))
+        .drop("_share", "cased")
+    )
 
 
 class Sanitiser:
@@ -184,22 +228,43 @@ class Sanitiser:
         of_text = entities.join(classes, "entity").groupBy("h", *self.of_class).agg(F.max("copies").alias("copies"))
         self.pairs = of_text.join(texts.select("h", F.explode("words").alias("term")), "h")
         meet = self.pairs.groupBy(*self.of_class, "term").agg(F.sum("copies").alias("both"))
-        total = self.found.count()
-        (
-            meet.join(document_frequencies(docs, text), "term")
-            .withColumn("chance", F.col("entity_df") / F.lit(float(max(1, total))))
-            .filter(F.col("chance") < 1)
-            .withColumn("share", (F.col("both") + PRIOR * F.col("chance")) / (F.col("df") + PRIOR))
-            .withColumn("disclosure", 1 - F.log2("share") / F.log2("chance"))
-            .filter(F.col("disclosure") >= GENERALISE)
-            .select(*self.of_class, "term", "disclosure")
-            .write.parquet(f"{folder}/disclosing")
-        )
+        meet.withColumnRenamed("entity_df", "held").withColumn("values", F.lit(1)).write.parquet(f"{folder}/meetings")
+        meet = spark.read.parquet(f"{folder}/meetings")
+        document_frequencies(docs, text).join(meet.select("term").distinct(), "term").write.parquet(f"{folder}/frequencies")
+        frequencies = spark.read.parquet(f"{folder}/frequencies")
+        total = max(1, self.found.count())
+        disclosing = judged(meet, frequencies, total).withColumnRenamed("held", "entity_df")
+        disclosing.write.parquet(f"{folder}/disclosing")
         self.disclosing = spark.read.parquet(f"{folder}/disclosing")
 
+        kinds = F.expr("array_distinct(transform(base, x -> x.k))")
+        self.kinds = texts.select("h", "copies", "words", F.explode(kinds).alias("kind"))
+        held = self.kinds.groupBy("kind").agg(F.sum("copies").alias("held"))
+        rows = self.kinds.select("kind", "copies", F.explode("words").alias("term"))
+        rows = rows.groupBy("kind", "term").agg(F.sum("copies").alias("both"))
+        of_kind = F.expr("array_distinct(transform(base, x -> named_struct('kind', x.k, 'entity', lower(x.v))))")
+        values = (
+            texts.select(F.explode(of_kind).alias("x"), "words")
+            .select("x.*", F.explode("words").alias("term"))
+            .distinct()
+            .groupBy("kind", "term")
+            .agg(F.count(F.lit(1)).alias("values"))
+        )
+        meet = rows.join(values, ["kind", "term"]).join(F.broadcast(held), "kind")  # a row per kind
+        judged(meet, frequencies, total).write.parquet(f"{folder}/disclosing_kinds")
+        self.disclosing_kinds = spark.read.parquet(f"{folder}/disclosing_kinds")
+
     def spans(self) -> DataFrame:
-        """``found`` with ``terms``: the disclosing terms of the row as (s, r, k, e, v), k 'generalise' or 'remove'."""
-        of_text = self.pairs.join(self.disclosing, [*self.of_class, "term"]).groupBy("h", "term").agg(F.max("disclosure").alias("d"))
+        """``found`` with ``terms``: the disclosing terms of the row as (s, r, k, e, v).
+
+        k is 'generalise' or 'remove', v the class of the term: NAME, CODE or TERM.
+        """
+        told = ["h", "term", "class", "uncertainty"]
+        by_value = self.pairs.join(self.disclosing, [*self.of_class, "term"]).select(*told)
+        by_kind = self.kinds.select("h", "kind", F.explode("words").alias("term")).join(
+            self.disclosing_kinds, ["kind", "term"]
+        )
+        of_text = by_value.union(by_kind.select(*told)).groupBy("h", "term", "class").agg(F.min("uncertainty").alias("left"))
         places = self.found.filter(F.size("places") > 0).select("doc_id", "h", "places").dropDuplicates(["doc_id", "h"])
         of_row = (
             places.select("doc_id", "h", F.explode("places").alias("x"))
@@ -211,9 +276,9 @@ class Sanitiser:
                     F.struct(
                         "s",
                         F.lit(len(KINDS)).alias("r"),
-                        F.when(F.col("d") >= REMOVE, "remove").otherwise("generalise").alias("k"),
+                        F.when(F.col("left") <= REMOVE, "remove").otherwise("generalise").alias("k"),
                         "e",
-                        F.col("term").alias("v"),
+                        F.col("class").alias("v"),
                     )
                 ).alias("terms")
             )  # one document's terms
@@ -253,7 +318,7 @@ class Sanitiser:
         built = (
             "aggregate(_all, named_struct('p', 0, 'out', ''), (a, x) -> case when x.e <= a.p then a else named_struct("
             "'p', x.e, 'out', concat(a.out, substring(t, a.p + 1, greatest(0, x.s - a.p)), case x.k when 'remove' then '' "
-            "when 'generalise' then '[TERM]' else concat('[', upper(x.k), ']') end)) end, "
+            "when 'generalise' then concat('[', x.v, ']') else concat('[', upper(x.k), ']') end)) end, "
             "a -> concat(a.out, substring(t, a.p + 1)))"
         )
         return joined.select(F.col("doc_id").alias(doc_id), F.expr(built).alias(text))

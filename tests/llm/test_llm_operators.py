@@ -522,14 +522,79 @@ def test_sanitiser_judges_entities_of_one_or_two_rows(spark):
     docs = spark.createDataFrame(texts, "doc_id long, text string")
     sanitiser = sanitise.Sanitiser(docs)
     clean = dict(sanitiser.sanitised(docs).collect())
-    assert clean[200] == "The rest is for [TERM] at [EMAIL] and all."
-    assert clean[300] == clean[301] == "The weather is for [TERM] at [PHONE] and all."
+    assert clean[200] == "The rest is for [NAME] at [EMAIL] and all."
+    assert clean[300] == clean[301] == "The weather is for [NAME] at [PHONE] and all."
     assert all(clean[i] == t for i, t in texts[:100])
-    # One more document of the term among them makes it less sure.
-    judged = {r["term"]: r["disclosure"] for r in sanitiser.disclosing.collect()}
-    one, two = 1 / 103, 2 / 103
-    assert judged["zorblax"] == pytest.approx(1 - math.log((1 + 0.5 * one) / 1.5) / math.log(one))
-    assert judged["quimby"] == pytest.approx(1 - math.log((2 + 0.5 * two) / 2.5) / math.log(two))
+    judged = {r["term"]: r["uncertainty"] for r in sanitiser.disclosing.collect()}
+    assert judged == pytest.approx({"zorblax": 1.0, "quimby": -math.log2(2 / 3)})
+
+
+def test_disclosure_does_not_depend_on_the_size_of_the_corpus(spark):
+    meetings = [("name", 1, 1, 1, df) for df in range(1, 200)]
+    frame = spark.createDataFrame(meetings, "term string, both long, held long, values int, df long")
+    frame = frame.withColumn("term", F.concat("term", F.lit("x"), F.col("df").cast("string")))
+    frequencies = frame.select("term", "df", F.col("df").alias("cased"))
+    for total in (10**3, 10**4, 10**6, 10**8, 10**10):
+        found = sanitise.judged(frame.drop("df"), frequencies, total).collect()
+        assert [r["df"] for r in found] == [1]
+    # An entity that most rows hold is disclosed by nothing.
+    assert sanitise.judged(frame.drop("df").withColumn("held", F.lit(600)), frequencies, 1000).count() == 0
+
+
+def test_sanitiser_agrees_with_plain_counts(spark):
+    """All disclosures of a small table, by value and by kind, against counts in plain Python."""
+    importable(spark)
+    rng = random.Random(8)
+    words = [f"word{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10]}" for i in range(60)]
+    names = ["Vexnor", "Ax9q", "Tilly"]
+    people = [f"p{i}@mail.example.com" for i in range(6)] + ["10.0.0.7", "10.0.0.8"]
+    texts = []
+    for i in range(400):
+        said = rng.sample(words, 6) + rng.sample(names, rng.random() < 0.02)
+        texts.append(" ".join(said + rng.sample(people, (rng.random() < 0.06) + (rng.random() < 0.02))))
+    texts += [f"Zorblax {p} phrase once" for p in people[:2]] * 3
+    texts += [f"Quimby or q9 writes from 10.0.0.{i}" for i in (1, 2, 2)] + ["10.0.0.9 Moll", "moll 10.0.0.9", "Tessa"]
+    texts += ["Tessa a@mail.example.com", "Tessa b@mail.example.com"]
+    texts += texts[:2]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sanitiser = sanitise.Sanitiser(docs)
+
+    entity = re.compile(r"[a-z0-9]+@mail\.example\.com|10\.0\.0\.\d")
+    held = [set(entity.findall(t)) for t in texts]
+    terms = [set(re.findall(r"(?<![^\W_])[^\W\d_][^\W_]{2,}", t)) for t in texts]
+    df, cased = collections.Counter(), collections.Counter()
+    for found in terms:
+        df.update({x.lower() for x in found})
+        cased.update({x.lower() for x in found if x != x.lower()})
+    kind = lambda e: "email" if "@" in e else "ip"
+
+    def left(term: str, rows: list[int], values: int) -> float | None:
+        """Uncertainty if ``term`` discloses what ``rows`` hold."""
+        both, n = sum(term in {x.lower() for x in terms[i]} for i in rows), df[term]
+        z = 1.0 if re.search(r"\d", term) or 2 * cased[term] >= n else 3.0
+        p = both / n
+        low = (p + z * z / (2 * n) - z * math.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+        bits = math.log2(values) - math.log2(low) if low > 0 else math.inf
+        return bits if bits <= 2 and math.log2(low * len(texts) / len(rows)) >= 3 else None
+
+    def wanted(keys: set[str], has, values) -> dict[tuple[str, str], float]:
+        found = {}
+        for key in keys:
+            rows = [i for i in range(len(texts)) if has(i, key)]
+            for term in {x.lower() for i in rows for x in terms[i]}:
+                bits = left(term, rows, values(key, term))
+                if bits is not None:
+                    found[key, term] = pytest.approx(bits)
+        return found
+
+    by_value = wanted(set().union(*held), lambda i, e: e in held[i], lambda e, term: 1)
+    of_term = lambda k, term: {e for i, x in enumerate(terms) if term in {y.lower() for y in x} for e in held[i] if kind(e) == k}
+    by_kind = wanted({"email", "ip"}, lambda i, k: k in map(kind, held[i]), lambda k, term: len(of_term(k, term)))
+    assert len(by_value) >= 3 and ("email", "zorblax") in by_kind
+    assert {(r["kind"], r["term"]): r["uncertainty"] for r in sanitiser.disclosing_kinds.collect()} == by_kind
+    values = collections.Counter((t, round(r, 6)) for (_, t), r in ((k, v.expected) for k, v in by_value.items()))
+    classes = collections.Counter((r["term"], round(r["uncertainty"], 6)) for r in sanitiser.disclosing.collect())
+    assert set(classes) == set(values)  # entities of the same rows are one class
 
 
 def test_sanitiser_marks_terms_of_whole_documents(spark):
@@ -541,7 +606,7 @@ def test_sanitiser_marks_terms_of_whole_documents(spark):
     docs = spark.createDataFrame(texts, "doc_id long, text string")
     sanitiser = sanitise.Sanitiser(docs)
     clean = sorted(t for i, t in sanitiser.sanitised(docs).collect() if i == 200)
-    wanted = far.replace("zq@corp.example.com", "[EMAIL]").replace("Zorblax", "[TERM]").replace("zorblax", "[TERM]")
+    wanted = far.replace("zq@corp.example.com", "[EMAIL]").replace("Zorblax", "[NAME]").replace("zorblax", "[NAME]")
     assert clean == [wanted] * 2
     spans = {r["doc_id"]: r["spans"] for r in sanitiser.digest().collect()}
     for at in (0, len(far) - 7):
