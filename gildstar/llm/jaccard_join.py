@@ -422,18 +422,21 @@ def jaccard_components(
     nodes = spark.read.parquet(f"{folder}/nodes")
 
     marked = nodes.withColumn("component", F.col("node"))
-    links = None
-
-    def merged(found: DataFrame, number: int) -> tuple[DataFrame, DataFrame]:
-        """All links so far, and the component of every linked node."""
-        every = found if links is None else links.union(found)
+    of_node = None
+
+    def merged(found: DataFrame, number: int) -> DataFrame:
+        """The component of every linked node: the stars so far with the links found since."""
+        every = found
+        if of_node is not None:
+            stars = of_node.filter("node <> component")
+            every = found.union(stars.select(F.col("node").alias("a"), F.col("component").alias("b")))
         components(every).write.parquet(f"{folder}/components-{number}")
-        return every, spark.read.parquet(f"{folder}/components-{number}").select("node", "component")
+        return spark.read.parquet(f"{folder}/components-{number}").select("node", "component")
 
     for number in range(2):
         pairs = _best_partner(_cross(marked))
         _linked(pairs, sets, percent).filter("linked").select("a", "b").write.parquet(f"{folder}/links-{number}")
-        links, of_node = merged(spark.read.parquet(f"{folder}/links-{number}"), number)
+        of_node = merged(spark.read.parquet(f"{folder}/links-{number}"), number)
         marked = nodes.join(of_node, "node", "left").select(
             "sign", "node", F.coalesce("component", "node").alias("component")
         )
@@ -443,13 +446,13 @@ def jaccard_components(
     least = differences.groupBy("pivot").agg(F.min(F.struct("s", "node")).alias("m"))
     near = differences.drop("shingles").join(least, "pivot").filter("s + m.s <= 0 and node <> m.node")
     near.select(F.col("node").alias("a"), F.col("m.node").alias("b")).distinct().write.parquet(f"{folder}/links-2")
-    links, of_node = merged(spark.read.parquet(f"{folder}/links-2"), 2)
+    of_node = merged(spark.read.parquet(f"{folder}/links-2"), 2)
 
     _apart(differences, of_node, percent).write.parquet(f"{folder}/apart")
     _prefixes(differences, spark.read.parquet(f"{folder}/apart")).write.parquet(f"{folder}/prefixes")
     pairs = _prefix_pairs(spark.read.parquet(f"{folder}/prefixes"), percent)
     _linked(pairs, sets, percent).filter("linked").select("a", "b").write.parquet(f"{folder}/links-3")
-    links, of_node = merged(spark.read.parquet(f"{folder}/links-3"), 3)
+    of_node = merged(spark.read.parquet(f"{folder}/links-3"), 3)
 
     # Copies of one text meet here as one class row; AQE splits a hot class.
     of_class = classes.join(of_node, "node", "left").select(
