@@ -44,13 +44,13 @@ EXACT_BELOW = 64  # characters; shorter items are found by unchanged pieces
 _CHUNK = 64  # characters compared first, as many as a word has bits
 _SLACK = _CHUNK // 4  # how far these may be shifted by edits before them
 _SPARE = 4  # edits a chunk of a longer item may have beyond its share
-_AT_ONCE = 1 << 14  # places compared at one time
+_AT_ONCE = 1 << 13  # places compared or walked from at one time, so that working arrays stay in the processor's cache
 _SEPARATOR = "\n"
 
 _BITS = (
     mix64(np.arange(REPETITIONS * STEPS * 256, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(5))
     & np.uint64(1)
-).astype(np.int32).reshape(REPETITIONS, STEPS, 256)
+).astype(np.int64).reshape(REPETITIONS, STEPS, 256)
 _SAMPLED = [
     sorted(np.argsort(mix64(np.arange(STEPS, dtype=np.uint64) + np.uint64(1000 * (z + 1))))[:SAMPLES].tolist())
     for z in range(REPETITIONS)
@@ -77,16 +77,19 @@ def word_starts(text: np.ndarray) -> np.ndarray:
 
 def walk(text: np.ndarray, places: np.ndarray, repetition: int) -> tuple[np.ndarray, np.ndarray]:
     """The sampled characters of the walk from each place, as a hash, and where the walk ends."""
-    at = places.astype(np.int32)
-    keys = np.full(len(at), repetition + 1, np.uint64)
+    ends, keys = places.astype(np.int64), np.full(len(places), repetition + 1, np.uint64)
     sampled = _SAMPLED[repetition]
-    for step in range(sampled[-1] + 1):
-        here = text[at]
-        if step in sampled:
-            keys = keys * np.uint64(0x100000001B3) + here
-        if step < sampled[-1]:
-            at += _BITS[repetition, step][here]
-    return mix64(keys), at
+    for k in range(0, len(places), _AT_ONCE):
+        at, key = ends[k : k + _AT_ONCE], keys[k : k + _AT_ONCE]
+        here, move = np.empty(len(at), np.uint8), np.empty(len(at), np.int64)
+        for step in range(sampled[-1] + 1):
+            np.take(text, at, out=here, mode="clip")
+            if step in sampled:
+                key *= np.uint64(0x100000001B3)
+                key += here
+            if step < sampled[-1]:
+                at += np.take(_BITS[repetition, step], here, out=move, mode="clip")
+    return mix64(keys), ends
 
 
 def expand(left: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -176,7 +179,8 @@ class Items:
         base = np.cumsum(counts) - counts
         shift = int(self.lengths.max(initial=0))
         width = len(text) + shift
-        rows = np.unique((base[item] + np.minimum(offset // half, counts[item] - 1)) * width + at - offset + shift)
+        rows = np.sort((base[item] + np.minimum(offset // half, counts[item] - 1)) * width + at - offset + shift)
+        rows = rows[np.concatenate([[True], rows[1:] != rows[:-1]])] if len(rows) else rows
         padded = np.concatenate([np.zeros(_CHUNK * 2, np.uint8), text, np.zeros(_CHUNK * 2, np.uint8)])
         kept = [np.zeros((0, 2), np.int64)]
         for k in range(0, len(rows), _AT_ONCE):
@@ -200,24 +204,41 @@ class Items:
 
 def chunk_distances(masks: np.ndarray, sizes: np.ndarray, which: np.ndarray, text: np.ndarray, start: np.ndarray) -> np.ndarray:
     """Per place the least edit distance of its chunk to any stretch from ``start`` on (bit-parallel, all places together)."""
-    one = np.uint64(1)
-    pv, mv = np.full(len(which), ~np.uint64(0)), np.zeros(len(which), np.uint64)
-    last = (sizes[which] - 1).astype(np.uint64)
-    score = sizes[which].copy()
+    if not len(which):
+        return np.zeros(0, np.int64)
+    one, top = np.uint64(1), np.uint64(63)
+    # Chunks end at the highest bit; the bits below a short chunk match everything, which costs nothing.
+    spare = (_CHUNK - sizes).astype(np.uint64)
+    below = (one << spare) - one
+    flat = ((masks << spare[:, None]) | below[:, None]).reshape(-1)
+    base = which * 256
+    pv, mv = ~below[which], np.zeros(len(which), np.uint64)
+    score = sizes[which].astype(np.int64)
     best = score.copy()
-    flat, base = masks.reshape(-1), which * 256
-    for j in range(int(sizes.max(initial=0)) + 2 * _SLACK):
-        eq = flat[base + text[np.minimum(start + j, len(text) - 1)]]
-        xv = eq | mv
-        xh = (((eq & pv) + pv) ^ pv) | eq
-        ph = mv | ~(xh | pv)
-        mh = pv & xh
-        score += ((ph >> last) & one).astype(np.int64)
-        score -= ((mh >> last) & one).astype(np.int64)
+    steps = int(sizes.max(initial=0)) + 2 * _SLACK
+    padded = np.concatenate([text, np.full(steps, text[-1], np.uint8)])
+    columns = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(padded, steps)[start].T)
+    at = np.empty(len(which), np.int64)
+    eq, xv, xh, ph, mh = (np.empty(len(which), np.uint64) for _ in range(5))
+    for column in columns:
+        np.take(flat, np.add(base, column, out=at), out=eq, mode="clip")
+        np.bitwise_or(eq, mv, out=xv)
+        np.bitwise_and(eq, pv, out=xh)
+        xh += pv
+        xh ^= pv
+        xh |= eq
+        np.bitwise_or(xh, pv, out=ph)
+        np.invert(ph, out=ph)
+        ph |= mv
+        np.bitwise_and(pv, xh, out=mh)
+        score += np.right_shift(ph, top, out=eq).view(np.int64)
+        score -= np.right_shift(mh, top, out=eq).view(np.int64)
         ph <<= one
         mh <<= one
-        pv = mh | ~(xv | ph)
-        mv = ph & xv
+        np.bitwise_or(xv, ph, out=pv)
+        np.invert(pv, out=pv)
+        pv |= mh
+        np.bitwise_and(ph, xv, out=mv)
         np.minimum(best, score, out=best)
     return best
 

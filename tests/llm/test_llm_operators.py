@@ -714,6 +714,43 @@ def test_words_are_cut_at_ascii_white_space_only():
     assert n.tolist() == [0, 2, 4, 1] and words.to_pylist() == ["a", "b", "c", "d", "e", "f", "g h\x1ci"]
 
 
+def test_blocks_of_walks_and_chunks_agree_with_plain_loops():
+    rng = random.Random(3)
+    text = decontaminate.letters("".join(rng.choice("ab c") for _ in range(3 * decontaminate._AT_ONCE)))
+    places = decontaminate.word_starts(text)
+    assert len(places) > decontaminate._AT_ONCE // 2
+    places = np.concatenate([places, places, places])
+    keys, ends = decontaminate.walk(text, places, 2)
+    for i in (0, decontaminate._AT_ONCE - 1, decontaminate._AT_ONCE, len(places) - 1):
+        at, taken = int(places[i]), []
+        for step in range(decontaminate._SAMPLED[2][-1] + 1):
+            taken += [int(text[at])] if step in decontaminate._SAMPLED[2] else []
+            at += int(decontaminate._BITS[2, step][text[at]]) if step < decontaminate._SAMPLED[2][-1] else 0
+        key = 3
+        for c in taken:
+            key = (key * 0x100000001B3 + c) % (1 << 64)
+        assert (int(keys[i]), int(ends[i])) == (int(decontaminate.mix64(np.array([key], np.uint64))[0]), at)
+
+    sizes = np.array([64, 1, 9, 33], np.int64)
+    chunks = ["".join(rng.choice("abc ") for _ in range(n)) for n in sizes]
+    masks = np.zeros((4, 256), np.uint64)
+    for mask, chunk in zip(masks, chunks):
+        for i, c in enumerate(chunk):
+            mask[ord(c)] |= np.uint64(1 << i)
+    start = np.array([rng.randrange(len(text)) for _ in range(40)] + [len(text) - 3])
+    which = np.arange(41) % 4
+    got = decontaminate.chunk_distances(masks, sizes, which, text, start)
+    for w, s, best in zip(which, start, got):
+        stretch = [int(text[min(s + j, len(text) - 1)]) for j in range(64 + 2 * decontaminate._SLACK)]
+        row, least = list(range(sizes[w] + 1)), int(sizes[w])
+        for c in stretch:
+            new = [0]
+            for i, x in enumerate(chunks[w]):
+                new.append(min(row[i] + (ord(x) != c), row[i + 1] + 1, new[i] + 1))
+            row, least = new, min(least, new[-1])
+        assert best == least
+
+
 @pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables are not here")
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_queries_cover_their_tables(spark, name):
