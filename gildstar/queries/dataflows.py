@@ -10,7 +10,7 @@ from gildstar.operators.series import lag_by
 from gildstar.plans import dimensions, facts, intermediate, staging
 from gildstar.queries.registry import LOAD_TS, bronze, publish, register, table
 from gildstar.queries.sqltext import TREND, calendar_sql, with_ctes
-from gildstar.session import run_folder
+from gildstar.session import run_folder, whole_variants
 from gildstar.sources.tables import write_table
 
 _LOADED = f"TIMESTAMP '{LOAD_TS}' AS _loaded_at"
@@ -38,15 +38,19 @@ def games(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def stored_games(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Enriched games written once, for queries that read them several times."""
-    return write_table(games(spark, sf_dir), f"{run_folder(spark, 'games')}/int_games_enriched")
+def stored_games(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Enriched games written once, for queries that read them several times; all columns or those named."""
+    enriched = games(spark, sf_dir)
+    wanted = enriched.select(*columns) if columns else enriched
+    with whole_variants(spark):
+        return write_table(wanted, f"{run_folder(spark, 'games')}/int_games_enriched")
 
 
 def stored_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Enriched games and the keys of their dimensions, each written once."""
     folder = run_folder(spark, "star")
-    enriched = write_table(games(spark, sf_dir), f"{folder}/int_games_enriched")
+    with whole_variants(spark):
+        enriched = write_table(games(spark, sf_dir), f"{folder}/int_games_enriched")
     dims = {
         "dim_games": dimensions.dim_games(enriched),
         "dim_genre": dimensions.dim_genre(enriched),

@@ -121,7 +121,7 @@ def computed_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def text_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Key derived from text, with a default member for games without a genre."""
-    games = stored_games(spark, sf_dir)
+    games = stored_games(spark, sf_dir, "app_id", "genres_details")
     dim = Dim(
         dim_genre(games), "genre_name", "genre_key", csv_element("genres_details", 1), default_key(),
         carry={"genre_category": "genre_category"},

@@ -76,7 +76,8 @@ def bronze(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         cores = spark.sparkContext.defaultParallelism
         few_splits = size < cores * _SPLIT_BYTES
         raw = derived.RAW_TABLES[name](spark, sf_dir, spread=cores if few_splits else None)
-        _landed[key] = (path, land_bronze(raw, path, day_of=day_of).schema)
+        # What grows with every ingestion is mostly arrays of achievements, which fields of their own do not help.
+        _landed[key] = (path, land_bronze(raw, path, day_of=day_of, whole=day_of is not None).schema)
     path, schema = _landed[key]
     return spark.read.schema(schema).parquet(path)
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -53,6 +55,25 @@ def file_system(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
+@contextmanager
+def whole_variants(spark: SparkSession) -> Iterator[None]:
+    """Store VARIANT columns as they are, not as one Parquet column per field found in them.
+
+    For payloads that are read as a whole or by their arrays and objects: fields
+    of their own then cost time at writing and again when they are put together.
+    """
+    setting = "spark.sql.variant.inferShreddingSchema"
+    before = spark.conf.get(setting, None)
+    spark.conf.set(setting, "false")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(setting)
+        else:
+            spark.conf.set(setting, before)
+
+
 def run_folder(spark: SparkSession, label: str) -> str:
     """A new folder under the shared one, removed when the session's JVM ends."""
     path = f"{shared_folder(spark)}/gildstar-{label}-{uuid.uuid4().hex}"

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from contextlib import nullcontext
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gildstar.functions.keys import date_key
+from gildstar.session import whole_variants
 from gildstar.sources.landing import REJECT_COLUMNS
 
 # Envelope columns of the raw tables, payload last.  No model reads
@@ -52,6 +55,7 @@ def land_bronze(
     day_of: str | None = None,
     mode: str = "append",
     compact: bool = False,
+    whole: bool = False,
 ) -> DataFrame:
     """Store a raw table with its payload parsed to VARIANT, and read it back.
 
@@ -60,15 +64,18 @@ def land_bronze(
 
     Landing is a narrow job: an ingestion covers few days, so each task writes
     few files.  ``compact`` shuffles by day first, for backfills of many days.
+    ``whole`` stores payloads as they are, for those read by their arrays;
+    otherwise Spark may give each field a column, so that others are not read.
     """
     out = as_variant(df, payload)
     day = f"{day_of}_day"
-    if day_of is None:
-        out.write.mode(mode).parquet(path)
-    else:
-        dated = out.withColumn(day, date_key(day_of))
-        if compact:
-            dated = dated.hint("rebalance", F.col(day))
-        dated.write.mode(mode).partitionBy(day).parquet(path)
+    with whole_variants(df.sparkSession) if whole else nullcontext():
+        if day_of is None:
+            out.write.mode(mode).parquet(path)
+        else:
+            dated = out.withColumn(day, date_key(day_of))
+            if compact:
+                dated = dated.hint("rebalance", F.col(day))
+            dated.write.mode(mode).partitionBy(day).parquet(path)
     schema = T.StructType(out.schema.fields + ([T.StructField(day, T.IntegerType())] if day_of else []))
     return df.sparkSession.read.schema(schema).parquet(path)

@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 from datetime import datetime
+from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from gildstar.plans.staging import MissingIdError, require_ids
+from gildstar.queries.dataflows import stored_games
+from gildstar.queries.registry import bronze
+from gildstar.session import whole_variants
 from gildstar.sources import landing
-from gildstar.sources.bronze import as_variant, read_bronze
+from gildstar.sources.bronze import as_variant, land_bronze, read_bronze
 from gildstar.sources.landing import land_checked, read_rejects
 from gildstar.streaming import stream_bronze
 
@@ -127,3 +132,51 @@ def test_a_wrong_id_path_fails(spark):
     require_ids(raw.filter(F.lit(False)), "$.appid", "raw_store")
     with pytest.raises(MissingIdError):
         require_ids(raw, "$.appid", "raw_store")
+
+
+def _stored_columns(folder: Path) -> set[str]:
+    """Leaf columns of all Parquet files below a folder."""
+    schemas = [pq.ParquetFile(f).schema for f in folder.rglob("*.parquet")]
+    assert schemas
+    return {schema.column(i).path for schema in schemas for i in range(len(schema))}
+
+
+def test_whole_payloads_are_stored_as_they_are(spark, tmp_path):
+    rows = [(f"l{i}", i, f'{{"players":{{"player_count":{i}}},"achievements":[{{"name":"a{i}","percent":{i}.5}}]}}') for i in range(50)]
+    raw = spark.createDataFrame(rows, "load_id string, appid bigint, raw_data string")
+    setting = "spark.sql.variant.inferShreddingSchema"
+    before = spark.conf.get(setting)
+    landed = land_bronze(raw, f"{tmp_path}/whole", whole=True)
+    assert spark.conf.get(setting) == before
+    assert _stored_columns(tmp_path / "whole") == {"load_id", "appid", "raw_data.value", "raw_data.metadata"}
+    got = landed.selectExpr("load_id", "appid", "raw_data:players.player_count::bigint n", "raw_data:achievements[0].percent::double p")
+    assert {tuple(r) for r in got.collect()} == {(f"l{i}", i, i, i + 0.5) for i in range(50)}
+
+
+def test_the_setting_returns_after_a_failed_write(spark):
+    setting = "spark.sql.variant.inferShreddingSchema"
+    before = spark.conf.get(setting)
+    with pytest.raises(RuntimeError), whole_variants(spark):
+        assert spark.conf.get(setting) == "false"
+        raise RuntimeError
+    assert spark.conf.get(setting) == before
+
+
+def test_queries_land_snapshots_whole_and_store_the_columns_they_read(spark, tmp_path):
+    events = [(i, datetime(2024, 1, 1 + i % 3, 5), i % 4, "view" if i % 2 else "click", i * 1.25) for i in range(40)]
+    parts = [(i, f"red box {i}", f"Brand#{i % 6}", "PROMO" if i % 2 else "STANDARD", i) for i in range(1, 20)]
+    spark.createDataFrame(events, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double").write.parquet(
+        f"{tmp_path}/events.parquet"
+    )
+    spark.createDataFrame(parts, "p_partkey long, p_name string, p_brand string, p_type string, p_size int").write.parquet(
+        f"{tmp_path}/part.parquet"
+    )
+    landed = bronze(spark, str(tmp_path), "raw_players")
+    folder = Path(landed.inputFiles()[0].removeprefix("file:")).parent
+    assert not [c for c in _stored_columns(folder) if "typed_value" in c]
+
+    few = stored_games(spark, str(tmp_path), "app_id", "genres_details")
+    folder = Path(few.inputFiles()[0].removeprefix("file:")).parent
+    assert _stored_columns(folder) == {"app_id", "genres_details"}
+    every = stored_games(spark, str(tmp_path)).select("app_id", "genres_details")
+    assert few.count() and sorted(few.collect(), key=str) == sorted(every.collect(), key=str)
