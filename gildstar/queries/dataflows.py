@@ -49,8 +49,9 @@ def stored_games(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
 def stored_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Enriched games and the keys of their dimensions, each written once."""
     folder = run_folder(spark, "star")
+    found = games(spark, sf_dir)  # lands raw tables, which have a layout of their own
     with whole_variants(spark):
-        enriched = write_table(games(spark, sf_dir), f"{folder}/int_games_enriched")
+        enriched = write_table(found, f"{folder}/int_games_enriched")
     dims = {
         "dim_games": dimensions.dim_games(enriched),
         "dim_genre": dimensions.dim_genre(enriched),
