@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from gildstar.operators.incremental import Target, load_incremental, newer_than
 from gildstar.operators.skew import ROWS_PER_TASK
 from gildstar.plans import dimensions, facts, intermediate, staging
+from gildstar.session import whole_variants
 from gildstar.sources.tables import write_table
 
 SNAPSHOT_DAY = "snapshot_at_day"
@@ -58,16 +59,15 @@ def build(
     """
     staging.require_ids(bronze["raw_store"], store_id_path, "raw_store")
     models = stage_all(bronze, load_ts, store_id_path)
-    models["int_games_enriched"] = write_table(
-        intermediate.int_games_enriched(
-            models["stg_details_games"],
-            models["stg_store_games"],
-            models["stg_player_snapshots"],
-            load_ts,
-            rows_per_task,
-        ),
-        f"{out_dir}/int_games_enriched",
+    enriched = intermediate.int_games_enriched(
+        models["stg_details_games"],
+        models["stg_store_games"],
+        models["stg_player_snapshots"],
+        load_ts,
+        rows_per_task,
     )
+    with whole_variants(spark):
+        models["int_games_enriched"] = write_table(enriched, f"{out_dir}/int_games_enriched")
     games = models["int_games_enriched"]
     models["int_player_trends"] = intermediate.int_player_trends(
         models["stg_player_snapshots"], models["stg_details_games"], load_ts, rows_per_task
