@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -27,6 +29,32 @@ def importable(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
 
 
+def give_back() -> None:
+    """Return freed memory to the system: Arrow's pool and the C library keep most of it otherwise."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
+def giving_back(
+    run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A function for mapInArrow that frees its working arrays for others when its task ends.
+
+    Spark keeps Python workers for later tasks, beside whose sorts and joins they would hold an earlier stage's most.
+    """
+
+    @functools.wraps(run)
+    def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return tidy
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut batches so that each piece holds about ``limit`` bytes of ``text``, one row at least."""
     for batch in batches:

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gildstar.llm.common import large_texts, mix64, slices
+from gildstar.llm.common import giving_back, large_texts, mix64, slices
 
 STEPS = 24
 SAMPLES = 11
@@ -358,6 +358,7 @@ def mark_leaks(
     for ids, texts in item_blocks(items, item_id, item_text):
         shared = spark.sparkContext.broadcast(Items(ids, texts))
 
+        @giving_back
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             block = shared.value
             for part in slices(batches, text):

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gildstar.llm.common import encode_words, large_texts, mix64, slices, split_words
+from gildstar.llm.common import encode_words, giving_back, large_texts, mix64, slices, split_words
 from gildstar.llm.components import components
 from gildstar.session import run_folder
 
@@ -146,6 +146,7 @@ def keyed_sets(docs: DataFrame, n: int) -> DataFrame:
     """(doc_id, n_shingles, k1, k2) per row of (doc_id, text)."""
     schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64())])
 
+    @giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text", SIGN_BYTES):
             sets = shingle_sets(large_texts(part.column("text")), n)
@@ -162,6 +163,7 @@ def signed_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
     """(sign, k1) of all sets; equal sets of a slice are signed once."""
     schema = pa.schema([("sign", pa.int64()), ("k1", pa.int64())])
 
+    @giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text", SIGN_BYTES):
             seen: set[tuple[int, int]] = set()
@@ -186,6 +188,7 @@ def packed_sets(docs: DataFrame, n: int) -> DataFrame:
         [("doc_id", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("shingles", pa.list_(pa.int64()))]
     )
 
+    @giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text", SIGN_BYTES):
             sets = shingle_sets(large_texts(part.column("text")), n)
@@ -246,6 +249,7 @@ def _crowding(sets: DataFrame) -> np.ndarray:
     """How many set members fall into each of ``CROWDS`` hash buckets: a table of fixed size."""
     schema = pa.schema([("bucket", pa.int32()), ("n", pa.int64())])
 
+    @giving_back
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros(CROWDS, np.int64)
         for batch in batches:
@@ -336,6 +340,7 @@ def _prefixes(differences: DataFrame, apart: DataFrame) -> DataFrame:
     kinds = {"meets": pa.int64(), "node": pa.int64(), "component": pa.int64(), "s": pa.int64(), "far": pa.bool_()}
     schema = pa.schema([*kinds.items(), ("room", pa.int32())])
 
+    @giving_back
     def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         crowding = shared.value
         for batch in batches:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gildstar.llm.common import encode_words, expand, large_texts, mix64, slices, split_words
+from gildstar.llm.common import encode_words, expand, giving_back, large_texts, mix64, slices, split_words
 from gildstar.session import run_folder
 
 BUCKETS = 1 << 14
@@ -82,6 +82,7 @@ def term_vectors(docs: DataFrame, text: str = "text") -> np.ndarray:
     columns = [f"v{i}" for i in range(DIMENSIONS)]
     schema = pa.schema([("bucket", pa.int32())] + [(c, pa.int64()) for c in columns])
 
+    @giving_back
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         position, sign = index_vectors()
         table = np.zeros(BUCKETS * DIMENSIONS)
@@ -127,6 +128,7 @@ def pooled(docs: DataFrame, vectors: np.ndarray) -> DataFrame:
         [("doc_id", pa.int64()), ("features", pa.list_(pa.float32())), *((c, pa.string()) for c in handed)]
     )
 
+    @giving_back
     def pool(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
         for part in slices(batches, "text"):
@@ -249,6 +251,7 @@ def classify(
     x = np.array(sample.column("features").to_pylist(), np.float64).reshape(-1, DIMENSIONS + 1)
     shared = spark.sparkContext.broadcast(fit(x, sample.column("label").to_numpy()))
 
+    @giving_back
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = batch.column("features").flatten().to_numpy().reshape(-1, DIMENSIONS + 1)

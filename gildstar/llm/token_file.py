@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gildstar.llm import rans
-from gildstar.llm.common import encode_words, expand, large_texts, slices, split_words
+from gildstar.llm.common import encode_words, expand, giving_back, large_texts, slices, split_words
 from gildstar.llm.pretokens import byte_level, load_tokenizer
 
 BLOCK_TOKENS = 1 << 16
@@ -154,6 +154,7 @@ def write_token_file(
     frames.
     """
 
+    @giving_back
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, shard, frame_number = word_tokens(path), TaskContext.get().partitionId(), 0
         for part in slices(batches, "text"):
@@ -201,6 +202,7 @@ def read_token_file(spark: SparkSession, target: str) -> DataFrame:
     ``start`` counts the ids of all documents before it.  Checksums are verified.
     """
 
+    @giving_back
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
