@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gildstar.functions.keys import date_key
-from gildstar.session import file_system
+from gildstar.session import few_listings, file_system, many_writers
 from gildstar.sources import versions
 from gildstar.sources.versions import CommitConflict
 
@@ -194,7 +194,9 @@ def _read_days(
     if target.day_of:
         hidden.append(T.StructField(target.partition, T.IntegerType()))
     whole = T.StructType([*schema.fields, *hidden])
-    return spark.read.schema(whole).option("basePath", target.data).parquet(*paths).drop(*[f.name for f in hidden])
+    with few_listings(spark):
+        stored = spark.read.schema(whole).option("basePath", target.data).parquet(*paths)
+    return stored.drop(*[f.name for f in hidden])
 
 
 def read_target(
@@ -242,16 +244,17 @@ def _stored_schema(df: DataFrame, partition: str) -> T.StructType:
 def _write(df: DataFrame, target: Target) -> str:
     """Write rows as a load of their own and return its id; nothing refers to it yet.
 
-    The rebalance hint splits large days and merges small ones.
+    The rebalance hint splits large days and merges small ones, as many as leave every core some.
     """
     load = uuid.uuid4().hex
     if target.day_of:
         df = df.withColumn(target.partition, date_key(target.day_of))
-    (
-        df.hint("rebalance", F.col(target.partition))
-        .write.partitionBy(target.partition)
-        .parquet(f"{target.data}/{_LOAD}={load}")
-    )
+    with many_writers(df.sparkSession):
+        (
+            df.hint("rebalance", F.col(target.partition))
+            .write.partitionBy(target.partition)
+            .parquet(f"{target.data}/{_LOAD}={load}")
+        )
     return load
 
 

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -18,6 +19,8 @@ DEFAULTS = {
 }
 
 _local_roots: dict[str, str] = {}
+_lock = threading.Lock()
+_holders: dict[tuple[int, str], tuple[int, str | None]] = {}
 
 
 def build_session(app_name: str = "gildstar", master: str | None = None, **conf) -> SparkSession:
@@ -56,22 +59,44 @@ def file_system(spark: SparkSession, path: str):
 
 
 @contextmanager
-def whole_variants(spark: SparkSession) -> Iterator[None]:
+def _holding(spark: SparkSession, name: str, value: object) -> Iterator[None]:
+    """A setting that holds for a while; of several threads the first sets it and the last restores it."""
+    held = id(spark), name
+    with _lock:
+        count, before = _holders.get(held) or (0, spark.conf.get(name, None))
+        _holders[held] = count + 1, before
+        spark.conf.set(name, str(value))
+    try:
+        yield
+    finally:
+        with _lock:
+            count, before = _holders.pop(held)
+            if count > 1:
+                _holders[held] = count - 1, before
+            elif before is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, before)
+
+
+def whole_variants(spark: SparkSession) -> AbstractContextManager[None]:
     """Store VARIANT columns as they are, not as one Parquet column per field found in them.
 
     For payloads that are read as a whole or by their arrays and objects: fields
     of their own then cost time at writing and again when they are put together.
     """
-    setting = "spark.sql.variant.inferShreddingSchema"
-    before = spark.conf.get(setting, None)
-    spark.conf.set(setting, "false")
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(setting)
-        else:
-            spark.conf.set(setting, before)
+    return _holding(spark, "spark.sql.variant.inferShreddingSchema", "false")
+
+
+def few_listings(spark: SparkSession) -> AbstractContextManager[None]:
+    """Open many folders of few files each: a task lists many of them, not one."""
+    tasks = 2 * spark.sparkContext.defaultParallelism
+    return _holding(spark, "spark.sql.sources.parallelPartitionDiscovery.parallelism", tasks)
+
+
+def many_writers(spark: SparkSession) -> AbstractContextManager[None]:
+    """Write many folders of few rows each: every core takes its share of the files, however few bytes they hold."""
+    return _holding(spark, "spark.sql.adaptive.coalescePartitions.minPartitionSize", "16k")
 
 
 def run_folder(spark: SparkSession, label: str) -> str:

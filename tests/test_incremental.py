@@ -419,3 +419,43 @@ def test_rebuilt_table_stays_readable_until_the_commit(spark, tmp_path, monkeypa
     assert (first.count(), read_table(spark, path).count(), read_table(spark, path, version=1).count()) == (3, 7, 3)
     # A table may be rebuilt from itself.
     assert write_table(read_table(spark, path).filter("id < 5"), path).count() == 5
+
+
+def test_many_days_are_listed_and_written_by_all_cores_not_a_task_each(spark, target):
+    """Sixty days: listed by at most two tasks a core, written by several; settings are as before afterwards."""
+    names = [
+        "spark.sql.sources.parallelPartitionDiscovery.parallelism",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize",
+    ]
+    before = [spark.conf.get(n, None) for n in names]
+    days = spark.range(6000).selectExpr(
+        "cast(id as string) as k", "timestamp_ntz'2024-01-01' + make_dt_interval(cast(id % 60 as int)) as at", "uuid() as v"
+    )
+    inc.load_full(spark, days.withColumn("date_key", date_key("at")), target)
+    writers = {f.rsplit("part-", 1)[1][:5] for f in read_target(spark, target).inputFiles()}
+    assert len(writers) > 1
+    sc = spark.sparkContext
+    sc.setJobGroup("listing", "listing")
+    try:
+        found = read_target(spark, target)
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    jobs = [sc.statusTracker().getJobInfo(j) for j in sc.statusTracker().getJobIdsForGroup("listing")]
+    tasks = [sc.statusTracker().getStageInfo(s).numTasks for j in jobs for s in j.stageIds]
+    assert tasks and max(tasks) <= 2 * sc.defaultParallelism
+    assert found.count() == 6000
+    assert [spark.conf.get(n, None) for n in names] == before
+
+
+def test_settings_held_by_several_threads_are_restored(spark):
+    from gildstar.session import many_writers
+
+    name = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+    before = spark.conf.get(name, None)
+    first, second = many_writers(spark), many_writers(spark)
+    first.__enter__()
+    second.__enter__()
+    first.__exit__(None, None, None)
+    assert spark.conf.get(name) == "16k"
+    second.__exit__(None, None, None)
+    assert spark.conf.get(name, None) == before
