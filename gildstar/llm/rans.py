@@ -21,6 +21,7 @@ LANES = 32
 CHECKPOINT_STEPS = 1024
 _LOW = np.uint64(1 << 31)  # states stay in [2^31, 2^63)
 _WORD = np.uint64(32)
+_TABLED = 1 << 20  # ids below are counted and looked up in tables of this size at most
 
 
 @dataclass
@@ -40,7 +41,12 @@ def crc_of(ids: np.ndarray) -> int:
 
 def build_table(ids: np.ndarray) -> tuple[int, np.ndarray, np.ndarray]:
     """(bits, symbols, frequencies): frequencies are at least 1 and add up to 2^bits."""
-    symbols, counts = np.unique(ids, return_counts=True)
+    if len(ids) and int(ids.max()) < _TABLED:
+        counts = np.bincount(ids)
+        symbols = np.flatnonzero(counts)
+        counts = counts[symbols]
+    else:
+        symbols, counts = np.unique(ids, return_counts=True)
     bits = min(28, max(12, int(len(symbols)).bit_length() + 3))
     free = (1 << bits) - len(symbols)
     freq = 1 + (counts.astype(object) * free // int(counts.sum())).astype(np.int64)
@@ -59,6 +65,15 @@ def unpack_table(data: bytes) -> tuple[int, np.ndarray, np.ndarray]:
     return bits, np.cumsum(both[:n].astype(np.int64)).astype(np.uint32), both[n:].astype(np.int64)
 
 
+def _places(symbols: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Where each id stands in the sorted ``symbols``."""
+    if int(symbols[-1]) >= _TABLED:
+        return np.searchsorted(symbols, ids.astype(np.uint32))
+    place = np.zeros(int(symbols[-1]) + 1, np.int32)
+    place[symbols] = np.arange(len(symbols))
+    return place[ids]
+
+
 def _active(steps: np.ndarray) -> np.ndarray:
     """For steps sorted downwards: how many rows are still active at each step."""
     return len(steps) - np.searchsorted(steps[::-1], np.arange(int(steps[0]) if len(steps) else 0), side="right")
@@ -68,7 +83,7 @@ def encode(ids: np.ndarray, lengths: list[int]) -> Frame:
     """Encode ``ids``, cut into blocks of the given lengths (each at least 1)."""
     bits, symbols, freq = build_table(ids)
     start = np.cumsum(freq) - freq
-    local = np.searchsorted(symbols, ids.astype(np.uint32))
+    local = _places(symbols, ids)
     n = np.array(lengths, np.int64)
     first = np.cumsum(n) - n
     steps = -(-n // LANES)
@@ -83,6 +98,7 @@ def encode(ids: np.ndarray, lengths: list[int]) -> Frame:
     ceiling = f64 << np.uint64(63 - bits)
     x = np.full((len(n), LANES), _LOW, np.uint64)
     words = np.empty((len(n), most * LANES), np.uint32)
+    row_start, flat_words = np.arange(len(n))[:, None] * (most * LANES) - 1, words.reshape(-1)
     at = np.full(len(n), most * LANES, np.int64)
     active = _active(steps[order])
     marks: list[tuple[int, np.ndarray, np.ndarray]] = []
@@ -93,9 +109,8 @@ def encode(ids: np.ndarray, lengths: list[int]) -> Frame:
         full = state >= ceiling[s]
         if full.any():
             at[:k] -= full.sum(1)
-            row, lane = np.nonzero(full)
-            place = at[:k, None] + np.cumsum(full, 1) - 1
-            words[row, place[row, lane]] = (state[row, lane] & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+            place = row_start[:k] + at[:k, None] + np.cumsum(full, 1)
+            flat_words[place[full]] = state[full].astype(np.uint32)  # the lower half
             state = np.where(full, state >> _WORD, state)
         q = state // f
         x[:k] = (q << m) + (state - q * f) + c64[s]

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import functools
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -81,6 +82,12 @@ class WordTokens:
         self._pattern = regex.compile(WORD_PATTERN)
         self._specials = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
         self._pieces: dict[str, list[int]] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        """Known pieces by their number, and their packed ids."""
+        self._known: dict[str, int] = {}
+        self._ids, self._lengths = np.zeros(0, np.uint32), np.zeros(0, np.int64)
 
     def of_word(self, word: str) -> list[int]:
         if not _PLAIN.fullmatch(word) or any(s in word for s in self._specials):
@@ -98,6 +105,22 @@ class WordTokens:
             known = self._pieces[piece] = [t.id for t in self.tokenizer.model.tokenize(byte_level(piece))]
         return known
 
+    def of_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Packed ids of distinct non-empty pieces: (number per piece; ids, start and number of ids per number).
+
+        ASCII without blanks and control characters stands for itself at byte level.
+        """
+        if len(self._known) >= _CACHED_PIECES:
+            self._forget()
+        tokenize, known = self.tokenizer.model.tokenize, self._known
+        new = [p for p in pieces if p not in known]
+        lists = [[t.id for t in tokenize(p if p.isascii() else byte_level(p))] for p in new]
+        known.update(zip(new, range(len(known), len(known) + len(new))))
+        self._lengths = np.concatenate([self._lengths, np.fromiter(map(len, lists), np.int64, len(lists))])
+        self._ids = np.concatenate([self._ids, np.fromiter(chain.from_iterable(lists), np.uint32)])
+        numbers = np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
+        return numbers, self._ids, np.cumsum(self._lengths) - self._lengths, self._lengths
+
     def of_words(self, distinct: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Packed ids of distinct words: (ids, start and number of ids per word)."""
         parts = pc.extract_regex(distinct, _LETTERS_MARKS)
@@ -106,19 +129,22 @@ class WordTokens:
         fields = parts.filter(pa.array(usual)).flatten()
         front, letters = encode_words(pc.utf8_lower(fields[0]))
         back, marks = encode_words(fields[1])
-        lists = [self.of_piece(w) for w in letters.to_pylist()]
-        lists += [self.of_piece(w) if w else [] for w in marks.to_pylist()]
-        lists += odd
-        lengths = np.array([len(x) for x in lists], np.int64)
-        starts = np.cumsum(lengths) - lengths
-        flat = np.array([i for x in lists for i in x], np.uint32)
+        both = [*letters.to_numpy(zero_copy_only=False).tolist(), *(w for w in marks.to_pylist() if w)]
+        numbers, flat, starts, lengths = self.of_pieces(both)
+        # Behind the known pieces stand the odd words, and nothing: the marks of words without any.
+        more = np.array([len(x) for x in odd] + [0], np.int64)
+        starts = np.concatenate([starts, len(flat) + np.cumsum(more) - more])
+        flat = np.concatenate([flat, np.fromiter(chain.from_iterable(odd), np.uint32)])
+        first_odd, lengths = len(lengths), np.concatenate([lengths, more])
+        of_marks = np.full(len(marks), len(lengths) - 1, np.int64)
+        of_marks[np.asarray(pc.greater(pc.binary_length(marks), 0), bool)] = numbers[len(letters) :]
         # A usual word is its letters and its marks, an odd one a list of its own.
         pieces = np.empty(2 * int(usual.sum()) + len(odd), np.int64)
         count = np.where(usual, 2, 1)
         first = np.cumsum(count) - count
-        pieces[first[usual]] = front
-        pieces[first[usual] + 1] = back + len(letters)
-        pieces[first[~usual]] = len(letters) + len(marks) + np.arange(len(odd))
+        pieces[first[usual]] = numbers[: len(letters)][front]
+        pieces[first[usual] + 1] = of_marks[back]
+        pieces[first[~usual]] = first_odd + np.arange(len(odd))
         ids = flat[expand(pieces, starts, lengths)]
         n = np.bincount(np.repeat(np.arange(len(usual)), count), lengths[pieces], len(usual)).astype(np.int64)
         return ids, np.cumsum(n) - n, n
