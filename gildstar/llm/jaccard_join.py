@@ -46,6 +46,8 @@ DIFFERING = 1  # k2: by how many shingles two sets may differ in a part that the
 CROWDS = 1 << 18
 # Text bytes cut into shingles or signed at one time: either takes several times as much as the text behind it.
 SIGN_BYTES = 2 << 20
+# Signatures are sorted in so many shares of a usual partition: there are up to two per shingle, each some 100 bytes in a sort.
+SIGN_SHARES = 4
 _ODD = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
 
@@ -182,6 +184,26 @@ def signed_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
     return docs.filter("doc_id is not null").mapInArrow(run, "sign long, k1 long")
 
 
+def shared_signatures(signed: DataFrame) -> DataFrame:
+    """(sign, k1), each once, of the signatures (sign, k1) that unlike sets share.
+
+    One shuffle of all signatures is the operator's largest; a join with counted
+    ones would need two.  A task sorts its shares one after the other, so an
+    executor holds a part of what it sorts, and writes one file.
+    """
+    parts = int(signed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    whole = Window.partitionBy("sign")
+    return (
+        signed.repartition(SIGN_SHARES * parts, "sign")
+        .withColumn("_lo", F.min("k1").over(whole))
+        .withColumn("_hi", F.max("k1").over(whole))
+        .filter("_lo < _hi")
+        .select("sign", "k1")
+        .distinct()
+        .coalesce(parts)
+    )
+
+
 def packed_sets(docs: DataFrame, n: int) -> DataFrame:
     """(doc_id, k1, k2, shingles) with the shingle hashes as an array."""
     schema = pa.schema(
@@ -403,17 +425,7 @@ def jaccard_components(
     classes.write.parquet(f"{folder}/classes")
     classes = spark.read.parquet(f"{folder}/classes")
 
-    # One shuffle of all signatures is the operator's largest; a join with counted ones would need two.
-    whole = Window.partitionBy("sign")
-    (
-        signed_sets(docs, n, percent)
-        .withColumn("_lo", F.min("k1").over(whole))
-        .withColumn("_hi", F.max("k1").over(whole))
-        .filter("_lo < _hi")
-        .select("sign", "k1")
-        .distinct()
-        .write.parquet(f"{folder}/shared")
-    )
+    shared_signatures(signed_sets(docs, n, percent)).write.parquet(f"{folder}/shared")
     shared = spark.read.parquet(f"{folder}/shared")
     wanted = shared.select("k1").distinct().join(classes, "k1")
     (
