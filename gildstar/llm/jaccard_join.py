@@ -9,7 +9,8 @@ so large that two sets within k differ by at most k2 shingles in at least
 are the hashes of all sets of 3 - k2 cells of a part, so no link is missed.
 Signatures of empty cells, which unlike sets share, are left out unless a set
 has more than ``slack`` parts with one (then another shared part is not sure to
-be filled).
+be filled).  Similar sets share so many signatures of a band that a set with
+fewer shared ones is left out of it before sets are compared.
 
 Equal sets form a class first.  Links are then searched between classes only,
 and only as far as components need them: each class is verified against the
@@ -39,10 +40,12 @@ from pyspark.sql import functions as F
 
 from gildstar.llm.common import encode_words, giving_back, large_texts, mix64, slices, split_words
 from gildstar.llm.components import components
-from gildstar.session import run_folder
+from gildstar.session import run_folder, shed_shuffles
+from gildstar.sources import versions
 
 CELLS = 3
 DIFFERING = 1  # k2: by how many shingles two sets may differ in a part that they share
+_SUBSETS = [list(c) for c in combinations(range(CELLS), CELLS - DIFFERING)]
 CROWDS = 1 << 18
 # Text bytes cut into shingles or signed at one time: either takes several times as much as the text behind it.
 SIGN_BYTES = 2 << 20
@@ -94,16 +97,14 @@ def size_bands(percent: int, limit: int = 1 << 31) -> np.ndarray:
     return np.array(lower, np.int64)
 
 
-def signatures(sets: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """(position of the set, signature) for all signatures of all sets."""
+def _cut(sets: list[np.ndarray], percent: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """For the own band of each set, then the next: band and slack per set, owner and number per part, use and cell per member, empty pairs of cells per part."""
     bands = size_bands(percent)
-    owners, signs = [], []
     sizes = np.array([len(s) for s in sets], np.int64)
     mine = np.searchsorted(bands, sizes, side="right") - 1
     everything = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-    part_bits, cell_bits, value = everything >> np.uint64(32), everything & np.uint64(0xFFFFFFFF), mix64(everything)
-    low = (value & np.uint64(0xFFFFFFFF)).astype(np.float64)
-    high = (value >> np.uint64(32)).astype(np.float64)
+    part_bits, cell_bits = everything >> np.uint64(32), everything & np.uint64(0xFFFFFFFF)
+    of = np.repeat(np.arange(len(sets)), sizes)
     for step in (0, 1):
         band = mine + step
         upper = bands[np.clip(band + 1, 0, len(bands) - 1)] - 1
@@ -111,7 +112,6 @@ def signatures(sets: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.nda
         slack = 1 + k // 10  # more than the parts with empty cells that a set of this band is likely to have
         n1 = np.where((k > 0) & (sizes > 0), k // (DIFFERING + 1) + 1 + slack, 0)
         first = np.cumsum(n1) - n1
-        of = np.repeat(np.arange(len(sets)), sizes)
         use = n1[of] > 0
         parts = np.where(use, n1[of], 1).astype(np.uint64)
         cell = (first[of] + (part_bits % parts).astype(np.int64)) * CELLS + (
@@ -120,22 +120,34 @@ def signatures(sets: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.nda
         total = int(n1.sum()) * CELLS
         if not total:
             continue
-        # Sums of 32-bit halves are exact in doubles up to two million members a cell.
-        lows = np.bincount(cell[use], low[use], total).astype(np.uint64).reshape(-1, CELLS)
-        highs = np.bincount(cell[use], high[use], total).astype(np.uint64).reshape(-1, CELLS)
         counts = np.bincount(cell[use], minlength=total).reshape(-1, CELLS)
         owner = np.repeat(np.arange(len(sets)), n1)
         part = np.arange(len(owner)) - first[owner]
-        subsets = [list(c) for c in combinations(range(CELLS), CELLS - DIFFERING)]
-        empty = np.stack([counts[:, c].sum(1) == 0 for c in subsets], 1)
+        empty = np.stack([counts[:, c].sum(1) == 0 for c in _SUBSETS], 1)
+        yield band, slack, owner, part, use, cell, empty
+
+
+def signatures(sets: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(position of the set, signature) for all signatures of all sets; the last bit is that of the band's number."""
+    owners, signs = [], []
+    value = mix64(np.concatenate(sets) if sets else np.zeros(0, np.uint64))
+    low = (value & np.uint64(0xFFFFFFFF)).astype(np.float64)
+    high = (value >> np.uint64(32)).astype(np.float64)
+    for band, slack, owner, part, use, cell, empty in _cut(sets, percent):
+        # Sums of 32-bit halves are exact in doubles up to two million members a cell.
+        total = len(owner) * CELLS
+        lows = np.bincount(cell[use], low[use], total).astype(np.uint64).reshape(-1, CELLS)
+        highs = np.bincount(cell[use], high[use], total).astype(np.uint64).reshape(-1, CELLS)
         many_empty = np.bincount(owner, empty.any(1), len(sets)) > slack
-        tag = mix64(band[owner].astype(np.uint64) * _ODD[2] + part.astype(np.uint64))
-        for number, cells in enumerate(subsets):
+        number_of = band[owner].astype(np.uint64)
+        tag = mix64(number_of * _ODD[2] + part.astype(np.uint64))
+        for number, cells in enumerate(_SUBSETS):
             sign = mix64(
                 lows[:, cells].sum(1, dtype=np.uint64) * _ODD[0]
                 + mix64(highs[:, cells].sum(1, dtype=np.uint64) * _ODD[1] + tag)
                 + np.uint64(number)
             )
+            sign = sign & ~np.uint64(1) | number_of & np.uint64(1)
             kept = ~empty[:, number] | many_empty[owner]
             owners.append(owner[kept])
             signs.append(sign[kept].view(np.int64))
@@ -144,6 +156,20 @@ def signatures(sets: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.nda
     return np.concatenate(owners), np.concatenate(signs)
 
 
+def least_shared(sets: list[np.ndarray], percent: int) -> np.ndarray:
+    """Per set, for its bands of even and of odd number: how many signatures of the band any similar set of it shares at least.
+
+    Two similar sets agree on a pair of cells in 1 + ``slack`` parts.  Without a
+    signature are only pairs that are empty in both, and only if neither set has
+    more than ``slack`` parts with one; such parts are counted off.
+    """
+    least = np.ones((len(sets), 2), np.int64)
+    for band, slack, owner, _, _, _, empty in _cut(sets, percent):
+        gaps = np.bincount(owner, empty.any(1), len(sets)).astype(np.int64)
+        least[np.arange(len(sets)), band & 1] = np.where(gaps > slack, 1, 1 + slack - gaps)
+    return least
+
+
 def keyed_sets(docs: DataFrame, n: int) -> DataFrame:
     """(doc_id, n_shingles, k1, k2) per row of (doc_id, text)."""
     schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64())])
@@ -177,8 +203,9 @@ def signed_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
                     seen.add(key)
                     new.append(i)
             owner, sign = signatures([sets[i] for i in new], percent)
+            order = np.argsort(owner, kind="stable")  # equal keys stand together and compress well in the shuffle
             yield pa.RecordBatch.from_arrays(
-                [pa.array(sign), pa.array(k1[np.array(new, np.int64)][owner])], schema=schema
+                [pa.array(sign[order]), pa.array(k1[np.array(new, np.int64)][owner[order]])], schema=schema
             )
 
     return docs.filter("doc_id is not null").mapInArrow(run, "sign long, k1 long")
@@ -204,28 +231,32 @@ def shared_signatures(signed: DataFrame) -> DataFrame:
     )
 
 
-def packed_sets(docs: DataFrame, n: int) -> DataFrame:
-    """(doc_id, k1, k2, shingles) with the shingle hashes as an array."""
-    schema = pa.schema(
-        [("doc_id", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("shingles", pa.list_(pa.int64()))]
-    )
+def packed_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """(doc_id, shingles, bands) of the rows (doc_id, text, k1, k2, even, odd) whose text has the key (k1, k2) and may be similar to another.
+
+    ``even`` and ``odd`` count the shared signatures of the set's band of even and
+    of odd number, ``bands`` are those (0, 1) in which they are enough.
+    """
+    lists = {"shingles": pa.list_(pa.int64()), "bands": pa.list_(pa.int32())}
+    schema = pa.schema([("doc_id", pa.int64()), *lists.items()])
 
     @giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text", SIGN_BYTES):
             sets = shingle_sets(large_texts(part.column("text")), n)
-            k1, k2 = set_keys(sets)
+            same = np.logical_and(*(part.column(c).to_numpy() == k for c, k in zip(("k1", "k2"), set_keys(sets))))
+            enough = np.stack([part.column(c).to_numpy() for c in ("even", "odd")], 1) >= least_shared(sets, percent)
+            kept = np.flatnonzero(same & enough.any(1))
             yield pa.RecordBatch.from_arrays(
                 [
-                    part.column("doc_id"),
-                    pa.array(k1),
-                    pa.array(k2),
-                    pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
+                    part.column("doc_id").take(pa.array(kept)),
+                    pa.array([sets[i].view(np.int64) for i in kept], lists["shingles"]),
+                    pa.array([np.flatnonzero(enough[i]).astype(np.int32) for i in kept], lists["bands"]),
                 ],
                 schema=schema,
             )
 
-    return docs.mapInArrow(run, "doc_id long, k1 long, k2 long, shingles array<long>")
+    return docs.mapInArrow(run, "doc_id long, shingles array<long>, bands array<int>")
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -312,7 +343,8 @@ def _apart(differences: DataFrame, component: DataFrame, percent: int) -> DataFr
     """The classes that must be compared: (pivot, node, component, s, far, asks).
 
     With ``m`` the least S of a group, a class is far if S + m > 0; groups without
-    far classes or within one component are left out.  ``asks`` is the least
+    far classes, within one component or of one class besides the pivot, which m
+    settles, are left out.  ``asks`` is the least
     number of common members with which a comparison can succeed.  y's difference
     has members enough for x only if T(y) = 2 (100 + percent) |dy| - S(y) is S(x)
     or more, so the least S of such partners tells; it is kept per step of T, a
@@ -323,10 +355,14 @@ def _apart(differences: DataFrame, component: DataFrame, percent: int) -> DataFr
         differences.join(component, "node", "left")
         .withColumn("component", F.coalesce("component", "node"))
         .withColumn("step", F.expr(f"cast(8 * log2({twice} * size(shingles) - s + 1) as int)"))
-        .select("pivot", "node", "component", "s", "step")
+        .select("pivot", "node", "component", "s", "step", (F.size("shingles") > 0).cast("int").alias("other"))
     )
     stepped = slim.groupBy("pivot", "step").agg(
-        F.min("s").alias("least"), F.max("s").alias("most"), F.min("component").alias("lo"), F.max("component").alias("hi")
+        F.min("s").alias("least"),
+        F.max("s").alias("most"),
+        F.min("component").alias("lo"),
+        F.max("component").alias("hi"),
+        F.sum("other").alias("others"),
     )
     groups = (
         stepped.groupBy("pivot")
@@ -335,9 +371,10 @@ def _apart(differences: DataFrame, component: DataFrame, percent: int) -> DataFr
             F.max("most").alias("most"),
             F.min("lo").alias("lo"),
             F.max("hi").alias("hi"),
+            F.sum("others").alias("others"),
             F.collect_list(F.struct("step", "least")).alias("steps"),
         )
-        .filter("lo < hi and most + m > 0")
+        .filter("lo < hi and most + m > 0 and others > 1")
         .select("pivot", "m", "steps")
     )
     partners = "filter(steps, t -> s <= 0 or t.step >= cast(8 * log2(s + 1) as int))"
@@ -415,61 +452,66 @@ def jaccard_components(
     folder = run_folder(spark, "jaccard")
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
 
-    keyed_sets(docs, n).write.parquet(f"{folder}/keys")
-    keys = spark.read.parquet(f"{folder}/keys")
-    classes = (
-        keys.filter("n_shingles > 0 and doc_id is not null")
-        .groupBy("k1", "k2")
-        .agg(F.min("doc_id").alias("node"))
-    )
-    classes.write.parquet(f"{folder}/classes")
-    classes = spark.read.parquet(f"{folder}/classes")
-
-    shared_signatures(signed_sets(docs, n, percent)).write.parquet(f"{folder}/shared")
-    shared = spark.read.parquet(f"{folder}/shared")
-    wanted = shared.select("k1").distinct().join(classes, "k1")
-    (
-        packed_sets(docs.join(wanted.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi"), n)
-        .join(wanted.select(F.col("node").alias("doc_id"), "k1", "k2"), ["doc_id", "k1", "k2"], "left_semi")
-        .select("doc_id", "shingles")
-        .write.parquet(f"{folder}/sets")
-    )
-    sets = spark.read.parquet(f"{folder}/sets")
-    shared.join(classes, "k1").select("sign", "node").write.parquet(f"{folder}/nodes")
-    nodes = spark.read.parquet(f"{folder}/nodes")
-
-    marked = nodes.withColumn("component", F.col("node"))
-    of_node = None
-
-    def merged(found: DataFrame, number: int) -> DataFrame:
-        """The component of every linked node: the stars so far with the links found since."""
-        every = found
-        if of_node is not None:
-            stars = of_node.filter("node <> component")
-            every = found.union(stars.select(F.col("node").alias("a"), F.col("component").alias("b")))
-        components(every).write.parquet(f"{folder}/components-{number}")
-        return spark.read.parquet(f"{folder}/components-{number}").select("node", "component")
-
-    for number in range(2):
-        pairs = _best_partner(_cross(marked))
-        _linked(pairs, sets, percent).filter("linked").select("a", "b").write.parquet(f"{folder}/links-{number}")
-        of_node = merged(spark.read.parquet(f"{folder}/links-{number}"), number)
-        marked = nodes.join(of_node, "node", "left").select(
-            "sign", "node", F.coalesce("component", "node").alias("component")
+    with shed_shuffles(spark):
+        keyed_sets(docs, n).write.parquet(f"{folder}/keys")
+        keys = spark.read.parquet(f"{folder}/keys")
+        classes = (
+            keys.filter("n_shingles > 0 and doc_id is not null")
+            .groupBy("k1", "k2")
+            .agg(F.min("doc_id").alias("node"))
+        )
+        classes.write.parquet(f"{folder}/classes")
+        classes = spark.read.parquet(f"{folder}/classes")
+
+        shared_signatures(signed_sets(docs, n, percent)).write.parquet(f"{folder}/shared")
+        shared = spark.read.parquet(f"{folder}/shared")
+        odd = F.col("sign").bitwiseAND(F.lit(1))
+        held = shared.groupBy("k1").agg(F.sum(1 - odd).alias("even"), F.sum(odd).alias("odd"))
+        wanted = held.join(classes, "k1").select(F.col("node").alias("doc_id"), "k1", "k2", "even", "odd")
+        packed_sets(docs.join(wanted, "doc_id"), n, percent).write.parquet(f"{folder}/sets")
+        sets = spark.read.parquet(f"{folder}/sets")
+        bands = sets.select(F.col("doc_id").alias("_node"), F.explode("bands").alias("_band"))
+        (
+            shared.join(classes, "k1")
+            .join(bands, (F.col("node") == F.col("_node")) & (odd == F.col("_band")), "left_semi")
+            .select("sign", "node")
+            .write.parquet(f"{folder}/nodes")
         )
+        nodes = spark.read.parquet(f"{folder}/nodes")
+
+        marked = nodes.withColumn("component", F.col("node"))
+        of_node = None
+
+        def merged(found: DataFrame, number: int) -> DataFrame:
+            """The component of every linked node: the stars so far with the links found since."""
+            every = found
+            if of_node is not None:
+                stars = of_node.filter("node <> component")
+                every = found.union(stars.select(F.col("node").alias("a"), F.col("component").alias("b")))
+            components(every).write.parquet(f"{folder}/components-{number}")
+            return spark.read.parquet(f"{folder}/components-{number}").select("node", "component")
+
+        for number in range(2):
+            pairs = _best_partner(_cross(marked))
+            _linked(pairs, sets, percent).filter("linked").select("a", "b").write.parquet(f"{folder}/links-{number}")
+            of_node = merged(spark.read.parquet(f"{folder}/links-{number}"), number)
+            marked = nodes.join(of_node, "node", "left").select(
+                "sign", "node", F.coalesce("component", "node").alias("component")
+            )
 
-    _differences(_cross(marked), sets, percent).write.parquet(f"{folder}/differences")
-    differences = spark.read.parquet(f"{folder}/differences")
-    least = differences.groupBy("pivot").agg(F.min(F.struct("s", "node")).alias("m"))
-    near = differences.drop("shingles").join(least, "pivot").filter("s + m.s <= 0 and node <> m.node")
-    near.select(F.col("node").alias("a"), F.col("m.node").alias("b")).distinct().write.parquet(f"{folder}/links-2")
-    of_node = merged(spark.read.parquet(f"{folder}/links-2"), 2)
-
-    _apart(differences, of_node, percent).write.parquet(f"{folder}/apart")
-    _prefixes(differences, spark.read.parquet(f"{folder}/apart")).write.parquet(f"{folder}/prefixes")
-    pairs = _prefix_pairs(spark.read.parquet(f"{folder}/prefixes"), percent)
-    _linked(pairs, sets, percent).filter("linked").select("a", "b").write.parquet(f"{folder}/links-3")
-    of_node = merged(spark.read.parquet(f"{folder}/links-3"), 3)
+        _differences(_cross(marked), sets, percent).write.parquet(f"{folder}/differences")
+        differences = spark.read.parquet(f"{folder}/differences")
+        least = differences.groupBy("pivot").agg(F.min(F.struct("s", "node")).alias("m"))
+        near = differences.drop("shingles").join(least, "pivot").filter("s + m.s <= 0 and node <> m.node")
+        near.select(F.col("node").alias("a"), F.col("m.node").alias("b")).distinct().write.parquet(f"{folder}/links-2")
+        of_node = merged(spark.read.parquet(f"{folder}/links-2"), 2)
+
+        _apart(differences, of_node, percent).write.parquet(f"{folder}/apart")
+        _prefixes(differences, spark.read.parquet(f"{folder}/apart")).write.parquet(f"{folder}/prefixes")
+        versions.delete(spark, f"{folder}/differences")
+        pairs = _prefix_pairs(spark.read.parquet(f"{folder}/prefixes"), percent)
+        _linked(pairs, sets, percent).filter("linked").select("a", "b").write.parquet(f"{folder}/links-3")
+        of_node = merged(spark.read.parquet(f"{folder}/links-3"), 3)
 
     # Copies of one text meet here as one class row; AQE splits a hot class.
     of_class = classes.join(of_node, "node", "left").select(

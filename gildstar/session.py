@@ -99,6 +99,15 @@ def many_writers(spark: SparkSession) -> AbstractContextManager[None]:
     return _holding(spark, "spark.sql.adaptive.coalescePartitions.minPartitionSize", "16k")
 
 
+def shed_shuffles(spark: SparkSession) -> AbstractContextManager[None]:
+    """Remove a query's shuffle files when it ends, not when the driver happens to collect its garbage.
+
+    For chains of tables that are each written once: a DataFrame that is run
+    again shuffles again.
+    """
+    return _holding(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
 def run_folder(spark: SparkSession, label: str) -> str:
     """A new folder under the shared one, removed when the session's JVM ends."""
     path = f"{shared_folder(spark)}/gildstar-{label}-{uuid.uuid4().hex}"
